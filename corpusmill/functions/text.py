@@ -37,8 +37,10 @@ def _col(c: Column | str) -> Column:
 
 
 def string_list(words: Sequence[str]) -> Column:
-    """Constant ARRAY<STRING>."""
-    return F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
+    """Constant ARRAY<STRING>, built as one folded literal however many words there are."""
+    if not words:
+        return F.array().cast("array<string>")
+    return F.split(F.lit("\x1f".join(words)), "\x1f")
 
 
 def is_nonblank(c: Column | str) -> Column:
@@ -72,8 +74,8 @@ def split_words(c: Column | str) -> Column:
 
 
 def tokenize(c: Column | str, contractions: bool = True) -> Column:
-    """Words of normalised text; the six known contractions are split in two."""
-    words = split_words(c)
+    """Words of the normalised text; the six known contractions are split in two."""
+    words = F.filter(normal_words(c), lambda t: t != "")
     if not contractions:
         return words
 
@@ -93,10 +95,15 @@ def remove_stopwords(tokens: Column | str, stopwords: Sequence[str]) -> Column:
     return F.filter(_col(tokens), lambda t: ~t.isin(list(stopwords))) if stopwords else _col(tokens)
 
 
-def item_set(c: Column | str, stopwords: Sequence[str], min_length: int = 3) -> Column:
+def normal_words(c: Column | str) -> Column:
+    """Words of the normalised text. A normalised text has no other whitespace than the space, so
+    it is split at that; empty pieces can be left at the ends."""
+    return F.split(normalize_text(c), " ")
+
+
+def item_set(words: Column | str, stopwords: Sequence[str], min_length: int = 3) -> Column:
     """Sorted distinct words that are purely alphabetic, long enough and not stop words."""
-    words = F.array_distinct(F.split(_col(c), SPACE_RUN))
-    kept = F.filter(words, lambda t: (F.char_length(t) >= min_length) & t.rlike(LETTERS_ONLY))
+    kept = F.filter(F.array_distinct(_col(words)), lambda t: (F.char_length(t) >= min_length) & t.rlike(LETTERS_ONLY))
     if stopwords:
         kept = F.array_except(kept, string_list(stopwords))
     return F.array_sort(kept)
@@ -118,8 +125,7 @@ def lexical_class(tag: Column | str) -> Column:
 
 def term_tokens(c: Column | str, stopwords: Sequence[str]) -> Column:
     """Lower-cased words of at least two word characters, stop words removed."""
-    words = F.split(normalize_text(c), " ")
-    return remove_stopwords(F.filter(words, lambda t: F.char_length(t) >= 2), stopwords)
+    return remove_stopwords(F.filter(normal_words(c), lambda t: F.char_length(t) >= 2), stopwords)
 
 
 def ngrams(tokens: Column | str, n: int) -> Column:

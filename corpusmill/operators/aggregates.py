@@ -10,6 +10,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.operators.rows import explode_values
 from corpusmill.sources.staging import broadcast_if_small
 
 
@@ -63,7 +64,7 @@ def vector_mean(
     ``vectors`` is (word, vector ARRAY<DOUBLE>). Rows of one text are averaged inside their task
     before the shuffle, so one partial vector per text is sent, not one per word.
     """
-    words = df.select(key, F.explode(tokens).alias("word"))
+    words = explode_values(df, [key], tokens, "word")
     known = words.join(broadcast_if_small(vectors), "word")
     means = known.groupBy(key).agg(Summarizer.mean(array_to_vector("vector")).alias("_mean"))
     zeros = F.array_repeat(F.lit(0.0), size)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.sources.staging import broadcast_if_small
+from corpusmill.sources.staging import broadcast_if_small, stage
 
 
 def drop_null_subset(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -92,7 +92,7 @@ def lemma_lookup(
     The dictionary is broadcast when it is small. The words of a row are put together again inside
     their task before the shuffle, so the shuffle carries whole rows, not single words.
     """
-    table = broadcast_if_small(lemma_table(lexicon, lemmas))
+    table = broadcast_if_small(stage(lemma_table(lexicon, lemmas), "lemmas"))
     words = df.select(
         key, F.col(tokens).isNull().alias("_missing"), F.posexplode_outer(tokens).alias("_pos", "token")
     )
@@ -123,7 +123,7 @@ def clean_corpus(
     out: str = "cleaned_body",
 ) -> DataFrame:
     """Normalise, drop stop words, lemmatise, and fall back to the original text."""
-    words = tx.remove_stopwords(tx.tokenize(tx.normalize_text(text)), stopwords)
+    words = tx.remove_stopwords(tx.tokenize(text), stopwords)
     looked_up = lemma_lookup(df.withColumn("_tokens", words), "_tokens", lexicon, lemmas, key)
     joined = F.array_join("_tokens", " ")
     return looked_up.withColumn(out, normalize_or_original(joined, F.col(text))).drop("_tokens")

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from corpusmill.functions import text as tx
 from corpusmill.operators.aggregates import vector_mean
 from corpusmill.operators.itemsets import triplet_matches, triplet_name
+from corpusmill.operators.rows import explode_values
 from corpusmill.sources.staging import broadcast_if_small, stage
 
 # A vocabulary is at most (distinct terms per text) / min_df long; beyond this it is no feature set.
@@ -83,14 +84,15 @@ def document_frequencies(
     """(term, df) of all n-grams with df >= min_df * n, and n.
 
     Level by level: a longer n-gram can only be frequent if both of its shorter parts are, so most
-    n-grams are dropped where they are read and never reach a shuffle. The result is exact.
+    n-grams are dropped where they are read and never reach a shuffle. The result is exact. The
+    tokens are read once per level, so give it a stage table.
     """
     n = df.count()
     least = min_df * n
     level = None
     levels = []
     for size in range(1, max_n + 1):
-        terms = df.select(F.explode(F.array_distinct(tx.ngrams(tokens, size))).alias("term"))
+        terms = explode_values(df, [], F.array_distinct(tx.ngrams(tokens, size)), "term")
         if level is not None:
             shorter = broadcast_if_small(level.select(F.col("term").alias("_part")))
             for side in (size - 1, -(size - 1)):
@@ -120,7 +122,7 @@ class TfidfModel:
     def transform_long(self, df: DataFrame, tokens: str = "tokens", key: str = "unique_id") -> DataFrame:
         """(key, term, weight): tf * idf with unit length per text; unknown terms are dropped."""
         weights = broadcast_if_small(self.vocabulary.select("term", self.idf().alias("_idf")))
-        terms = df.select(key, F.explode(tx.ngrams_up_to(tokens, self.max_n)).alias("term"))
+        terms = explode_values(df, [key], tx.ngrams_up_to(tokens, self.max_n), "term")
         # One shuffle by key serves the counting and the norm.
         known = terms.join(weights, "term").repartition(key)
         raw = known.groupBy(key, "term").agg((F.count(F.lit(1)) * F.first("_idf")).alias("_raw"))

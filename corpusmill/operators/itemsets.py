@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
 from corpusmill.operators.aggregates import count_by, having_support
+from corpusmill.operators.rows import explode_values, posexplode_values
 from corpusmill.sources.staging import broadcast_if_small
 
 # Up to this many frequent items go into the plan as a constant; more are joined.
@@ -27,7 +28,7 @@ def baskets(
     df: DataFrame, text: str, stopwords: Sequence[str], key: str = "unique_id", label: str | None = "label"
 ) -> DataFrame:
     """Item sets of raw text: (unique_id, label, items)."""
-    items = tx.item_set(tx.normalize_text(text), stopwords).alias("items")
+    items = tx.item_set(tx.normal_words(text), stopwords).alias("items")
     return df.select(key, *([label] if label else []), items)
 
 
@@ -38,7 +39,7 @@ def min_support(n: int, support: float) -> int:
 
 def item_counts(baskets: DataFrame) -> DataFrame:
     """(item, cnt): baskets that contain each item."""
-    return count_by(baskets.select(F.explode("items").alias("item")), ["item"])
+    return count_by(explode_values(baskets, [], "items", "item"), ["item"])
 
 
 def item_residue(item: Column, buckets: int) -> Column:
@@ -89,17 +90,18 @@ def bucket_counts(baskets: DataFrame, buckets: int = 1000) -> DataFrame:
         )
 
     hashes = F.transform("items", lambda x: item_residue(x, buckets).cast("int"))
-    partial = baskets.select(hashes.alias("h")).where(F.size("h") >= 2).mapInArrow(count, "bucket int, cnt long")
+    partial = baskets.select(hashes.alias("h")).mapInArrow(count, "bucket int, cnt long")
     return partial.groupBy("bucket").agg(F.sum("cnt").alias("cnt"))
 
 
 def keep_frequent(
     baskets: DataFrame, frequent_items: DataFrame, max_constant: int = MAX_CONSTANT_ITEMS
 ) -> DataFrame:
-    """Baskets reduced to their frequent items, order kept; baskets left with none are dropped.
+    """Baskets reduced to their frequent items, order kept.
 
     A short list becomes a constant of the plan and the rows are filtered where they are. A long
-    one is joined, and each basket is put together again by its key.
+    one is joined, and each basket is put together again by its key; baskets left with no item
+    are then missing.
     """
     rows = frequent_items.select("item").limit(max_constant + 1).collect()
     if len(rows) <= max_constant:
@@ -107,11 +109,11 @@ def keep_frequent(
         reduced = baskets.withColumn("items", F.array_intersect("items", constant))
     else:
         others = [c for c in baskets.columns if c != "items"]
-        found = baskets.select(*others, F.explode("items").alias("item")).join(
+        found = explode_values(baskets, others, "items", "item").join(
             broadcast_if_small(frequent_items.select("item")), "item", "left_semi"
         )
         reduced = found.groupBy(*others).agg(F.array_sort(F.collect_list("item")).alias("items"))
-    return reduced.where(F.size("items") > 0)
+    return reduced
 
 
 def _tail(items: str, position: str) -> Column:
@@ -122,8 +124,8 @@ def _tail(items: str, position: str) -> Column:
 def basket_pairs(frequent_baskets: DataFrame) -> DataFrame:
     """Pairs a < b of each basket. Give it baskets reduced to frequent items."""
     others = [c for c in frequent_baskets.columns if c != "items"]
-    first = frequent_baskets.select(*others, "items", F.posexplode("items").alias("_pos", "a"))
-    return first.select(*others, "a", F.explode(_tail("items", "_pos")).alias("b"))
+    first = posexplode_values(frequent_baskets, [*others, "items"], "items", "_pos", "a")
+    return explode_values(first, [*others, "a"], _tail("items", "_pos"), "b")
 
 
 def pair_counts(
@@ -144,19 +146,18 @@ def candidate_triplets(frequent_baskets: DataFrame, frequent_pairs: DataFrame) -
     """Triplets a < b < c of each basket whose three pairs are all frequent.
 
     Each item is extended only by its frequent partners in the same basket, so the C(n, 3)
-    triplets of a basket are never listed. ``frequent_pairs`` should be a stage table.
+    triplets of a basket are never listed. ``frequent_pairs`` should be a stage table: Spark then
+    knows its size and broadcasts it only below the broadcast threshold.
     """
     others = [c for c in frequent_baskets.columns if c != "items"]
     partners = frequent_pairs.groupBy("a").agg(F.collect_set("b").alias("_partners"))
-    first = frequent_baskets.select(*others, "items", F.posexplode("items").alias("_pos", "a"))
-    extended = first.join(broadcast_if_small(partners), "a").select(
+    first = posexplode_values(frequent_baskets, [*others, "items"], "items", "_pos", "a")
+    extended = first.join(partners, "a").select(
         *others, "a", F.array_intersect(_tail("items", "_pos"), F.col("_partners")).alias("_ext")
     )
-    second = extended.where(F.size("_ext") >= 2).select(
-        *others, "a", "_ext", F.posexplode("_ext").alias("_pos", "b")
-    )
-    third = second.select(*others, "a", "b", F.explode(_tail("_ext", "_pos")).alias("c"))
-    closing = broadcast_if_small(frequent_pairs.select(F.col("a").alias("b"), F.col("b").alias("c")))
+    second = posexplode_values(extended, [*others, "a", "_ext"], "_ext", "_pos", "b")
+    third = explode_values(second, [*others, "a", "b"], _tail("_ext", "_pos"), "c")
+    closing = frequent_pairs.select(F.col("a").alias("b"), F.col("b").alias("c"))
     return third.join(closing, ["b", "c"], "left_semi").select(*others, "a", "b", "c")
 
 
@@ -181,7 +182,7 @@ def triplet_matches(baskets: DataFrame, triplets: DataFrame) -> DataFrame:
     """
     items = triplets.select(F.explode(F.array("a", "b", "c")).alias("item")).distinct()
     found = candidate_triplets(keep_frequent(baskets, items), pairs_of(triplets))
-    return found.join(broadcast_if_small(triplets.select("a", "b", "c")), ["a", "b", "c"], "left_semi")
+    return found.join(triplets.select("a", "b", "c"), ["a", "b", "c"], "left_semi")
 
 
 def class_counts(matches: DataFrame, keys: Sequence[str] = ("a", "b", "c"), label: str = "label") -> DataFrame:

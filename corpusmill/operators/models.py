@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators import metrics
-from corpusmill.operators.aggregates import argmax_param, mode_by_group, mode_value
+from corpusmill.operators.aggregates import argmax_param, mode_by_group, mode_value, union_all
 from corpusmill.operators.joins import lookup_map, nearest_to_center
 from corpusmill.operators.sampling import stratified_kfold
 
@@ -47,6 +48,13 @@ def results_table(df: DataFrame, rows: Iterable[tuple]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, RESULT_SCHEMA).coalesce(1)
 
 
+def _grid(values: Iterable, fit: Callable, parallelism: int) -> list:
+    """Results in the order of ``values``, several fits at once so that small stages overlap."""
+    values = list(values)
+    with ThreadPool(max(1, min(parallelism, len(values)))) as pool:
+        return pool.map(inheritable_thread_target(fit), values)
+
+
 def _accuracy(df: DataFrame) -> float:
     return metrics.accuracy(df).first()["accuracy"]
 
@@ -124,30 +132,41 @@ def kmeans_predict(
 
 def kmeans_tune_holdout(
     train: DataFrame, val: DataFrame, ks: Iterable[int] = range(2, 11), mapping: str = "majority",
-    features: str = "features", seed: int = 42, n_init: int = 1,
+    features: str = "features", seed: int = 42, n_init: int = 1, parallelism: int = 4,
 ) -> DataFrame:
     """(k, accuracy on the validation part) per k."""
+
+    def score(k: int) -> tuple:
+        model = kmeans_fit(train, k, features, seed, n_init)
+        return k, "accuracy", _accuracy(kmeans_predict(model, train, val, mapping, features))
+
     with cached(train, val):
-        rows = [
-            (k, "accuracy", _accuracy(kmeans_predict(
-                kmeans_fit(train, k, features, seed, n_init), train, val, mapping, features)))
-            for k in ks
-        ]
+        rows = _grid(ks, score, parallelism)
     return results_table(train, rows)
 
 
-def kmeans_elbow(df: DataFrame, ks: Iterable[int] = range(2, 11), features: str = "features", seed: int = 42) -> DataFrame:
+def kmeans_elbow(
+    df: DataFrame, ks: Iterable[int] = range(2, 11), features: str = "features", seed: int = 42, parallelism: int = 4
+) -> DataFrame:
     """(k, sum of squared distances to the centers) per k."""
     with cached(df):
-        rows = [(k, "cost", kmeans_fit(df, k, features, seed).summary.trainingCost) for k in ks]
+        rows = _grid(
+            ks, lambda k: (k, "cost", kmeans_fit(df, k, features, seed).summary.trainingCost), parallelism
+        )
     return results_table(df, rows)
 
 
-def kmeans_silhouette(df: DataFrame, ks: Iterable[int] = range(2, 11), features: str = "features", seed: int = 42) -> DataFrame:
+def kmeans_silhouette(
+    df: DataFrame, ks: Iterable[int] = range(2, 11), features: str = "features", seed: int = 42, parallelism: int = 4
+) -> DataFrame:
     """(k, mean silhouette with squared Euclidean distance) per k."""
     evaluator = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
+
+    def score(k: int) -> tuple:
+        return k, "silhouette", evaluator.evaluate(kmeans_fit(df, k, features, seed).transform(df))
+
     with cached(df):
-        rows = [(k, "silhouette", evaluator.evaluate(kmeans_fit(df, k, features, seed).transform(df))) for k in ks]
+        rows = _grid(ks, score, parallelism)
     return results_table(df, rows)
 
 
@@ -176,11 +195,13 @@ def rf_fit_predict(train: DataFrame, df: DataFrame, **options) -> DataFrame:
 
 
 def rf_tune_holdout(
-    train: DataFrame, val: DataFrame, trees: Iterable[int] = range(100, 1001, 100), **options
+    train: DataFrame, val: DataFrame, trees: Iterable[int] = range(100, 1001, 100), parallelism: int = 4, **options
 ) -> DataFrame:
     """(number of trees, accuracy on the validation part) per grid value."""
     with cached(train, val):
-        rows = [(t, "accuracy", _accuracy(rf_fit_predict(train, val, trees=t, **options))) for t in trees]
+        rows = _grid(
+            trees, lambda t: (t, "accuracy", _accuracy(rf_fit_predict(train, val, trees=t, **options))), parallelism
+        )
     return results_table(train, rows)
 
 
@@ -216,18 +237,19 @@ def cv_results(model: CrossValidatorModel) -> list[dict]:
 
 
 def cv_stratified(
-    df: DataFrame, folds: int = 10, id_col: str = "unique_id", label: str = "label", seed: int = 42, **options
+    df: DataFrame, folds: int = 10, id_col: str = "unique_id", label: str = "label", seed: int = 42,
+    parallelism: int = 4, **options
 ) -> DataFrame:
     """Out-of-fold predictions of a random forest: (id, fold, label, prediction, score)."""
     folded = stratified_kfold(df, id_col, label, folds, seed)
-    out = None
+
+    def out_of_fold(f: int) -> DataFrame:
+        model = random_forest(seed=seed, **options).fit(folded.where(F.col("fold") != f))
+        part = rf_predict(model, folded.where(F.col("fold") == f))
+        return part.select(id_col, "fold", label, "prediction", "score")
+
     with cached(folded):
-        for f in range(folds):
-            model = random_forest(seed=seed, **options).fit(folded.where(F.col("fold") != f))
-            part = rf_predict(model, folded.where(F.col("fold") == f))
-            part = part.select(id_col, "fold", label, "prediction", "score")
-            out = part if out is None else out.unionByName(part)
-    return out
+        return union_all(*_grid(range(folds), out_of_fold, parallelism))
 
 
 def fold_scores(predictions: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def triplet_parts(
     ``mine_on='all'`` mines every part and so leaks the test part into the choice of features.
     """
     parts = split_and_balance(df, balance=balance, seed=seed)
-    items = tx.item_set(tx.normalize_text(text), stopwords).alias("items")
+    items = tx.item_set(tx.normal_words(text), stopwords).alias("items")
     parts = stage(parts.select("unique_id", "label", "split", items), "split-baskets")
     source = parts if mine_on == "all" else parts.where(F.col("split") == "train")
     mined = mine(source.select("unique_id", "label", "items"), *supports)

@@ -24,9 +24,11 @@ def mine(
 ) -> Mined:
     """Three passes; supports are absolute, or a share of the baskets when below 1.
 
-    After the first pass only the reduced baskets are read, and every frequent set is a small
-    stage table. The third pass counts each triplet in total and per class at once.
+    The texts are read and split once. After the first pass only the reduced baskets are read, and
+    every frequent set is a small stage table. The third pass counts each triplet in total and per
+    class at once.
     """
+    baskets = stage(baskets, "baskets")
     n = baskets.count()
     items = stage(
         having_support(it.item_counts(baskets), it.min_support(n, item_support)), "frequent-items"

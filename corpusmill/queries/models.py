@@ -11,6 +11,7 @@ from corpusmill.operators import charts, models
 from corpusmill.operators import features as ft
 from corpusmill.operators import sampling as sm
 from corpusmill.operators.aggregates import vector_mean
+from corpusmill.operators.rows import explode_values
 from corpusmill.plans import classify
 from corpusmill.queries import views as v
 from corpusmill.queries.registry import query
@@ -39,7 +40,8 @@ tfidf AS (
 
 def split_tokens(spark, d):
     parts = sm.split_holdout(v.labelled(spark, d))
-    return parts.select("unique_id", "label", "split", tx.term_tokens("body", v.stopwords()).alias("tokens"))
+    tokens = tx.term_tokens("body", v.stopwords()).alias("tokens")
+    return stage(parts.select("unique_id", "label", "split", tokens), "split-tokens")
 
 
 def _is_train(df):
@@ -70,7 +72,7 @@ def tfidf_fit_transform(spark, d):
 
 # --- word vectors and encoders ---------------------------------------------------------------
 
-_HEX = "CAST(('0x' || substr(md5(word), {0}, 2)) AS BIGINT) / 128.0 - 1.0"
+_HEX = "CAST(('0x' || substr(md5(word), {0}, 2)) AS BIGINT) / 127.5 - 1.0"
 V_WORDS = f"""{v.V_LABELLED}, words AS (
   SELECT unique_id, unnest(list_filter(string_split({v.NORMALIZED.format('body')}, ' '), lambda t: t <> '')) AS word
   FROM v_labelled),
@@ -78,7 +80,8 @@ known AS (SELECT word FROM words GROUP BY word HAVING count(*) >= 2)"""
 
 
 def _words(spark, d):
-    return v.labelled(spark, d).select("unique_id", tx.split_words(tx.normalize_text("body")).alias("tokens"))
+    words = tx.tokenize("body", contractions=False).alias("tokens")
+    return stage(v.labelled(spark, d).select("unique_id", words), "words")
 
 
 @query("vector_mean", f"""WITH {V_WORDS}, vectors AS (
@@ -90,8 +93,8 @@ SELECT unique_id, round(coalesce(v1, 0), 6) AS v1, round(coalesce(v2, 0), 6) AS
        round(coalesce(v4, 0), 6) AS v4 FROM v_labelled LEFT JOIN sums USING (unique_id)""")
 def vector_mean_(spark, d):
     texts = _words(spark, d)
-    known = texts.select(F.explode("tokens").alias("word")).groupBy("word").count().where("count >= 2")
-    parts = [F.conv(F.substring(F.md5("word"), 1 + 2 * i, 2), 16, 10).cast("double") / 128.0 - 1.0 for i in range(4)]
+    known = explode_values(texts, [], "tokens", "word").groupBy("word").count().where("count >= 2")
+    parts = [F.conv(F.substring(F.md5("word"), 1 + 2 * i, 2), 16, 10).cast("double") / 127.5 - 1.0 for i in range(4)]
     vectors = stage(known.select("word", F.array(*parts).alias("vector")), "vectors")
     means = vector_mean(texts, "tokens", vectors, 4)
     return means.select("unique_id", *[F.round(F.col("embedding")[i], 6).alias(f"v{i + 1}") for i in range(4)])
@@ -272,7 +275,8 @@ def tfidf_kmeans_holdout(spark, d):
 
 @query("triplet_forest_holdout")
 def triplet_forest_holdout(spark, d):
-    parts = classify.triplet_parts(v.labelled(spark, d), "body", v.stopwords(), (v.SUPPORT,) * 3)
+    supports = (v.SUPPORT,) * 3
+    parts = classify.triplet_parts(v.labelled(spark, d), "body", v.stopwords(), supports, balance="none")
     return classify.random_forest_holdout(parts, trees=TREES).results
 
 

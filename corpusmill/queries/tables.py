@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import text as tx
 from corpusmill.operators import aggregates as ag
 from corpusmill.operators import clean, dedup, itemsets, joins, models, profile, ranks
+from corpusmill.operators.rows import explode_values
 from corpusmill.queries import views as v
 from corpusmill.queries.registry import query
 from corpusmill.sources.chunks import order_by_chunk
@@ -270,7 +271,7 @@ def semi_join_frequent(spark, d):
     baskets = v.labelled_baskets(spark, d)
     support = itemsets.min_support(baskets.count(), v.SUPPORT)
     frequent = stage(ag.having_support(itemsets.item_counts(baskets), support), "frequent-items")
-    tokens = baskets.select("unique_id", F.explode("items").alias("item"))
+    tokens = explode_values(baskets, ["unique_id"], "items", "item")
     return joins.semi_join_frequent(tokens, frequent, ["item"])
 
 
@@ -319,8 +320,8 @@ WORDS_SQL = f"SELECT unnest(list_filter(string_split({v.NORMALIZED.format('text'
 
 @query("partial_final_count", f"SELECT word, count(*) AS cnt FROM ({WORDS_SQL}) GROUP BY word")
 def partial_final_count(spark, d):
-    words = F.explode(tx.split_words(tx.normalize_text("text"))).alias("word")
-    return ag.count_by(v.table(spark, d, "documents").select(words), ["word"])
+    words = explode_values(v.documents(spark, d), [], tx.tokenize("text", contractions=False), "word")
+    return ag.count_by(words, ["word"])
 
 
 @query("having_support", f"""WITH {v.V_DOC_ITEMS} SELECT item, count(*) AS cnt FROM v_items GROUP BY item
@@ -345,7 +346,7 @@ def mean_scores(spark, d):
   SELECT item, count(*) FILTER (label = 1) AS cnt_1, count(*) FILTER (label = 0) AS cnt_0 FROM v_items GROUP BY item)
 SELECT item, cnt_1, cnt_0, cnt_1 - cnt_0 AS difference FROM c ORDER BY difference DESC, item LIMIT 10""")
 def topk_contrast(spark, d):
-    items = v.labelled_baskets(spark, d).select("label", F.explode("items").alias("item"))
+    items = explode_values(v.labelled_baskets(spark, d), ["label"], "items", "item")
     return ag.topk_contrast(itemsets.class_counts(items, ["item"]), 10, "item")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
 from corpusmill.operators import clean
+from corpusmill.operators.rows import explode_values
 from corpusmill.queries import views as v
 from corpusmill.queries.registry import query
 from corpusmill.sources.staging import stage
@@ -42,17 +43,21 @@ v_lemmatized AS (
 
 
 def _documents(spark, d):
-    return v.table(spark, d, "documents").select(F.col("doc_id").alias("unique_id"), F.col("text").alias("body"))
+    return v.documents(spark, d).select(F.col("doc_id").alias("unique_id"), F.col("text").alias("body"))
 
 
 def _kept(spark, d):
-    words = tx.remove_stopwords(tx.tokenize(tx.normalize_text("body")), v.stopwords())
+    words = tx.remove_stopwords(tx.tokenize("body"), v.stopwords())
     return _documents(spark, d).select("unique_id", "body", words.alias("tokens"))
 
 
-def lexicon_tables(spark, d):
+def _kept_stage(spark, d):
+    return stage(_kept(spark, d), "kept-words")
+
+
+def lexicon_tables(texts):
     """(token, tag) and (token, class, lemma) by suffix rules from the corpus words."""
-    words = _kept(spark, d).select(F.explode("tokens").alias("token")).where(F.char_length("token") >= 5)
+    words = explode_values(texts, [], "tokens", "token").where(F.char_length("token") >= 5)
     words = stage(words.distinct(), "words")
     token = F.col("token")
     tag = (
@@ -69,17 +74,17 @@ def lexicon_tables(spark, d):
 
 @query("collapse_whitespace", f"SELECT doc_id, regexp_replace(text, '{tx.SPACE_RUN}', ' ', 'g') AS text FROM documents")
 def collapse_whitespace(spark, d):
-    return v.table(spark, d, "documents").select("doc_id", tx.collapse_whitespace("text").alias("text"))
+    return v.documents(spark, d).select("doc_id", tx.collapse_whitespace("text").alias("text"))
 
 
 @query("text_normalize", f"SELECT doc_id, {NORMAL} AS text FROM documents")
 def text_normalize(spark, d):
-    return v.table(spark, d, "documents").select("doc_id", tx.normalize_text("text").alias("text"))
+    return v.documents(spark, d).select("doc_id", tx.normalize_text("text").alias("text"))
 
 
 @query("tokenize", f"WITH {V_TOKENS} SELECT unique_id, array_to_string(tokens, ' ') AS tokens FROM v_tokens")
 def tokenize(spark, d):
-    tokens = F.array_join(tx.tokenize(tx.normalize_text("body")), " ").alias("tokens")
+    tokens = F.array_join(tx.tokenize("body"), " ").alias("tokens")
     return _documents(spark, d).select("unique_id", tokens)
 
 
@@ -90,14 +95,15 @@ def remove_stopwords(spark, d):
 
 @query("pos_to_lexical_class", f"WITH {V_LEXICON} SELECT token, tag, class FROM v_classes")
 def pos_to_lexical_class(spark, d):
-    lexicon, _ = lexicon_tables(spark, d)
+    lexicon, _ = lexicon_tables(_kept(spark, d))
     return lexicon.select("token", "tag", tx.lexical_class("tag").alias("class"))
 
 
 @query("lemma_lookup", f"""WITH {V_LEXICON} SELECT k.unique_id, coalesce(l.lemmas, '') AS tokens
 FROM v_kept k LEFT JOIN v_lemmatized l ON k.unique_id = l.unique_id""")
 def lemma_lookup(spark, d):
-    looked_up = clean.lemma_lookup(_kept(spark, d).drop("body"), "tokens", *lexicon_tables(spark, d))
+    texts = _kept_stage(spark, d)
+    looked_up = clean.lemma_lookup(texts.drop("body"), "tokens", *lexicon_tables(texts))
     return looked_up.select("unique_id", F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -112,19 +118,19 @@ def normalize_or_original(spark, d):
 CASE WHEN len(k.tokens) = 0 THEN k.body ELSE l.lemmas END AS cleaned_body
 FROM v_kept k LEFT JOIN v_lemmatized l ON k.unique_id = l.unique_id""")
 def clean_corpus(spark, d):
-    return clean.clean_corpus(_documents(spark, d), v.stopwords(), *lexicon_tables(spark, d))
+    return clean.clean_corpus(_documents(spark, d), v.stopwords(), *lexicon_tables(_kept(spark, d)))
 
 
 @query("item_set", f"SELECT doc_id, array_to_string({v.items_sql('text')}, ' ') AS items FROM documents")
 def item_set(spark, d):
-    items = tx.item_set(tx.normalize_text("text"), v.stopwords())
-    return v.table(spark, d, "documents").select("doc_id", F.array_join(items, " ").alias("items"))
+    items = tx.item_set(tx.normal_words("text"), v.stopwords())
+    return v.documents(spark, d).select("doc_id", F.array_join(items, " ").alias("items"))
 
 
 @query("itemset_to_string", f"SELECT doc_id, array_to_string({v.items_sql('text')}, ' - ') AS name FROM documents")
 def itemset_to_string(spark, d):
-    items = tx.item_set(tx.normalize_text("text"), v.stopwords())
-    return v.table(spark, d, "documents").select("doc_id", tx.itemset_to_string(items).alias("name"))
+    items = tx.item_set(tx.normal_words("text"), v.stopwords())
+    return v.documents(spark, d).select("doc_id", tx.itemset_to_string(items).alias("name"))
 
 
 TERM_TOKENS_SQL = f"list_filter(string_split({v.NORMALIZED}, ' '), lambda t: length(t) >= 2 AND t NOT IN (@STOPWORDS@))"
@@ -138,5 +144,5 @@ NGRAMS_SQL = (
 @query("ngrams_1_3", f"""WITH t AS (SELECT doc_id, {TERM_TOKENS_SQL.format('text')} AS tok FROM documents)
 SELECT doc_id, array_to_string({NGRAMS_SQL}, '|') AS terms FROM t""")
 def ngrams_1_3(spark, d):
-    tokens = v.table(spark, d, "documents").select("doc_id", tx.term_tokens("text", v.stopwords()).alias("tok"))
+    tokens = v.documents(spark, d).select("doc_id", tx.term_tokens("text", v.stopwords()).alias("tok"))
     return tokens.select("doc_id", F.array_join(tx.ngrams_up_to("tok", 3), "|").alias("terms"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import text as tx
 from corpusmill.functions.stopwords import default_stopwords
 from corpusmill.operators import itemsets as it
+from corpusmill.sources.staging import spread
 
 SEED = 42
 SUPPORT = 0.10  # share of the baskets, for items, pairs and triplets
@@ -17,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts, spread over the cores for work on each of them."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def stopwords() -> list[str]:
     return list(default_stopwords("english"))
 
@@ -42,7 +48,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = (
         F.when(i % 23 == 0, None).when(i % 29 == 0, "   ").when(i % 31 == 0, "I need help").otherwise(F.col("text"))
     )
-    joined = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    joined = documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id", "left")
     return joined.select(
         F.when(i % 97 != 5, i).alias("row_id"),
         F.col("source").alias("subreddit"),
@@ -72,7 +78,7 @@ V_LABELLED = """v_labelled AS (
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    joined = documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
     return joined.select(
         F.col("doc_id").alias("unique_id"), F.col("text").alias("body"),
         F.col("quality").alias("label"), F.col("toxic").alias("label2"),
@@ -121,7 +127,7 @@ def labelled_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "unique_id")
+    docs = documents(spark, sf_dir).withColumnRenamed("doc_id", "unique_id")
     return it.baskets(docs, "text", stopwords(), label=None)
 
 

@@ -74,6 +74,16 @@ def materialize_or_load(
     return spark.read.parquet(target)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread the rows of a scan over the cores when it has fewer partitions than there are cores.
+
+    Meant for a few large unsplittable files before costly work per row. A scan with enough
+    partitions is left alone, so large inputs are never shuffled by this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores, key)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint when the table has at most ``max_rows`` rows; otherwise Spark joins by shuffle.
 
