@@ -114,15 +114,12 @@ def pcy_frequent_triplets(spark, d):
     return mined(spark, d).triplets.select("a", "b", "c", "cnt")
 
 
-_CLASSES = """v_classes AS (
-  SELECT a, b, c, count(*) FILTER (label = 1) AS cnt_1, count(*) FILTER (label = 0) AS cnt_0
-  FROM v_triplets JOIN f_triplets USING (a, b, c) GROUP BY a, b, c)"""
-_NAMED = f"""WITH {v.V_MINED}, {_CLASSES}, named AS (
-  SELECT a || ' - ' || b || ' - ' || c AS triplet, cnt_1, cnt_0, cnt_1 - cnt_0 AS difference FROM v_classes)"""
+_NAMED = f"""WITH {v.V_MINED}, named AS (
+  SELECT a || ' - ' || b || ' - ' || c AS triplet, cnt_1, cnt_0, cnt_1 - cnt_0 AS difference FROM f_triplets)"""
 _TOP10 = "FROM named ORDER BY difference DESC, triplet LIMIT 10"
 
 
-@query("triplet_class_counts", f"WITH {v.V_MINED}, {_CLASSES} SELECT a, b, c, cnt_1, cnt_0 FROM v_classes")
+@query("triplet_class_counts", _mined_sql("SELECT a, b, c, cnt_1, cnt_0 FROM f_triplets"))
 def triplet_class_counts(spark, d):
     return it.class_counts(it.triplet_matches(v.labelled_baskets(spark, d), mined(spark, d).triplets))
 

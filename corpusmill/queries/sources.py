@@ -14,11 +14,17 @@ from corpusmill.queries.registry import query
 from corpusmill.sources import chunks, delimited, stores
 from corpusmill.sources.staging import materialize_or_load, scratch_path
 
-DOCUMENTS = T.StructType.fromDDL("doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
-BODIES = T.StructType.fromDDL("body STRING, unique_id LONG")
-POSTS = T.StructType.fromDDL(
-    "row_id LONG, subreddit STRING, title STRING, body STRING, upvotes LONG, created_utc LONG, "
-    "num_comments LONG, label INT"
+
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+LONG, STRING = T.LongType(), T.StringType()
+DOCUMENTS = _schema(doc_id=LONG, text=STRING, lang=STRING, source=STRING, n_chars=LONG)
+BODIES = _schema(body=STRING, unique_id=LONG)
+POSTS = _schema(
+    row_id=LONG, subreddit=STRING, title=STRING, body=STRING, upvotes=LONG, created_utc=LONG, num_comments=LONG,
+    label=T.IntegerType(),
 )
 ALL_DOCUMENTS = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 ALL_POSTS = f"WITH {v.V_POSTS} SELECT * FROM v_posts"

@@ -118,7 +118,9 @@ v_triplets AS (
   JOIN v_frequent z ON p.unique_id = z.unique_id AND z.item > p.b
   JOIN f_pairs ac ON p.a = ac.a AND z.item = ac.b
   JOIN f_pairs bc ON p.b = bc.a AND z.item = bc.b),
-c_triplets AS (SELECT a, b, c, count(*) AS cnt FROM v_triplets GROUP BY a, b, c),
+c_triplets AS (
+  SELECT a, b, c, count(*) AS cnt, count(*) FILTER (label = 1) AS cnt_1, count(*) FILTER (label = 0) AS cnt_0
+  FROM v_triplets GROUP BY a, b, c),
 f_triplets AS (SELECT * FROM c_triplets WHERE cnt >= (SELECT s FROM v_support))"""
 
 
