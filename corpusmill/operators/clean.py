@@ -126,4 +126,4 @@ def clean_corpus(
     words = tx.remove_stopwords(tx.tokenize(text), stopwords)
     looked_up = lemma_lookup(df.withColumn("_tokens", words), "_tokens", lexicon, lemmas, key)
     joined = F.array_join("_tokens", " ")
-    return looked_up.withColumn(out, normalize_or_original(joined, F.col(text))).drop("_tokens")
+    return looked_up.select(*df.columns, normalize_or_original(joined, F.col(text)).alias(out))

@@ -84,4 +84,4 @@ def dedup_length_aware(
     kept = stage(kept.select(order_by, survivor.cast("int").alias("_survivor")), "kept-rows")
     keys = assign_row_key(kept, order_by, key, lead=["_survivor"]).drop("_survivor")
     # Same rows under one row key are equal in every column; the join has brought them together.
-    return df.join(keys, order_by).distinct()
+    return df.join(keys, order_by).select(*df.columns, key).distinct()
