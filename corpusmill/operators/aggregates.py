@@ -66,10 +66,11 @@ def vector_mean(
     """
     words = explode_values(df, [key], tokens, "word")
     known = words.join(broadcast_if_small(vectors), "word")
-    means = known.groupBy(key).agg(Summarizer.mean(array_to_vector("vector")).alias("_mean"))
+    mean = Summarizer.mean(array_to_vector("vector"))
+    means = known.groupBy(key).agg(vector_to_array(mean).alias("_mean"))
     zeros = F.array_repeat(F.lit(0.0), size)
     joined = df.select(key).join(means, key, "left")
-    return joined.select(key, F.coalesce(vector_to_array("_mean"), zeros).alias(out))
+    return joined.select(key, F.coalesce("_mean", zeros).alias(out))
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

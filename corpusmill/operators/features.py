@@ -94,7 +94,8 @@ def document_frequencies(
     for size in range(1, max_n + 1):
         terms = explode_values(df, [], F.array_distinct(tx.ngrams(tokens, size)), "term")
         if level is not None:
-            shorter = broadcast_if_small(level.select(F.col("term").alias("_part")))
+            # The level is a stage table, so Spark knows whether it is small enough to broadcast.
+            shorter = level.select(F.col("term").alias("_part"))
             for side in (size - 1, -(size - 1)):
                 part = F.substring_index("term", " ", side)
                 terms = terms.join(shorter, part == F.col("_part"), "left_semi")
@@ -111,7 +112,7 @@ def document_frequencies(
 class TfidfModel:
     """Vocabulary with document frequencies of the training texts."""
 
-    vocabulary: DataFrame  # (term, df)
+    vocabulary: DataFrame  # (term, df), stage tables
     n_texts: int
     max_n: int = 3
 
@@ -121,7 +122,7 @@ class TfidfModel:
 
     def transform_long(self, df: DataFrame, tokens: str = "tokens", key: str = "unique_id") -> DataFrame:
         """(key, term, weight): tf * idf with unit length per text; unknown terms are dropped."""
-        weights = broadcast_if_small(self.vocabulary.select("term", self.idf().alias("_idf")))
+        weights = self.vocabulary.select("term", self.idf().alias("_idf"))
         terms = explode_values(df, [key], tx.ngrams_up_to(tokens, self.max_n), "term")
         # One shuffle by key serves the counting and the norm.
         known = terms.join(weights, "term").repartition(key)

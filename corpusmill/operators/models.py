@@ -16,7 +16,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.operators import metrics
@@ -52,7 +52,7 @@ def _grid(values: Iterable, fit: Callable, parallelism: int) -> list:
     """Results in the order of ``values``, several fits at once so that small stages overlap."""
     values = list(values)
     with ThreadPool(max(1, min(parallelism, len(values)))) as pool:
-        return pool.map(inheritable_thread_target(fit), values)
+        return pool.map(inheritable_thread_target(SparkSession.getActiveSession())(fit), values)
 
 
 def _accuracy(df: DataFrame) -> float:
