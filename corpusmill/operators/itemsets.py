@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import text as tx
 from corpusmill.operators.aggregates import count_by, having_support
 from corpusmill.operators.rows import explode_values, posexplode_values
-from corpusmill.sources.staging import broadcast_if_small
+from corpusmill.sources.staging import broadcast_if_small, is_small
 
 # Up to this many frequent items go into the plan as a constant; more are joined.
 MAX_CONSTANT_ITEMS = 5000
@@ -146,11 +146,12 @@ def candidate_triplets(frequent_baskets: DataFrame, frequent_pairs: DataFrame) -
     """Triplets a < b < c of each basket whose three pairs are all frequent.
 
     Each item is extended only by its frequent partners in the same basket, so the C(n, 3)
-    triplets of a basket are never listed. ``frequent_pairs`` should be a stage table: Spark then
-    knows its size and broadcasts it only below the broadcast threshold.
+    triplets of a basket are never listed. ``frequent_pairs`` should be a stage table, so that its
+    size is known.
     """
     others = [c for c in frequent_baskets.columns if c != "items"]
     partners = frequent_pairs.groupBy("a").agg(F.collect_set("b").alias("_partners"))
+    partners = F.broadcast(partners) if is_small(frequent_pairs) else partners
     first = posexplode_values(frequent_baskets, [*others, "items"], "items", "_pos", "a")
     extended = first.join(partners, "a").select(
         *others, "a", F.array_intersect(_tail("items", "_pos"), F.col("_partners")).alias("_ext")

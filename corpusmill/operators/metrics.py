@@ -81,7 +81,7 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
 def roc_points(
     df: DataFrame, label: str = "label", score: str = "score", positive: int = 1, buckets: int | None = None
 ) -> DataFrame:
-    """(threshold, p, n, tp, fp, positives, negatives), one row per distinct score, falling.
+    """(threshold, p, n, tp, fp), one row per distinct score, falling.
 
     Equal scores are merged first, so a score shared by many rows is one row here; the running
     sums are taken in two phases and not in one task.
@@ -90,18 +90,17 @@ def roc_points(
     counts = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(is_positive).alias("p"), F.count_if(~is_positive).alias("n")
     )
-    running = running_sums(
-        counts, "threshold", {"tp": F.col("p"), "fp": F.col("n")}, descending=True, buckets=buckets
-    )
-    totals = counts.agg(F.sum("p").alias("positives"), F.sum("n").alias("negatives"), F.lit(1).alias("_one"))
-    return running.withColumn("_one", F.lit(1)).join(F.broadcast(totals), "_one").drop("_one")
+    return running_sums(counts, "threshold", {"tp": F.col("p"), "fp": F.col("n")}, descending=True, buckets=buckets)
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "score", **options) -> DataFrame:
+def roc_curve(
+    df: DataFrame, label: str = "label", score: str = "score", positive: int = 1, buckets: int | None = None
+) -> DataFrame:
     """(fpr, tpr, threshold), with the start point (0, 0) at an infinite threshold."""
-    points = roc_points(df, label, score, **options).select(
-        _ratio(F.col("fp"), F.col("negatives")).alias("fpr"),
-        _ratio(F.col("tp"), F.col("positives")).alias("tpr"),
+    is_positive = F.col(label) == positive
+    totals = df.agg(F.count_if(is_positive).alias("p"), F.count_if(~is_positive).alias("n")).first()
+    points = roc_points(df, label, score, positive, buckets).select(
+        _ratio(F.col("fp"), F.lit(totals["n"])).alias("fpr"), _ratio(F.col("tp"), F.lit(totals["p"])).alias("tpr"),
         "threshold",
     )
     start = df.sparkSession.createDataFrame([(0.0, 0.0, float("inf"))], "fpr double, tpr double, threshold double")
@@ -113,6 +112,4 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", **options
     points = roc_points(df, label, score, **options)
     # Width n, mean height (tp + tp before) / 2, where the value before is tp - p.
     area = F.sum(F.col("n") * (2.0 * F.col("tp") - F.col("p")) / 2.0)
-    return points.agg(
-        F.try_divide(area, F.max("positives").cast("double") * F.max("negatives")).alias("auc")
-    )
+    return points.agg(F.try_divide(area, F.sum("p").cast("double") * F.sum("n")).alias("auc"))

@@ -12,6 +12,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.operators.rows import explode_values
+
 # Leading hex digits of the hash that name a bucket: 16**4 = 65,536 buckets per class.
 HASH_DIGITS = 4
 
@@ -109,31 +111,39 @@ def hash_rank(
 
 
 def hash_cuts(
-    df: DataFrame, id_col: str, targets: DataFrame, by: Sequence[str] = (), seed: int = 42,
+    df: DataFrame, id_col: str, targets: Sequence[tuple], by: str | None = None, seed: int = 42,
     digits: int = HASH_DIGITS,
 ) -> list:
     """Rows of given ranks in hash order: (by, cut, cut_key, cut_id), as a short list.
 
-    ``targets`` has (by, cut, rank), a few rows. A histogram of the hash finds the bucket of each
-    rank, then only that bucket is sorted. Callers compare the hash with the cut, so a split of
-    the wide table is a filter without a shuffle.
+    ``targets`` are a few tuples (class, cut number, rank); the class is ignored without ``by``.
+    A histogram of the hash finds the bucket of each rank, then only that bucket is sorted.
+    Callers compare the hash with the cut, so a split of the wide table is a filter without a
+    shuffle.
     """
-    narrow = df.select(*by, F.col(id_col).alias("cut_id"), hash_key(id_col, seed).alias("cut_key"))
+    parts = [by] if by else []
+    narrow = df.select(*parts, F.col(id_col).alias("cut_id"), hash_key(id_col, seed).alias("cut_key"))
     narrow = narrow.withColumn("_bucket", F.substring("cut_key", 1, digits))
-    totals = narrow.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    edges = _bucket_offsets(totals, by, ["_bucket"], ["_n"]).join(totals, [*by, "_bucket"])
-    if by:
-        hit = edges.join(F.broadcast(targets), list(by))
-    else:
-        one = F.lit(1).alias("_one")
-        hit = edges.select("*", one).join(F.broadcast(targets.select("*", one)), "_one").drop("_one")
-    residual = F.col("rank") - F.col("_before__n")
-    hit = hit.where((residual >= 1) & (residual <= F.col("_n")))
-    hit = hit.select(*by, "_bucket", "cut", residual.alias("_residual"))
+    totals = narrow.groupBy(*parts, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    edges = _bucket_offsets(totals, parts, ["_bucket"], ["_n"]).join(totals, [*parts, "_bucket"])
+    wanted = F.array(*[
+        F.struct(F.lit(c if by else 0).alias("class"), F.lit(cut).alias("cut"), F.lit(rank).cast("long").alias("rank"))
+        for c, cut, rank in targets
+    ])
+
+    def falls_here(t: Column) -> Column:
+        after = t["rank"] - F.col("_before__n")
+        inside = (after >= 1) & (after <= F.col("_n"))
+        return inside & (t["class"] == F.col(by)) if by else inside
+
+    hit = explode_values(edges, [*parts, "_bucket", "_before__n"], F.filter(wanted, falls_here), "_t")
+    hit = hit.select(
+        *parts, "_bucket", F.col("_t.cut").alias("cut"), (F.col("_t.rank") - F.col("_before__n")).alias("_residual")
+    )
     # One row of ``hit`` per target, so its size does not grow with the data.
-    w = Window.partitionBy(*by, "cut").orderBy("cut_key", "cut_id")
-    found = narrow.join(F.broadcast(hit), [*by, "_bucket"]).withColumn("_rn", F.row_number().over(w))
-    return found.where(F.col("_rn") == F.col("_residual")).select(*by, "cut", "cut_key", "cut_id").collect()
+    w = Window.partitionBy(*parts, "cut").orderBy("cut_key", "cut_id")
+    found = narrow.join(F.broadcast(hit), [*parts, "_bucket"]).withColumn("_rn", F.row_number().over(w))
+    return found.where(F.col("_rn") == F.col("_residual")).select(*parts, "cut", "cut_key", "cut_id").collect()
 
 
 def at_or_before(id_col: str, cut, seed: int = 42) -> Column:

@@ -18,10 +18,6 @@ from corpusmill.operators.ranks import at_or_before, hash_cuts, hash_key, hash_r
 MAX_CLASSES = 1000
 
 
-def _targets(df: DataFrame, rows: list[tuple], ddl: str) -> DataFrame:
-    return df.sparkSession.createDataFrame(rows, ddl)
-
-
 def class_sizes(df: DataFrame, label: str = "label") -> dict:
     """Rows per class. Labels are few by definition; more than ``MAX_CLASSES`` is an error."""
     rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
@@ -32,12 +28,10 @@ def class_sizes(df: DataFrame, label: str = "label") -> dict:
 
 def _take_per_class(df: DataFrame, id_col: str, label: str, keep: dict, sizes: dict, seed: int) -> DataFrame:
     """First ``keep[c]`` rows of each class in hash order."""
-    type_name = df.schema[label].dataType.simpleString()
     targets = [(c, 0, k) for c, k in keep.items() if 0 < k < sizes.get(c, 0)]
     cuts = {}
     if targets:
-        rows = _targets(df, targets, f"`{label}` {type_name}, cut int, rank long")
-        cuts = {r[label]: r for r in hash_cuts(df, id_col, rows, [label], seed)}
+        cuts = {r[label]: r for r in hash_cuts(df, id_col, targets, label, seed)}
     chosen: Column = F.lit(False)
     for c, k in keep.items():
         if k > 0:
@@ -73,11 +67,8 @@ def shuffle_rows(df: DataFrame, id_col: str = "unique_id", seed: int = 42) -> Da
 
 def _split_by_rank(df: DataFrame, id_col: str, bounds: list[int], names: list[str], n: int, seed: int) -> DataFrame:
     """Label rows by which of the ascending rank ``bounds`` they fall under."""
-    wanted = [(i, b) for i, b in enumerate(bounds) if 0 < b < n]
-    cuts = {}
-    if wanted:
-        rows = _targets(df, wanted, "cut int, rank long")
-        cuts = {r["cut"]: r for r in hash_cuts(df, id_col, rows, seed=seed)}
+    wanted = [(None, i, b) for i, b in enumerate(bounds) if 0 < b < n]
+    cuts = {r["cut"]: r for r in hash_cuts(df, id_col, wanted, seed=seed)} if wanted else {}
     out = F.when(F.lit(False), F.lit(names[-1]))
     for i, b in enumerate(bounds):
         if b >= n:
@@ -131,12 +122,11 @@ def stratified_kfold(
 ) -> DataFrame:
     """``fold`` 0..folds-1, every class spread so that fold sizes differ by at most one."""
     sizes = class_sizes(df, label)
-    type_name = df.schema[label].dataType.simpleString()
     wanted = [
         (c, f, n * (f + 1) // folds)
         for c, n in sizes.items() if c is not None for f in range(folds - 1) if 0 < n * (f + 1) // folds < n
     ]
-    cuts = hash_cuts(df, id_col, _targets(df, wanted, f"`{label}` {type_name}, cut int, rank long"), [label], seed)
+    cuts = hash_cuts(df, id_col, wanted, label, seed) if wanted else []
     fold = F.when(F.lit(False), F.lit(0))
     for c, n in sizes.items():
         in_class = F.when(F.lit(False), F.lit(0))

@@ -84,9 +84,14 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() > cores else df.repartition(cores, key)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the table has at most ``max_rows`` rows; otherwise Spark joins by shuffle.
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """True when the table has at most ``max_rows`` rows.
 
     The check runs the plan, so give it a stage table or a plain scan.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint when the table is small; otherwise Spark joins by shuffle."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
