@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import zipfile
 from collections.abc import Callable
 from importlib import import_module
-from pathlib import Path
 
-import pyspark
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusmill.functions.stopwords import ENGLISH
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -39,14 +38,6 @@ def _load() -> None:
         import_module(f"corpusmill.queries.{module}")
 
 
-def english_stopwords() -> list[str]:
-    """Spark's English list, read from its library file so that no session is needed."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as z:
-        text = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode()
-    return [w for w in text.splitlines() if w]
-
-
 def queries() -> dict[str, Query]:
     _load()
     return dict(_QUERIES)
@@ -54,5 +45,5 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     _load()
-    words = ", ".join("'" + w.replace("'", "''") + "'" for w in english_stopwords())
+    words = ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH)
     return {name: sql.replace("@STOPWORDS@", words) for name, sql in _SQL.items()}

@@ -24,7 +24,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stopwords() -> list[str]:
-    return list(default_stopwords("english"))
+    return list(default_stopwords())
 
 
 # --- posts: the raw shape, with missing values, blanks and short copies put in by rule -------
