@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.llm import class_lm
 from corpusmill.llm.near_dedup import near_duplicates
 
 
@@ -14,13 +15,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = class_lm.in_part("doc_id", 7)
+    model = class_lm.fit(docs.where(~held_out))
+    return class_lm.score(docs.withColumn("held_out", held_out), model)
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs, k=3, percent=85).drop("text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op9_minhash_near_dedup]
+    found = [op1_class_lm, op9_minhash_near_dedup]
     return {q.__name__: q for q in found}
 
 
