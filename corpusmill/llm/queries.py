@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import class_lm
+from corpusmill.llm import class_lm, langid
 from corpusmill.llm.near_dedup import near_duplicates
 
 
@@ -22,13 +22,21 @@ def op1_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_lm.score(docs.withColumn("held_out", held_out), model)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = class_lm.in_part("doc_id", 4)
+    profiles = langid.learn(docs.where(~held_out))
+    found = langid.predict(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs, k=3, percent=85).drop("text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_class_lm, op9_minhash_near_dedup]
+    found = [op1_class_lm, op5_language_id, op9_minhash_near_dedup]
     return {q.__name__: q for q in found}
 
 
