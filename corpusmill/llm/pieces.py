@@ -37,6 +37,10 @@ class Model:
     scores: dict[str, float]
     whole: list[str]  # pieces that merging their own characters gives
 
+    def plain(self) -> tuple:
+        """What is sent to the tasks, without this class."""
+        return self.pieces, self.kinds, self.scores, self.whole
+
 
 def recorded_merges(text: str, scores: dict[str, float]) -> tuple[list[tuple[float, str, str]], list[str]]:
     """The merges of a text alone, in order, and what they give: (rank, first symbol after it, last symbol after it)."""
@@ -215,7 +219,7 @@ class Decoder:
 
 def _encode(model, text_column: int) -> Callable:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = Encoder(model.value).raw
+        raw = Encoder(Model(*model.value)).raw
         for whole in batches:
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)
@@ -229,7 +233,7 @@ def _encode(model, text_column: int) -> Callable:
 
 def _decode(model, ids_column: int) -> Callable:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = Decoder(model.value)
+        decode = Decoder(Model(*model.value))
         for whole in batches:
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)
@@ -246,7 +250,7 @@ def _decode(model, ids_column: int) -> Callable:
 def encode(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The columns of ``docs`` and ids. A null or empty text has no ids; repeated rows get the same ids."""
     docs = docs.drop("ids") if text != "ids" else docs
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model.plain())
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return docs.mapInArrow(_encode(sent, docs.columns.index(text)), schema)
 
@@ -254,6 +258,6 @@ def encode(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 def decode(rows: DataFrame, model: Model, ids: str = "ids") -> DataFrame:
     """The columns of ``rows`` and decoded; null or no ids give an empty text."""
     rows = rows.drop("decoded")
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+    sent = rows.sparkSession.sparkContext.broadcast(model.plain())
     schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
     return rows.mapInArrow(_decode(sent, rows.columns.index(ids)), schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import class_lm, langid
+from corpusmill.llm import chat, class_lm, langid, pieces, pivots
 from corpusmill.llm.near_dedup import near_duplicates
 
 
@@ -15,6 +15,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file on the driver; its contents are sent to the tasks."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = class_lm.in_part("doc_id", 7)
@@ -22,6 +29,67 @@ def op1_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_lm.score(docs.withColumn("held_out", held_out), model)
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.load(tokenizer_path("piece_bpe_32k.model"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = pieces.decode(pieces.encode(docs, model).drop("text"), model)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+MARKED = r"\### Assistant: </turn> ok"
+
+OP3_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+sized AS (
+  SELECT *, 14 + length(role) + length(regexp_replace(role, '[^\\<#:]', '', 'g'))
+         + length(text) + length(regexp_replace(text, '[^\\<#]', '', 'g')) AS chars,
+         row_number() OVER w = count(*) OVER (PARTITION BY conv_id) AS is_last
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+summed AS (
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prefix
+  FROM sized)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(prefix) FILTER (role = 'assistant' OR is_last) AS BIGINT) AS formatted_chars
+FROM summed GROUP BY conv_id"""
+
+
+def op3_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(MARKED).alias("text"),
+    )
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(marked)
+    found = chat.examples(rows).select(
+        "conv_id", "example", F.length("text").alias("chars"),
+        chat.read_trained(F.col("text"), F.col("loss_start"), F.col("loss_chars")).alias("trained"),
+        F.when(F.col("complete"), chat.read_turns(F.col("text"))).alias("turns"),
+    )
+    line = F.lit("\n")
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], line, t["text"], line)), "")
+    found = found.select("conv_id", "example", "chars", "trained", F.size("turns").alias("n"), F.sha2(told, 256).alias("told"))
+    ordered = F.sort_array(F.collect_list(F.struct("example", "trained")))
+    loss = F.array_join(F.transform(ordered, lambda x: x["trained"]), "")
+    whole = found.groupBy("conv_id").agg(
+        F.max("n").cast("long").alias("n_turns"), F.max("told").alias("turns_sha256"), loss.alias("loss"),
+        F.sum("chars").alias("formatted_chars"),
+    )
+    return whole.select(
+        "conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = class_lm.in_part("doc_id", 4)
@@ -30,15 +98,37 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+OP7_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, x.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, x.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM whole q JOIN whole x ON q.vec_id % 100 = 0 AND q.vec_id <> x.vec_id AND len(q.v) = len(x.v)),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
+
+def op7_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = pivots.integer_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return pivots.top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs, k=3, percent=85).drop("text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_class_lm, op5_language_id, op9_minhash_near_dedup]
+    found = [
+        op1_class_lm, op2_sentencepiece, op3_chat_prefix_targets, op5_language_id, op7_pivot_top_k, op9_minhash_near_dedup,
+    ]
     return {q.__name__: q for q in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_chat_prefix_targets": OP3_SQL, "op7_pivot_top_k": OP7_SQL}
