@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import chat, class_lm, langid, pieces, pivots
+from corpusmill.llm import chat, class_lm, langid, pieces, pivots, tiling
 from corpusmill.llm.near_dedup import near_duplicates
 
 
@@ -90,6 +90,15 @@ def op3_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_greedy_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = tiling.contamination(docs, _table(spark, sf_dir, "benchmark")).select("doc_id", F.explode("matches").alias("m"))
+    return found.select(
+        "doc_id", "m.item_id", F.round("m.coverage", 9).alias("coverage"), "m.item_tokens",
+        F.size("m.tiles").alias("n_tiles"), F.array_max(F.col("m.tiles.tokens")).alias("longest"),
+    )
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = class_lm.in_part("doc_id", 4)
@@ -125,7 +134,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
-        op1_class_lm, op2_sentencepiece, op3_chat_prefix_targets, op5_language_id, op7_pivot_top_k, op9_minhash_near_dedup,
+        op1_class_lm, op2_sentencepiece, op3_chat_prefix_targets, op4_greedy_tiling, op5_language_id, op7_pivot_top_k, op9_minhash_near_dedup,
     ]
     return {q.__name__: q for q in found}
 

@@ -44,14 +44,19 @@ def pieces(text: bytes, size: int = PIECE) -> Iterator[bytes]:
     yield text[start:]
 
 
-def _hashes(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
+#: Bytes of words, and bytes of tokens: letters, digits and all that is not ASCII.
+IN_WORD = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
+IN_TOKEN = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
+
+
+def _hashes(joined: bytes, in_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of every word of a joined run of lower-cased texts.
 
     The hash is a polynomial of the bytes modulo 2**64, read off running sums and then mixed.
     """
     data = np.frombuffer(joined, dtype=np.uint8)
     inside = np.zeros(len(data) + 2, dtype=bool)
-    inside[1:-1] = (data != 32) & ((data < 9) | (data > 13))
+    inside[1:-1] = in_word[data]
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
@@ -67,7 +72,12 @@ def _hashes(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
     return starts, mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """As ``word_hashes``, over the tokens of the lower-cased texts."""
+    return word_hashes([x.decode("utf-8", "replace").lower().encode() for x in texts], IN_TOKEN)
+
+
+def word_hashes(texts: list[bytes], in_word: np.ndarray = IN_WORD) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word of ``texts``, and where each text's words begin (one more than texts)."""
     counts = np.zeros(len(texts) + 1, dtype=np.int64)
     out: list[np.ndarray] = []
@@ -76,7 +86,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     size = 0
 
     def flush() -> None:
-        starts, hashes = _hashes(b" ".join(run).lower())
+        starts, hashes = _hashes(b" ".join(run).lower(), in_word)
         bounds = np.cumsum([0] + [len(x) + 1 for x in run[:-1]])
         of = np.searchsorted(bounds, starts, side="right") - 1
         np.add.at(counts, np.asarray(owners)[of] + 1, 1)
