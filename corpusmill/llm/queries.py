@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import chat, class_lm, langid, pieces, pivots, tiling
+from corpusmill.llm import chat, class_lm, langid, pieces, pivots, secrets, tiling
 from corpusmill.llm.near_dedup import near_duplicates
 
 
@@ -107,6 +107,24 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op6_secret_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
+    names = F.array(*[F.lit(k) for k in secrets.KINDS])
+
+    def listed(spans):
+        shown = F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"]))
+        return F.array_join(shown, ",")
+
+    def count(kind: int):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("secrets", lambda s: s["kind"] < 3)
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"),
+    )
+
+
 OP7_SQL = """
 WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
@@ -134,7 +152,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
-        op1_class_lm, op2_sentencepiece, op3_chat_prefix_targets, op4_greedy_tiling, op5_language_id, op7_pivot_top_k, op9_minhash_near_dedup,
+        op1_class_lm, op2_sentencepiece, op3_chat_prefix_targets, op4_greedy_tiling, op5_language_id, op6_secret_network, op7_pivot_top_k, op9_minhash_near_dedup,
     ]
     return {q.__name__: q for q in found}
 
