@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import chat, class_lm, langid, pieces, pivots, secrets, tiling
+from corpusmill.llm import chat, class_lm, langid, pieces, pivots, quality, secrets, tiling
 from corpusmill.llm.near_dedup import near_duplicates
 
 
@@ -150,9 +150,18 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs, k=3, percent=85).drop("text")
 
 
+def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    held_out = class_lm.in_part("doc_id", 4)
+    model = quality.fit(docs, _table(spark, sf_dir, "labels").where(~held_out))
+    found = quality.score(docs, model).select("doc_id", held_out.alias("held_out"), F.col("quality_score").alias("score"))
+    return found.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_class_lm, op2_sentencepiece, op3_chat_prefix_targets, op4_greedy_tiling, op5_language_id, op6_secret_network, op7_pivot_top_k, op9_minhash_near_dedup,
+        op10_factorisation_machine,
     ]
     return {q.__name__: q for q in found}
 
