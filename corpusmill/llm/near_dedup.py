@@ -212,15 +212,15 @@ def near_duplicates(
     docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, percent: int = 80,
     sketch_block: int = 1024, set_block: int = 512,
 ) -> DataFrame:
-    """The columns of ``docs`` and n_shingles, component_id, kept: near-duplicate groups of whole texts.
+    """The columns of ``docs`` and n_shingles, component_id, kept, first: near-duplicate groups of whole texts.
 
     Two texts are linked when 100 * |intersection| >= ``percent`` * |union| of their sets of ``k``-word
     shingles. A text of fewer words is one shingle. A text that is null or has no word is linked with
     nothing and is its own group. ``component_id`` is the smallest ``key`` of the group; rows with that key have
-    ``kept``, and so have all rows of a group without any key. Repeated rows are one group, with each of them
-    kept if they have its smallest key. Columns that already have a name of the result are replaced.
+    ``kept``, and so have all rows of a group without any key. Repeated rows are one group; each of them is ``kept`` if it
+    has the smallest key, but only one row of a group is ``first``. Columns that already have a name of the result are replaced.
     """
-    docs = docs.drop("n_shingles", "component_id", "kept")
+    docs = docs.drop("n_shingles", "component_id", "kept", "first")
     bands = band_count(percent / 100)
     floor = sketch_floor(percent / 100, min(SKETCH, bands * ROWS))
     rows = docs.withColumn("nd_row", F.monotonically_increasing_id())
@@ -231,7 +231,8 @@ def near_duplicates(
     profile = stage(rows.mapInArrow(_profile(k, bands, docs.columns.index(text)), schema), "profile")
     own = F.col(f"`{key}`")
     classes = profile.where("nd_digest is not null").groupBy("nd_digest")
-    classes = stage(classes.agg(F.min("nd_row").alias("node"), F.min(own).alias("least")), "classes")
+    # The smallest key, null last, and of the rows that have it the first.
+    classes = stage(classes.agg(F.min("nd_row").alias("node"), F.min(F.struct(own.isNull().alias("no_key"), own.alias("key"), F.col("nd_row").alias("row"))).alias("least")), "classes")
 
     found = stage(_candidates(profile, classes, floor, sketch_block), "candidates")
     texts = profile.select(F.col("nd_row").alias("node"), F.col(f"`{text}`").alias("payload"))
@@ -242,8 +243,10 @@ def near_duplicates(
     least = stage(rooted.groupBy("root").agg(F.min("least").alias("nd_least")), "least")
     of_class = rooted.select("nd_digest", "root").join(least, "root").select("nd_digest", "nd_least")
     joined = profile.join(stage(of_class, "of-class"), "nd_digest", "left")
-    component = F.when(F.col("nd_digest").isNull(), own).otherwise(F.col("nd_least"))
+    alone = F.col("nd_digest").isNull()
+    component = F.when(alone, own).otherwise(F.col("nd_least.key"))
     return joined.select(
         *[F.col(f"`{c}`") for c in docs.columns], F.col("nd_size").alias("n_shingles"),
         component.alias("component_id"), own.eqNullSafe(component).alias("kept"),
+        (alone | (F.col("nd_row") == F.col("nd_least.row"))).alias("first"),
     )

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import chat, class_lm, langid, pieces, pivots, quality, secrets, tiling
+from corpusmill.llm import chat, class_lm, langid, pieces, pivots, quality, secrets, tiling, training_order
 from corpusmill.llm.near_dedup import near_duplicates
+from corpusmill.sources.staging import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -145,9 +146,22 @@ def op7_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
 
 
+STRIDE = 512
+
+
+def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all texts as tokens, written to shards and read back from them."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("binary").alias("text"))
+    out = scratch_path(spark, "token-shards")
+    out = out if "://" in out else f"file://{out}"
+    index, _ = training_order.materialise(docs, "text", out, length=STRIDE, key=20_260_101, stable=True)
+    back = training_order.read_back(index, out, STRIDE)
+    return back.select("doc_id", "chunk", "slot", "shard", "offset", F.xxhash64("payload").alias("payload_hash"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_duplicates(docs, k=3, percent=85).drop("text")
+    return near_duplicates(docs, k=3, percent=85).drop("text", "first")
 
 
 def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,8 +174,8 @@ def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
-        op1_class_lm, op2_sentencepiece, op3_chat_prefix_targets, op4_greedy_tiling, op5_language_id, op6_secret_network, op7_pivot_top_k, op9_minhash_near_dedup,
-        op10_factorisation_machine,
+        op1_class_lm, op2_sentencepiece, op3_chat_prefix_targets, op4_greedy_tiling, op5_language_id, op6_secret_network,
+        op7_pivot_top_k, op8_training_order, op9_minhash_near_dedup, op10_factorisation_machine,
     ]
     return {q.__name__: q for q in found}
 
