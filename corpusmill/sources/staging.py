@@ -48,7 +48,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh Parquet table and read it back with its schema."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
