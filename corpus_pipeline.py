@@ -34,9 +34,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; n_chars then follows the new text."""
     found = secrets.find(docs)
-    found = found.withColumn("n_chars", F.when(F.size("secrets") > 0, F.lit(None)).otherwise(F.col("n_chars")))
-    clean = secrets.redacted(found)
-    return clean.withColumn("n_chars", F.coalesce("n_chars", F.length("text").cast("long"))).select(*docs.columns)
+    clean = secrets.redacted(found.withColumn("sp_found", F.size("secrets") > 0))
+    chars = F.when(F.col("sp_found"), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", chars).select(*docs.columns)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
