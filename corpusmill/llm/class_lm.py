@@ -146,7 +146,7 @@ def best_class(matrix: np.ndarray, now: int, right: np.ndarray, left: np.ndarray
     g[now, :] -= right
     g[:, now] -= left
     g[now, now] -= self_pairs
-    rows, columns = g.sum(1), g.sum(0)
+    rows, columns = g.sum(1) + left, g.sum(0) + right  # these hold wherever the unit goes
     diagonal = np.arange(len(g))
     gain = (_xlogx(g + right) - _xlogx(g)).sum(1) + (_xlogx(g.T + left) - _xlogx(g.T)).sum(1)
     own = g[diagonal, diagonal]
@@ -210,8 +210,8 @@ def _matrix(pairs: DataFrame, classes: np.ndarray, count: int) -> np.ndarray:
 def exchange(pairs: DataFrame, units: int, classes: int, rounds: int, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Class of each unit and the class matrix. The last unit is the end, alone in class 0.
 
-    ``order`` lists the units from frequent to rare; they start dealt out in turn. A round that lowers the
-    likelihood, as units that move at once may, is taken back.
+    ``order`` lists the units from frequent to rare; they start dealt out in turn. When moves that were each found alone
+    lower the likelihood together, a half, a quarter and an eighth of them are tried.
     """
     now = np.zeros(units, dtype=np.int64)
     now[order] = 1 + np.arange(len(order)) % (classes - 1)
@@ -220,14 +220,17 @@ def exchange(pairs: DataFrame, units: int, classes: int, rounds: int, order: np.
     matrix = _matrix(pairs, now, classes)
     for turn in range(rounds):
         moved = near.mapInArrow(_moves(now, matrix, turn), "unit int, to int").collect()  # at most one row per unit
-        if not moved:
-            continue
-        trial = now.copy()
-        for r in moved:
-            trial[r["unit"]] = r["to"]
-        changed = _matrix(pairs, trial, classes)
-        if likelihood(changed) > likelihood(matrix):
-            now, matrix = trial, changed
+        for part in (1, 2, 4, 8):
+            chosen = [r for r in moved if crc32(b"%d/%d" % (turn, r["unit"])) % part == 0]
+            if not chosen:
+                break
+            trial = now.copy()
+            for r in chosen:
+                trial[r["unit"]] = r["to"]
+            changed = _matrix(pairs, trial, classes)
+            if likelihood(changed) > likelihood(matrix):
+                now, matrix = trial, changed
+                break
     return now, matrix
 
 
@@ -378,17 +381,17 @@ def score(docs: DataFrame, model: ClassModel, text: str = "text") -> DataFrame:
     n = F.col("n")
     emitted = F.when(n.isNull(), unknown).otherwise(F.log10(n - F.lit(float(model.discount))))
     answers = asked.join(model.table, "word", "left").groupBy("lm_row").agg(
-        F.sum(F.when(n.isNull(), 0).otherwise(F.col("times"))).alias("known"),
-        F.sum(F.col("times") * model.base(n)).alias("base"),
-        F.sum(F.col("times") * emitted).alias("emitted"),
+        F.sum(F.when(n.isNull(), 0).otherwise(F.col("times"))).alias("lm_more_known"),
+        F.sum(F.col("times") * model.base(n)).alias("lm_more_base"),
+        F.sum(F.col("times") * emitted).alias("lm_more_score"),
     )
     joined = local.join(answers, "lm_row", "left")
     zero = F.lit(0.0)
-    whole = F.lit(0.0) if not model.tokens else F.col("lm_score") + F.coalesce("emitted", zero)
-    base = F.lit(0.0) if not model.tokens else F.col("lm_base") + F.coalesce("base", zero)
+    whole = F.lit(0.0) if not model.tokens else F.col("lm_score") + F.coalesce("lm_more_score", zero)
+    base = F.lit(0.0) if not model.tokens else F.col("lm_base") + F.coalesce("lm_more_base", zero)
     return joined.select(
         *[F.col(f"`{c}`") for c in others], F.col("lm_n").alias("n_tokens"),
-        (F.col("lm_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
+        (F.col("lm_known") + F.coalesce("lm_more_known", F.lit(0))).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
         base.alias("base_score"), whole.alias("score"), F.pow(F.lit(10.0), -whole / F.col("lm_n")).alias("perplexity"),
     )
 

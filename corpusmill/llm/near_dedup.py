@@ -194,7 +194,7 @@ def linked(members: DataFrame, similarity: Callable, size: int) -> DataFrame:
 def _candidates(profile: DataFrame, classes: DataFrame, floor: float, block: int) -> DataFrame:
     """(node, component): classes that a chain of similar sketches joins, through shared bands."""
     nodes = classes.select("node")
-    bands = stage(profile.join(nodes, F.col("nd_row") == F.col("node")).select("node", "nd_bands"), "bands")
+    bands = stage(profile.select("nd_row", "nd_bands").join(nodes, F.col("nd_row") == F.col("node")).select("node", "nd_bands"), "bands")
     exploded = bands.select(F.explode("nd_bands").alias("grp"), "node")
     met = exploded.groupBy("grp").agg(
         F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b"),
