@@ -11,14 +11,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators.rows import explode_values
-from corpusmill.sources.staging import broadcast_if_small
+
+
+# Parts that the rows of one word are dealt to when words are joined.
+WORD_PARTS = 8
 
 
 def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence = (0, 1), prefix: str = "n_") -> DataFrame:
-    """Contingency table: one row per value of ``rows``, one count column per listed value."""
-    return df.groupBy(rows).agg(*[
-        F.count_if(F.col(columns) == F.lit(v)).alias(f"{prefix}{v}") for v in values
-    ])
+    """Contingency table: one row per value of ``rows``, one count column per listed value.
+
+    A value that is not listed fails the job; missing values are in no column.
+    """
+    failure = F.raise_error(F.concat(F.lit(f"not a listed value of {columns}: "), F.col(columns).cast("string")))
+    value = F.when(F.col(columns).isNull() | F.col(columns).isin(list(values)), F.col(columns)).otherwise(failure)
+    return df.groupBy(rows).agg(*[F.count_if(value == F.lit(v)).alias(f"{prefix}{v}") for v in values])
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -65,7 +71,11 @@ def vector_mean(
     before the shuffle, so one partial vector per text is sent, not one per word.
     """
     words = explode_values(df, [key], tokens, "word")
-    known = words.join(broadcast_if_small(vectors), "word")
+    # A common word is in most texts: its rows are dealt to parts, and its one vector to each part.
+    known = words.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(WORD_PARTS))).join(
+        vectors.select("word", "vector", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(WORD_PARTS - 1).cast("long"))).alias("_part")),
+        ["word", "_part"],
+    )
     mean = Summarizer.mean(array_to_vector("vector"))
     means = known.groupBy(key).agg(vector_to_array(mean).alias("_mean"))
     zeros = F.array_repeat(F.lit(0.0), size)

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.sources.staging import broadcast_if_small, stage
+from corpusmill.sources.staging import stage
+
+# Lemma classes from the first that counts to the last.
+CLASS_ORDER = ("n", "v", "a", "r")
+# Text of a dictionary that is sent to every task.
+DICTIONARY_BYTES = 32 << 20
+# Parts that the rows of one word are dealt to when words are joined.
+WORD_PARTS = 8
 
 
 def drop_null_subset(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -74,38 +83,68 @@ def filter_eq(df: DataFrame, column: str, value) -> DataFrame:
 
 
 def lemma_table(lexicon: DataFrame, lemmas: DataFrame) -> DataFrame:
-    """(token, lemma) from lexicon(token, tag) and lemmas(token, class, lemma).
+    """(token, lemma) from lexicon(token, tag) and lemmas(token, class, lemma): one lemma per token.
 
-    A token without a tag counts as a noun. Only tokens that change are kept.
+    A token without a tag counts as a noun. Of several classes the first in the order noun, verb, adjective, adverb counts, of
+    several lemmas the smallest. Only tokens that change are kept.
     """
     tagged = lexicon.select("token", tx.lexical_class("tag").alias("class"))
     listed = lemmas.join(tagged, ["token", "class"], "left_semi")
     untagged = lemmas.where(F.col("class") == "n").join(tagged, "token", "left_anti")
-    return listed.unionByName(untagged).select("token", "lemma").where("token <> lemma")
+    place = F.array_position(F.array(*[F.lit(c) for c in CLASS_ORDER]), F.col("class"))
+    first = F.struct(F.when(place > 0, place).otherwise(len(CLASS_ORDER) + 1), F.col("lemma"))
+    both = listed.unionByName(untagged).groupBy("token").agg(F.min_by("lemma", first).alias("lemma"))
+    return both.where("token <> lemma")
+
+
+def _replace(table) -> Callable:
+    """Arrow batches of token arrays with each token's lemma, from a broadcast dictionary."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lemma = table.value.get
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            words = [lemma(w, w) for w in lists.flatten().to_pylist()]
+            ends = pa.array([0, *np.cumsum(lists.value_lengths().fill_null(0).to_numpy()).tolist()], pa.int32())
+            new = pa.ListArray.from_arrays(ends, pa.array(words, pa.string()), mask=lists.is_null())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], new], names=batch.schema.names)
+
+    return work
+
+
+def _joined_lemmas(df: DataFrame, tokens: str, table: DataFrame, key: str) -> DataFrame:
+    """The same by a join of the distinct words of each text, for a dictionary that is too large for a task.
+
+    A word that many texts have is dealt to parts, and its lemma to each part.
+    """
+    part = F.pmod(F.xxhash64(key), F.lit(WORD_PARTS)).alias("_part")
+    words = df.select(key, part, F.explode(F.array_distinct(tokens)).alias("token"))
+    parts = table.select("token", "lemma", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(WORD_PARTS - 1).cast("long"))).alias("_part"))
+    found = words.join(parts, ["token", "_part"]).groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_lemmas")
+    )
+    looked_up = df.join(found, key, "left")
+    new = F.transform(tokens, lambda t: F.coalesce(F.try_element_at("_lemmas", t), t))
+    return looked_up.withColumn(tokens, new).select(*df.columns)
 
 
 def lemma_lookup(
-    df: DataFrame, tokens: str, lexicon: DataFrame, lemmas: DataFrame, key: str = "unique_id"
+    df: DataFrame, tokens: str, lexicon: DataFrame, lemmas: DataFrame, key: str = "unique_id",
+    dictionary_bytes: int = DICTIONARY_BYTES,
 ) -> DataFrame:
     """Replace each token by its lemma; unknown tokens and the word order stay.
 
-    The dictionary is broadcast when it is small. The words of a row are put together again inside
-    their task before the shuffle, so the shuffle carries whole rows, not single words.
+    A dictionary of up to ``dictionary_bytes`` of text is sent to the tasks and the rows stay where they are. A larger one is
+    joined by word. Both give the same rows.
     """
-    table = broadcast_if_small(stage(lemma_table(lexicon, lemmas), "lemmas"))
-    words = df.select(
-        key, F.col(tokens).isNull().alias("_missing"), F.posexplode_outer(tokens).alias("_pos", "token")
-    )
-    looked_up = words.join(table, "token", "left")
-    word = F.struct(F.col("_pos"), F.coalesce("lemma", "token").alias("_word"))
-    again = looked_up.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), word))).alias("_words"),
-        F.bool_or("_missing").alias("_missing"),
-    )
-    out = again.select(
-        key, F.when(~F.col("_missing"), F.transform("_words", lambda w: w["_word"])).alias(tokens)
-    )
-    return df.drop(tokens).join(out, key)
+    table = stage(lemma_table(lexicon, lemmas), "lemmas")
+    size = table.agg(F.sum(F.octet_length("token") + F.octet_length("lemma"))).first()[0] or 0
+    if size > dictionary_bytes:
+        return _joined_lemmas(df, tokens, table, key)
+    words = dict(zip(*[c.to_pylist() for c in table.select("token", "lemma").toArrow().columns], strict=True))
+    last = df.select(*[c for c in df.columns if c != tokens], F.col(tokens).cast("array<string>").alias(tokens))
+    sent = df.sparkSession.sparkContext.broadcast(words)
+    return last.mapInArrow(_replace(sent), last.schema).select(*df.columns)
 
 
 def normalize_or_original(normalized: Column, original: Column) -> Column:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml.feature import (
     PCA,
     CountVectorizerModel,
@@ -23,34 +26,36 @@ from corpusmill.functions import text as tx
 from corpusmill.operators.aggregates import vector_mean
 from corpusmill.operators.itemsets import triplet_matches, triplet_name
 from corpusmill.operators.rows import explode_values
-from corpusmill.sources.staging import broadcast_if_small, stage
+from corpusmill.operators.ranks import text_rank
+from corpusmill.sources.staging import stage
 
-# A vocabulary is at most (distinct terms per text) / min_df long; beyond this it is no feature set.
+# Vector forms keep their vocabulary on the driver and in each task, so they have a limit; the long forms have none.
 MAX_VOCABULARY = 1_000_000
+# Parts that the rows of one term are dealt to when terms are joined.
+TERM_PARTS = 8
+# Words that one task of a word-vector fit trains on.
+WORDS_PER_PART = 200_000
 
 
 # --- itemset indicators ----------------------------------------------------------------------
 
 
 def triplet_index(triplets: DataFrame) -> DataFrame:
-    """(a, b, c, triplet, idx): position of each frequent triplet in name order.
-
-    The frequent triplets are few, so numbering them in one task is fine.
-    """
+    """(a, b, c, triplet, idx): position of each frequent triplet in name order, counted in two phases."""
     named = triplets.select("a", "b", "c", triplet_name().alias("triplet"))
-    return named.withColumn("idx", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("triplet")) - 1)
+    return text_rank(named, "triplet", "idx").withColumn("idx", (F.col("idx") - 1).cast("int"))
 
 
 def triplet_multihot(baskets: DataFrame, triplets: DataFrame, key: str = "unique_id") -> DataFrame:
     """Long form of the 0/1 matrix, ones only: (key, idx)."""
     found = triplet_matches(baskets.select(key, "items"), triplets)
-    return found.join(broadcast_if_small(triplet_index(triplets)), ["a", "b", "c"]).select(key, "idx")
+    return found.join(stage(triplet_index(triplets), "triplet-index"), ["a", "b", "c"]).select(key, "idx")
 
 
-def _vocabulary(terms: DataFrame, column: str) -> list[str]:
-    rows = terms.select(column).limit(MAX_VOCABULARY + 1).collect()
-    if len(rows) > MAX_VOCABULARY:
-        raise ValueError(f"more than {MAX_VOCABULARY} terms; raise the support")
+def _vocabulary(terms: DataFrame, column: str, most: int = MAX_VOCABULARY) -> list[str]:
+    rows = terms.select(column).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} terms; use the long form")
     return sorted(r[column] for r in rows)
 
 
@@ -108,6 +113,33 @@ def document_frequencies(
     return vocabulary, n
 
 
+def _weights(idf, max_n: int) -> Callable:
+    """Rows (key, term, weight) of Arrow batches (key, tokens), from a broadcast dictionary."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = idf.value
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                batch = whole.slice(start, 500)
+                rows, terms, weights = [], [], []
+                for i, words in enumerate(batch.column(1).to_pylist()):
+                    words = words or []
+                    counts = Counter(w for w in words if w in known)
+                    for n in range(2, max_n + 1):
+                        counts.update(t for t in map(" ".join, zip(*[words[j:] for j in range(n)])) if t in known)
+                    raw = {t: c * known[t] for t, c in counts.items()}
+                    norm = math.sqrt(sum(x * x for x in raw.values()))
+                    rows += [i] * len(raw)
+                    terms += raw
+                    weights += [x / norm for x in raw.values()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(terms, pa.string()), pa.array(weights, pa.float64())],
+                    names=[batch.schema.names[0], "term", "weight"],
+                )
+
+    return work
+
+
 @dataclass(frozen=True)
 class TfidfModel:
     """Vocabulary with document frequencies of the training texts."""
@@ -120,21 +152,37 @@ class TfidfModel:
         """ln((1 + n) / (1 + df)) + 1."""
         return F.log((1.0 + F.lit(self.n_texts)) / (1.0 + F.col("df"))) + 1.0
 
-    def transform_long(self, df: DataFrame, tokens: str = "tokens", key: str = "unique_id") -> DataFrame:
-        """(key, term, weight): tf * idf with unit length per text; unknown terms are dropped."""
-        weights = broadcast_if_small(self.vocabulary.select("term", self.idf().alias("_idf")))
+    def transform_long(
+        self, df: DataFrame, tokens: str = "tokens", key: str = "unique_id", most: int = MAX_VOCABULARY
+    ) -> DataFrame:
+        """(key, term, weight): tf * idf with unit length per text; unknown terms are dropped.
+
+        Terms are counted in the row. A vocabulary of up to ``most`` terms is looked up there too, so no row is shuffled; a larger
+        one is joined by term, each term's rows dealt to parts. Both give the same rows.
+        """
+        found = self.vocabulary.select("term", self.idf().alias("idf")).limit(most + 1).toArrow()
+        if found.num_rows <= most:
+            idf = dict(zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True))
+            sent = df.sparkSession.sparkContext.broadcast(idf)
+            kind = df.schema[key].dataType.simpleString()
+            rows = df.select(key, tokens)
+            return rows.mapInArrow(_weights(sent, self.max_n), f"`{key}` {kind}, term string, weight double")
         terms = explode_values(df, [key], tx.ngrams_up_to(tokens, self.max_n), "term")
-        # One shuffle by key serves the counting and the norm.
-        known = terms.join(weights, "term").repartition(key)
-        raw = known.groupBy(key, "term").agg((F.count(F.lit(1)) * F.first("_idf")).alias("_raw"))
+        part = F.pmod(F.xxhash64(key), F.lit(TERM_PARTS)).alias("_part")
+        parts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(TERM_PARTS - 1).cast("long"))).alias("_part")
+        counted = terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("_n"))
+        weights = self.vocabulary.select("term", self.idf().alias("_idf"), parts)
+        raw = counted.select("*", part).join(weights, ["term", "_part"]).select(key, "term", (F.col("_n") * F.col("_idf")).alias("_raw"))
         norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(key)))
         return raw.select(key, "term", (F.col("_raw") / norm).alias("weight"))
 
-    def transform(self, df: DataFrame, tokens: str = "tokens", out: str = "features") -> DataFrame:
+    def transform(
+        self, df: DataFrame, tokens: str = "tokens", out: str = "features", most: int = MAX_VOCABULARY
+    ) -> DataFrame:
         """Sparse vectors of the same weights, in term order; row by row, without a shuffle."""
-        rows = self.vocabulary.select("term", self.idf().alias("idf")).limit(MAX_VOCABULARY + 1).collect()
-        if len(rows) > MAX_VOCABULARY:
-            raise ValueError(f"more than {MAX_VOCABULARY} terms; raise min_df")
+        rows = self.vocabulary.select("term", self.idf().alias("idf")).limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"more than {most} terms; use transform_long")
         idf = {r["term"]: r["idf"] for r in rows}
         terms = sorted(idf)
         counted = _count_vectors(
@@ -161,10 +209,14 @@ def tfidf_fit_transform(df: DataFrame, tokens: str = "tokens", **options) -> Dat
 
 def word2vec_fit(
     df: DataFrame, tokens: str = "tokens", size: int = 100, window: int = 5, min_count: int = 2,
-    partitions: int = 1, iterations: int = 1, seed: int = 42,
+    partitions: int | None = None, iterations: int = 1, seed: int = 42,
 ) -> Word2VecModel:
-    """Word vectors from token arrays. ``partitions`` trains on that many parts at once; raise
-    ``iterations`` with it, as the parts are averaged after each."""
+    """Word vectors from token arrays. ``partitions`` trains on that many parts at once; by default one for each
+    ``WORDS_PER_PART`` words, so the work of a task does not grow with the corpus. The parts are averaged after
+    each of the ``iterations``."""
+    if partitions is None:
+        words = df.agg(F.sum(F.greatest(F.size(tokens), F.lit(0)))).first()[0] or 0
+        partitions = max(1, -(-words // WORDS_PER_PART))
     return Word2Vec(
         vectorSize=size, windowSize=window, minCount=min_count, numPartitions=partitions, maxIter=iterations,
         seed=seed, inputCol=tokens, outputCol="_unused",

@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 from corpusmill.functions import text as tx
 from corpusmill.operators.aggregates import count_by, having_support
 from corpusmill.operators.rows import explode_values, posexplode_values
-from corpusmill.sources.staging import broadcast_if_small, is_small
+from corpusmill.sources.staging import stage
 
 # Up to this many frequent items go into the plan as a constant; more are joined.
 MAX_CONSTANT_ITEMS = 5000
+# Parts that the rows of one item are dealt to when items are joined.
+ITEM_PARTS = 8
 
 
 def baskets(
@@ -95,24 +97,31 @@ def bucket_counts(baskets: DataFrame, buckets: int = 1000) -> DataFrame:
 
 
 def keep_frequent(
-    baskets: DataFrame, frequent_items: DataFrame, max_constant: int = MAX_CONSTANT_ITEMS
+    baskets: DataFrame, frequent_items: DataFrame, max_constant: int = MAX_CONSTANT_ITEMS, key: str = "unique_id"
 ) -> DataFrame:
-    """Baskets reduced to their frequent items, order kept.
+    """Baskets reduced to their frequent items, order kept; every basket stays, with no item if need be.
 
     A short list becomes a constant of the plan and the rows are filtered where they are. A long
-    one is joined, and each basket is put together again by its key; baskets left with no item
-    are then missing.
+    one is joined, and each basket is put together again by its distinct key. Both give the same rows.
     """
+    if key not in baskets.columns:
+        raise ValueError(f"baskets need their key {key}")
     rows = frequent_items.select("item").limit(max_constant + 1).collect()
     if len(rows) <= max_constant:
         constant = tx.string_list(sorted(r["item"] for r in rows))
         reduced = baskets.withColumn("items", F.array_intersect("items", constant))
     else:
-        others = [c for c in baskets.columns if c != "items"]
-        found = explode_values(baskets, others, "items", "item").join(
-            broadcast_if_small(frequent_items.select("item")), "item", "left_semi"
+        # A frequent item is in many baskets: its rows are dealt to parts, and its name to each part.
+        part = F.pmod(F.xxhash64(key), F.lit(ITEM_PARTS)).alias("_part")
+        parts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ITEM_PARTS - 1).cast("long"))).alias("_part")
+        found = explode_values(baskets, [key, part], "items", "item").join(
+            frequent_items.select("item", parts), ["item", "_part"], "left_semi"
         )
-        reduced = found.groupBy(*others).agg(F.array_sort(F.collect_list("item")).alias("items"))
+        kept = found.groupBy(key).agg(F.array_sort(F.collect_list("item")).alias("_kept"))
+        none = F.array().cast("array<string>")
+        reduced = baskets.join(kept, key, "left").withColumn(
+            "items", F.when(F.col("items").isNotNull(), F.coalesce("_kept", none))
+        ).select(*baskets.columns)
     return reduced
 
 
@@ -133,13 +142,24 @@ def pair_counts(
 ) -> DataFrame:
     """(a, b, cnt) of the pairs of frequent items.
 
-    The bucket filter depends on the pair alone, so it is applied to the counted pairs.
+    With ``frequent_buckets`` a pair is made and counted only if its bucket is frequent. The buckets reach the tasks as one
+    string of ``buckets`` marks, and each item is hashed once per basket.
     """
-    counts = count_by(basket_pairs(frequent_baskets).select("a", "b"), ["a", "b"])
     if frequent_buckets is None:
-        return counts
-    hashed = counts.withColumn("bucket", pair_bucket("a", "b", buckets))
-    return hashed.join(broadcast_if_small(frequent_buckets.select("bucket")), "bucket", "left_semi").drop("bucket")
+        return count_by(basket_pairs(frequent_baskets).select("a", "b"), ["a", "b"])
+    frequent = {r["bucket"] for r in frequent_buckets.select("bucket").collect()}  # at most ``buckets`` rows
+    marks = F.lit("".join("1" if i in frequent else "0" for i in range(buckets)))
+    hashed = frequent_baskets.select(
+        "items", F.transform("items", lambda x: item_residue(x, buckets).cast("int")).alias("_hashes")
+    )
+    both = F.arrays_zip("items", "_hashes")
+    first = hashed.select(both.alias("_all"), F.posexplode(both).alias("_pos", "_a"))
+
+    def may_count(x: Column) -> Column:
+        return F.substring(marks, F.pmod(F.col("_a._hashes") + x["_hashes"], F.lit(buckets)) + 1, F.lit(1)) == "1"
+
+    rest = F.transform(F.filter(_tail("_all", "_pos"), may_count), lambda x: x["items"])
+    return count_by(explode_values(first, [F.col("_a.items").alias("a")], rest, "b"), ["a", "b"])
 
 
 def candidate_triplets(frequent_baskets: DataFrame, frequent_pairs: DataFrame) -> DataFrame:
@@ -150,11 +170,14 @@ def candidate_triplets(frequent_baskets: DataFrame, frequent_pairs: DataFrame) -
     size is known.
     """
     others = [c for c in frequent_baskets.columns if c != "items"]
-    partners = frequent_pairs.groupBy("a").agg(F.collect_set("b").alias("_partners"))
-    partners = F.broadcast(partners) if is_small(frequent_pairs) else partners
+    # A stage table, so that Spark broadcasts it if it is small. Otherwise an item in many baskets is dealt to parts.
+    partners = stage(frequent_pairs.groupBy("a").agg(F.collect_set("b").alias("_partners")), "partners")
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ITEM_PARTS - 1).cast("long"))).alias("_part")
     first = posexplode_values(frequent_baskets, [*others, "items"], "items", "_pos", "a")
-    extended = first.join(partners, "a").select(
-        *others, "a", F.array_intersect(_tail("items", "_pos"), F.col("_partners")).alias("_ext")
+    first = first.select(*others, "a", _tail("items", "_pos").alias("_rest"))
+    first = first.withColumn("_part", F.pmod(F.xxhash64("a", "_rest"), F.lit(ITEM_PARTS)))
+    extended = first.join(partners.select("a", "_partners", parts), ["a", "_part"]).select(
+        *others, "a", F.array_intersect("_rest", "_partners").alias("_ext")
     )
     second = posexplode_values(extended, [*others, "a", "_ext"], "_ext", "_pos", "b")
     third = explode_values(second, [*others, "a", "b"], _tail("_ext", "_pos"), "c")

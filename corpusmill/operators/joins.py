@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.sources.staging import broadcast_if_small
-
 
 def join_left_key(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Left equi-join on a key, with only the named columns of the right side."""
@@ -25,8 +23,8 @@ def join_features_labels(features: DataFrame, labels: DataFrame, key: str = "uni
 
 
 def semi_join_frequent(df: DataFrame, frequent: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose key is in a set of frequent ones, broadcast when the set is small."""
-    return df.join(broadcast_if_small(frequent.select(*on)), list(on), "left_semi")
+    """Rows whose key is in a set of frequent ones. Give it a stage table: Spark then knows whether it is small."""
+    return df.join(frequent.select(*on), list(on), "left_semi")
 
 
 def merge_two_counts(
@@ -41,8 +39,11 @@ def merge_two_counts(
 
 
 def lookup_map(df: DataFrame, mapping: DataFrame, on: str) -> DataFrame:
-    """Attach the columns of a small mapping such as cluster to label."""
-    return df.join(broadcast_if_small(mapping), on)
+    """Attach the columns of a mapping such as cluster to label; a value that is not in it fails the job."""
+    joined = df.join(mapping.withColumn("_mapped", F.lit(True)), on, "left")
+    failure = F.raise_error(F.concat(F.lit("no mapping for "), F.coalesce(F.col(on).cast("string"), F.lit("NULL"))))
+    found = {c: F.when(F.col("_mapped"), F.col(c)).otherwise(failure) for c in mapping.columns if c != on}
+    return joined.withColumns(found).drop("_mapped")
 
 
 def squared_distance(a: Column | str, b: Column | str) -> Column:

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.operators.aggregates import crosstab
 from corpusmill.operators.ranks import running_sums
 
 
@@ -33,13 +32,24 @@ def precision_recall(
 
 
 def confusion_matrix(
-    df: DataFrame, label: str = "label", prediction: str = "prediction", classes: Sequence = (0, 1)
+    df: DataFrame, label: str = "label", prediction: str = "prediction", classes: Sequence | None = None
 ) -> DataFrame:
-    """One row per actual class, one column per predicted class; all cells are present."""
-    seen = crosstab(df.where(F.col(label).isin(list(classes))), label, prediction, classes, "pred_")
+    """One row per actual class, one column per predicted class; all cells are present.
+
+    Without ``classes`` they are all labels and predictions that occur, besides 0 and 1. With it, another value fails the
+    job. Rows without a label or a prediction are in no cell.
+    """
+    cells = df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n")).dropna(subset=[label, prediction])
+    rows = cells.collect()  # one row per pair of classes
+    found = {r[label] for r in rows} | {r[prediction] for r in rows}
+    if classes is not None and found - set(classes):
+        raise ValueError(f"not listed as a class: {sorted(found - set(classes))}")
+    classes = sorted(found | {0, 1}) if classes is None else classes
+    of = {(r[label], r[prediction]): r["n"] for r in rows}
     type_name = df.schema[label].dataType.simpleString()
-    every = df.sparkSession.createDataFrame([(c,) for c in classes], f"`{label}` {type_name}")
-    return every.join(seen, label, "left").na.fill(0)
+    columns = ", ".join(f"`pred_{c}` long" for c in classes)
+    table = [(a, *[of.get((a, b), 0) for b in classes]) for a in classes]
+    return df.sparkSession.createDataFrame(table, f"`{label}` {type_name}, {columns}")
 
 
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

@@ -23,6 +23,7 @@ from corpusmill.operators import metrics
 from corpusmill.operators.aggregates import argmax_param, mode_by_group, mode_value, union_all
 from corpusmill.operators.joins import lookup_map, nearest_to_center
 from corpusmill.operators.sampling import stratified_kfold
+from corpusmill.sources.staging import stage
 
 RESULT_SCHEMA = "param int, metric string, value double"
 
@@ -248,8 +249,8 @@ def cv_stratified(
         part = rf_predict(model, folded.where(F.col("fold") == f))
         return part.select(id_col, "fold", label, "prediction", "score")
 
-    with cached(folded):
-        return union_all(*_grid(range(folds), out_of_fold, parallelism))
+    folded = stage(folded.select(id_col, label, "fold", options.get("features", "features")), "folded")
+    return stage(union_all(*_grid(range(folds), out_of_fold, parallelism)), "out-of-fold")
 
 
 def fold_scores(predictions: DataFrame) -> DataFrame:

@@ -98,6 +98,12 @@ def assign_row_key(
     return ranked.withColumn(out, F.col("_rank") - 1).drop("_rank")
 
 
+def text_rank(df: DataFrame, key: str, out: str, prefix: int = 4) -> DataFrame:
+    """Rank 1..n of each row in the order of a distinct text; the first characters name the bucket."""
+    bucketed = df.withColumn("_bucket", F.substring(key, 1, prefix))
+    return _two_phase(bucketed, [], ["_bucket"], [F.col(key)], {out: F.lit(1).cast("long")}).drop("_bucket")
+
+
 def hash_rank(
     df: DataFrame, id_col: str, by: Sequence[str] = (), seed: int = 42, out: str = "hash_rank",
     digits: int = HASH_DIGITS,

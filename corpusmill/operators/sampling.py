@@ -13,16 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.sources.staging import stage
 from corpusmill.operators.ranks import at_or_before, hash_cuts, hash_key, hash_rank
 
 MAX_CLASSES = 1000
 
 
-def class_sizes(df: DataFrame, label: str = "label") -> dict:
-    """Rows per class. Labels are few by definition; more than ``MAX_CLASSES`` is an error."""
-    rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"column {label} has more than {MAX_CLASSES} classes")
+def class_sizes(df: DataFrame, label: str = "label", most: int = MAX_CLASSES) -> dict:
+    """Rows per class. The driver holds one number per class, so more than ``most`` is an error, not a cut."""
+    rows = df.groupBy(label).count().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"column {label} has more than {most} classes")
     return {r[label]: r["count"] for r in rows}
 
 
@@ -108,23 +109,28 @@ def split_and_balance(
     """
     if balance not in ("train", "before", "both", "none"):
         raise ValueError(f"unknown balance mode {balance}")
+    # All decisions are taken on one narrow stage table; the wide rows are read once, when they are joined.
+    rows = stage(df.select(id_col, label), "keys-and-labels")
     if balance in ("before", "both"):
-        df = balance_undersample(df, id_col, label, seed=seed)
-    parts = split_train_val_test(df, id_col, seed=seed)
+        rows = balance_undersample(rows, id_col, label, seed=seed)
+    parts = split_train_val_test(rows, id_col, seed=seed)
     if balance in ("train", "both"):
         train = balance_undersample(parts.where(F.col("split") == "train"), id_col, label, seed=seed)
         parts = train.unionByName(parts.where(F.col("split") != "train"))
-    return parts
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return df.join(parts.select(id_col, "split"), id_col).select(*columns, "split")
 
 
 def stratified_kfold(
     df: DataFrame, id_col: str = "unique_id", label: str = "label", folds: int = 10, seed: int = 42
 ) -> DataFrame:
-    """``fold`` 0..folds-1, every class spread so that fold sizes differ by at most one."""
+    """``fold`` 0..folds-1, every class spread so that fold sizes differ by at most one. Labels must not be NULL."""
     sizes = class_sizes(df, label)
+    if None in sizes:
+        raise ValueError(f"{sizes[None]} rows have no {label}")
     wanted = [
         (c, f, n * (f + 1) // folds)
-        for c, n in sizes.items() if c is not None for f in range(folds - 1) if 0 < n * (f + 1) // folds < n
+        for c, n in sizes.items() for f in range(folds - 1) if 0 < n * (f + 1) // folds < n
     ]
     cuts = hash_cuts(df, id_col, wanted, label, seed) if wanted else []
     fold = F.when(F.lit(False), F.lit(0))

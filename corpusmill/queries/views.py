@@ -19,8 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The texts, spread over the cores for work on each of them."""
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    """The texts. ``corpusmill.scanPartitions`` spreads them after the scan, for a local run on one unsplittable file."""
+    docs, partitions = table(spark, sf_dir, "documents"), spark.conf.get("corpusmill.scanPartitions", None)
+    return spread(docs, "doc_id", int(partitions)) if partitions else docs
 
 
 def stopwords() -> list[str]:

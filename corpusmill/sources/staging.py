@@ -16,10 +16,6 @@ from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows above which a side is joined by shuffle instead of by broadcast.
-BROADCAST_ROWS = 1_000_000
 
 
 @lru_cache(maxsize=1)
@@ -74,24 +70,6 @@ def materialize_or_load(
     return spark.read.parquet(target)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread the rows of a scan over the cores when it has fewer partitions than there are cores.
-
-    Meant for a few large unsplittable files before costly work per row. A scan with enough
-    partitions is left alone, so large inputs are never shuffled by this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores, key)
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when the table has at most ``max_rows`` rows.
-
-    The check runs the plan, so give it a stage table or a plain scan.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the table is small; otherwise Spark joins by shuffle."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def spread(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Shuffle the rows to ``partitions`` by ``key``: for a few files that cannot be split, before costly work per row."""
+    return df.repartition(partitions, key)
