@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusmill.functions.text import is_nonblank
 
@@ -30,16 +29,20 @@ def profile_distinct(
 ) -> DataFrame:
     """(column_name, n_distinct); missing counts as one value.
 
-    Strings are compared by their SHA-256 digest, so long texts are not shuffled.
+    Values are compared by their SHA-256 digest, so long texts are not shuffled. Each value is one narrow row (column,
+    digest), and repeats collapse in each task before the shuffle; the wide rows are never copied.
     """
-
-    def measure(name: str) -> Column:
-        is_text = isinstance(df.schema[name].dataType, T.StringType)
-        value = F.unhex(F.sha2(F.col(name), 256)) if is_text else F.col(name)
-        distinct = F.approx_count_distinct(value) if approximate else F.count_distinct(value)
-        return distinct + F.coalesce(F.max(F.col(name).isNull().cast("long")), F.lit(0))
-
-    return _per_column(df, columns, measure, "n_distinct")
+    names = list(columns or df.columns)
+    if approximate:
+        def measure(name: str) -> Column:
+            return F.approx_count_distinct(F.col(name)) + F.coalesce(F.max(F.col(name).isNull().cast("long")), F.lit(0))
+
+        return _per_column(df, names, measure, "n_distinct")
+    digests = [F.unhex(F.sha2(F.col(c).cast("string"), 256)).alias(c) for c in names]
+    values = df.select(*digests).unpivot([], names, "column_name", "value").distinct()
+    counted = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    every = df.sparkSession.createDataFrame([(c,) for c in names], "column_name string")
+    return every.join(counted, "column_name", "left").na.fill(0)
 
 
 def profile_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -14,7 +14,6 @@ from corpusmill.sources.chunks import order_by_chunk
 from corpusmill.sources.staging import stage
 
 COLUMNS = ["row_id", "subreddit", "title", "body", "upvotes", "created_utc", "num_comments", "label"]
-SHORT_COLUMNS = ["subreddit", "title", "upvotes", "num_comments", "label"]
 TYPES = dict(zip(COLUMNS, ["bigint", "string", "string", "string", "bigint", "bigint", "bigint", "int"]))
 ALLOWED = ["src0", "src1", "src2", "src3", "src4"]
 IN_ALLOWED = "('src0', 'src1', 'src2', 'src3', 'src4')"
@@ -48,9 +47,10 @@ def profile_distinct(spark, d):
 
 
 @query("profile_values", _each(
-    "SELECT DISTINCT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM v_posts", SHORT_COLUMNS))
+    "SELECT DISTINCT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM v_posts"))
 def profile_values(spark, d):
-    return profile.profile_values(v.posts(spark, d), SHORT_COLUMNS)
+    posts = v.posts(spark, d)
+    return profile.profile_values(posts, posts.columns)
 
 
 @query("profile_nulls", _each("SELECT '{c}' AS column_name, count(*) - count({c}) AS n_null FROM v_posts"))
@@ -107,11 +107,10 @@ def filter_nonblank(spark, d):
     return clean.filter_nonblank(v.posts(spark, d), "body").select("row_id", "body")
 
 
-@query("drop_all_null", _posts_sql("""SELECT row_id, subreddit, title, upvotes, num_comments, label FROM v_posts
-WHERE title IS NOT NULL OR upvotes IS NOT NULL OR num_comments IS NOT NULL OR label IS NOT NULL"""))
+@query("drop_all_null", _posts_sql("""SELECT * FROM v_posts
+WHERE title IS NOT NULL OR body IS NOT NULL OR created_utc IS NOT NULL OR upvotes IS NOT NULL OR num_comments IS NOT NULL OR label IS NOT NULL"""))
 def drop_all_null(spark, d):
-    some = v.posts(spark, d).select("row_id", "subreddit", "title", "upvotes", "num_comments", "label")
-    return clean.drop_all_null(some, ignore=["subreddit", "row_id"])
+    return clean.drop_all_null(v.posts(spark, d), ignore=["subreddit", "row_id"])
 
 
 @query("fill_null", _posts_sql("SELECT created_utc, coalesce(num_comments, 0) AS num_comments FROM v_posts"))
@@ -202,9 +201,10 @@ def dedup_keep_first(spark, d):
     return dedup.dedup_keep_first(v.usable_posts(spark, d).select("row_id", "subreddit", "body"))
 
 
-@query("dedup_full_row", "SELECT DISTINCT lang, source, text FROM documents")
+@query("dedup_full_row", "SELECT DISTINCT * FROM (SELECT * FROM documents UNION ALL SELECT * FROM documents WHERE doc_id % 3 = 0)")
 def dedup_full_row(spark, d):
-    return dedup.dedup_full_row(v.table(spark, d, "documents").select("lang", "source", "text"))
+    docs = v.table(spark, d, "documents")
+    return dedup.dedup_full_row(docs.unionByName(docs.where("doc_id % 3 = 0")))
 
 
 @query("dedup_length_aware", f"""WITH {V_COPIES}
@@ -268,7 +268,7 @@ def lookup_map(spark, d):
 
 @query("semi_join_frequent", f"WITH {v.V_MINED} SELECT unique_id, item FROM v_frequent")
 def semi_join_frequent(spark, d):
-    baskets = v.labelled_baskets(spark, d)
+    baskets = stage(v.all_baskets(spark, d), "baskets")
     support = itemsets.min_support(baskets.count(), v.SUPPORT)
     frequent = stage(ag.having_support(itemsets.item_counts(baskets), support), "frequent-items")
     tokens = explode_values(baskets, ["unique_id"], "items", "item")

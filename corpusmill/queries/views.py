@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import text as tx
 from corpusmill.functions.stopwords import default_stopwords
 from corpusmill.operators import itemsets as it
+from corpusmill.operators.sampling import balance_undersample
 from corpusmill.sources.staging import spread
 
 SEED = 42
@@ -105,7 +106,24 @@ v_support AS (SELECT CAST(ceil({SUPPORT} * count(*)) AS BIGINT) AS s FROM v_labe
 V_DOC_ITEMS = f"""v_items AS (
   SELECT doc_id AS unique_id, unnest({items_sql('text')}) AS item FROM documents)"""
 
-V_MINED = f"""{V_BASKETS}, f_items AS (
+# All documents, with a label where there is one; and as many labelled ones of either class as the smaller has.
+V_ALL = """v_all AS (
+  SELECT d.doc_id AS unique_id, d.text AS body, l.quality AS label
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+V_BALANCED = f"""{V_LABELLED}, v_classes AS (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat(CAST(unique_id AS VARCHAR), ':{SEED}')), unique_id) AS place
+  FROM v_labelled),
+v_balanced AS (
+  SELECT unique_id, body, label FROM v_classes
+  WHERE place <= (SELECT min(n) FROM (SELECT count(*) AS n FROM v_labelled GROUP BY label)))"""
+
+
+def _mined(tables: str, source: str) -> str:
+    """CTEs of all mining passes over one table of (unique_id, body, label)."""
+    return f"""{tables}, v_items AS (
+  SELECT unique_id, label, unnest({items_sql('body')}) AS item FROM {source}),
+v_support AS (SELECT CAST(ceil({SUPPORT} * count(*)) AS BIGINT) AS s FROM {source}),
+f_items AS (
   SELECT item, count(*) AS cnt FROM v_items GROUP BY item HAVING count(*) >= (SELECT s FROM v_support)),
 v_frequent AS (SELECT * FROM v_items WHERE item IN (SELECT item FROM f_items)),
 v_pairs AS (
@@ -125,13 +143,28 @@ c_triplets AS (
 f_triplets AS (SELECT * FROM c_triplets WHERE cnt >= (SELECT s FROM v_support))"""
 
 
+V_MINED = _mined(V_ALL, "v_all")
+V_CONTRAST = _mined(V_BALANCED, "v_balanced")
+
+
 def labelled_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return it.baskets(labelled(spark, sf_dir), "body", stopwords())
 
 
+def all_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Baskets of all documents; the label is NULL where a document has none."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    docs = documents(spark, sf_dir).join(labels, "doc_id", "left").withColumnRenamed("doc_id", "unique_id")
+    return it.baskets(docs, "text", stopwords())
+
+
+def balanced_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Baskets of as many labelled documents of either class as the smaller class has."""
+    return it.baskets(balance_undersample(labelled(spark, sf_dir), seed=SEED), "body", stopwords())
+
+
 def document_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).withColumnRenamed("doc_id", "unique_id")
-    return it.baskets(docs, "text", stopwords(), label=None)
+    return all_baskets(spark, sf_dir).drop("label")
 
 
 # --- dense vectors ---------------------------------------------------------------------------
