@@ -21,9 +21,12 @@ from pyspark.sql import types as T
 
 SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*")
-HELD_CHUNKS = 300_000  # distinct chunks whose ids a task remembers
+MARKS = ".,;:!?|"  # after words; cut off where no piece joins them to the word
+ROWS = 500  # texts in a batch that a task hands on
+HELD_CHUNKS = 200_000  # chunks in each of the two tables that a task remembers
 HELD_PAIRS = 1_000_000
 UNKNOWN_SURFACE = " ⁇ "
+IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 #: What a model must do as the library does it: keep white space, put a sign in front, fall back to bytes.
 PROBES = ("", " ", "  a  b ", "a\tb\n", "ﬁéé", "\U0001f600\u0001", f"{SPACE}a")
 
@@ -88,15 +91,28 @@ class Encoder:
         import ahocorasick
 
         self.scores = model.scores
-        self.automaton = ahocorasick.Automaton()
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for piece in model.whole:
-            self.automaton.add_word(piece, len(piece))
+            self.automaton.add_word(piece)
         self.automaton.make_automaton()
+        self.whole = set(model.whole)
+        self.longest = max(map(len, model.whole), default=1)
+        #: The next shorter piece that a piece begins with; its first character, a piece or not, is the last.
+        self.shorter = {
+            p: next((p[:n] for n in range(len(p) - 1, 1, -1) if p[:n] in self.whole), p[0]) for p in model.whole if len(p) > 1
+        }
         self.ids = {p: i for i, p in enumerate(model.pieces) if model.kinds[i] == "normal"}
         self.byte_ids = [i for i, kind in enumerate(model.kinds) if kind == "byte"]
-        self.chunks: dict[str, bytes] = {}
+        self.line = self._bytes("\n")
+        self.written = {p: np.int32(i).tobytes() for p, i in self.ids.items()}
+        #: Ids by chunk without its sign: a full table becomes the earlier one, and what is still used moves to the new one.
+        self.recent: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}  # ids of what has no sign before it, as after a line break
         self.pairs: dict[tuple[str, str], bool] = {}
         self.merges: dict[str, list[tuple[float, str, str]]] = {}
+        #: Neighbours inside some piece; between any other two characters a text can be cut.
+        self.met = {pair for piece in model.scores for pair in zip(piece, piece[1:], strict=False)}
 
     def _merges(self, piece: str) -> list[tuple[float, str, str]]:
         found = self.merges.get(piece)
@@ -104,6 +120,9 @@ class Encoder:
             found = self.merges[piece] = recorded_merges(piece, self.scores)[0]
         return found
 
+    def _bytes(self, text: str) -> bytes:
+        return np.array([self.byte_ids[b] for b in text.encode()], dtype=np.int32).tobytes()
+
     def fits(self, left: str, right: str) -> bool:
         """True when merging ``left + right`` ends with these two: no merge across the border comes first."""
         known = self.pairs.get((left, right))
@@ -134,58 +153,82 @@ class Encoder:
 
     def split(self, chunk: str) -> list[str]:
         """Pieces of a chunk; a character that no piece has stands alone."""
-        lengths: list[list[int]] = [[] for _ in chunk]
-        for end, length in self.automaton.iter(chunk):
-            lengths[end - length + 1].append(length)
         size, failed = len(chunk), bytearray(len(chunk) // 8 + 1)
-        stack: list[tuple[int, int, str | None]] = []
-        at, before, k, fits = 0, None, None, self.fits
+        stack: list[tuple[int, str, str | None]] = []
+        at, before, piece = 0, None, None
+        reach, longest, whole, shorter, known = self.automaton.longest_prefix, self.longest, self.whole, self.shorter, self.pairs.get
         while at < size:
-            options = lengths[at]
-            if k is None:
-                if not options or options[0] != 1:
-                    options.insert(0, 1)
-                k = len(options) - 1
-            while k >= 0:
-                end = at + options[k]
+            if piece is None:
+                rest = chunk[at : at + longest]
+                n = reach(rest) or 1
+                piece = rest[:n]
+                while n > 1 and piece not in whole:
+                    n -= 1
+                    piece = rest[:n]
+            while piece is not None:
+                end = at + len(piece)
                 if not failed[end >> 3] >> (end & 7) & 1:
-                    piece = chunk[at:end]
-                    if before is None or fits(before, piece):
+                    if before is None:
+                        break
+                    fits = known((before, piece))
+                    if self.fits(before, piece) if fits is None else fits:
                         break
-                k -= 1
-            if k >= 0:
-                stack.append((at, k, before))
-                before, at, k = piece, end, None
+                piece = shorter.get(piece)
+            if piece is not None:
+                stack.append((at, piece, before))
+                before, at, piece = piece, end, None
             else:
                 failed[at >> 3] |= 1 << (at & 7)
-                at, k, before = stack.pop()
-                k -= 1
-        return [chunk[p : p + lengths[p][k]] for p, k, _ in stack]
+                at, piece, before = stack.pop()
+                # None after the last choice: the place before it fails as well.
+                piece = shorter.get(piece)
+                while piece is None and stack:
+                    failed[at >> 3] |= 1 << (at & 7)
+                    at, piece, before = stack.pop()
+                    piece = shorter.get(piece)
+        return [piece for _, piece, _ in stack]
 
     def chunk(self, chunk: str) -> bytes:
         """Ids of a chunk as 32-bit integers."""
-        found = self.chunks.get(chunk)
+        if chunk[0] != SPACE:
+            found = self.bare.get(chunk)
+            if found is None:
+                if len(self.bare) >= HELD_CHUNKS:
+                    self.bare.clear()
+                found = self.bare[chunk] = self._chunk(chunk)
+            return found
+        word = chunk[1:]
+        found = self.recent.get(word)
         if found is None:
-            ids: list[int] = []
-            # A line break is in no piece, so what lies between is encoded by itself.
-            parts = chunk.split("\n")
-            if len(parts) > 1 and "\n" not in self.ids:
-                line = np.array([self.byte_ids[10]], dtype=np.int32).tobytes()
-                return line.join(self.chunk(p) if p else b"" for p in parts)
-            for piece in self.split(chunk):
-                i = self.ids.get(piece)
-                ids += [i] if i is not None else [self.byte_ids[b] for b in piece.encode()]
-            found = np.array(ids, dtype=np.int32).tobytes()
-            if len(self.chunks) >= HELD_CHUNKS:
-                self.chunks.clear()
-            self.chunks[chunk] = found
+            found = self.earlier.get(word)
+            if found is None:
+                if "\n" in word and "\n" not in self.ids:
+                    return self._chunk(chunk)
+                found = self._chunk(chunk)
+            if len(self.recent) >= HELD_CHUNKS:
+                self.recent, self.earlier = {}, self.recent
+            self.recent[word] = found
+        return found
+
+    def _chunk(self, chunk: str) -> bytes:
+        # A line break is in no piece, so what lies between is encoded by itself.
+        if "\n" in chunk and len(chunk) > 1 and "\n" not in self.ids:
+            return self.line.join([self.chunk(p) if p else b"" for p in chunk.split("\n")])
+        core = chunk.rstrip(MARKS)
+        if core and len(core) < len(chunk) and (core[-1], chunk[len(core)]) not in self.met:
+            found = self.chunk(core) + self.chunk(chunk[len(core) :])
+        else:
+            known = self.written.get
+            found = b"".join([known(p) or self._bytes(p) for p in self.split(chunk)])
         return found
 
     def raw(self, text: str) -> bytes:
         if not text:
             return b""
         chunk = self.chunk
-        return b"".join([chunk(c) for c in CHUNK.findall(SPACE + text.replace(" ", SPACE))])
+        if SPACE in text or "  " in text or text[0] == " " or text[-1] == " ":
+            return b"".join([chunk(c) for c in CHUNK.findall(SPACE + text.replace(" ", SPACE))])
+        return b"".join([self.recent.get(w) or chunk(SPACE + w) for w in text.split(" ")])
 
     def __call__(self, text: str) -> np.ndarray:
         return np.frombuffer(self.raw(text), dtype=np.int32)
@@ -212,7 +255,7 @@ class Decoder:
 
     def __call__(self, ids: list[int]) -> str:
         surfaces = self.surfaces
-        text = b"".join([surfaces[i] for i in ids]).decode("utf-8", "corpusmill_each_byte")
+        text = b"".join(map(surfaces.__getitem__, ids)).decode("utf-8", "corpusmill_each_byte")
         first = next((i for i in ids if i not in self.silent), None)
         return text[1:] if first in self.fronts else text
 
@@ -221,8 +264,8 @@ def _encode(model, text_column: int) -> Callable:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = Encoder(Model(*model.value)).raw
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
                 found = [raw(x or "") for x in batch.column(text_column).to_pylist()]
                 ends = np.cumsum([0] + [len(x) // 4 for x in found]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), dtype=np.int32)))
@@ -231,18 +274,16 @@ def _encode(model, text_column: int) -> Callable:
     return work
 
 
-def _decode(model, ids_column: int) -> Callable:
+def _decode(model, ids: str, name: str) -> Callable:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = Decoder(Model(*model.value))
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
-                column = batch.column(ids_column)
-                ids, ends = column.flatten().to_numpy(), np.cumsum([0, *column.value_lengths().fill_null(0).to_pylist()])
-                texts = [decode(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"]
-                )
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                column = batch.column(ids)
+                flat, ends = column.flatten().to_numpy(), np.cumsum([0, *column.value_lengths().fill_null(0).to_pylist()])
+                texts = [decode(flat[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, name])
 
     return work
 
@@ -251,7 +292,7 @@ def encode(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The columns of ``docs`` and ids. A null or empty text has no ids; repeated rows get the same ids."""
     docs = docs.drop("ids") if text != "ids" else docs
     sent = docs.sparkSession.sparkContext.broadcast(model.plain())
-    schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*docs.schema.fields, IDS])
     return docs.mapInArrow(_encode(sent, docs.columns.index(text)), schema)
 
 
@@ -259,5 +300,19 @@ def decode(rows: DataFrame, model: Model, ids: str = "ids") -> DataFrame:
     """The columns of ``rows`` and decoded; null or no ids give an empty text."""
     rows = rows.drop("decoded")
     sent = rows.sparkSession.sparkContext.broadcast(model.plain())
-    schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
-    return rows.mapInArrow(_decode(sent, rows.columns.index(ids)), schema)
+    return rows.mapInArrow(_decode(sent, ids, "decoded"), T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))
+
+
+def round_trip(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The other columns of ``docs`` and ids, decoded: both steps in one task, so that the ids cross to it once."""
+    docs = docs.drop(*[c for c in ("ids", "decoded") if c != text])
+    sent = docs.sparkSession.sparkContext.broadcast(model.plain())
+    there, back = _encode(sent, docs.columns.index(text)), _decode(sent, "ids", "decoded")
+    others = [f for f in docs.schema.fields if f.name != text]
+    names = [f.name for f in others]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in back(there(batches)):
+            yield batch.select([*names, "ids", "decoded"])
+
+    return docs.mapInArrow(work, T.StructType([*others, IDS, T.StructField("decoded", T.StringType())]))

@@ -33,7 +33,7 @@ def op1_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.load(tokenizer_path("piece_bpe_32k.model"))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = pieces.decode(pieces.encode(docs, model).drop("text"), model)
+    decoded = pieces.round_trip(docs, model)
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),

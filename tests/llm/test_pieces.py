@@ -39,7 +39,7 @@ def test_remembering_less_gives_the_same(model, library, monkeypatch):
     monkeypatch.setattr(pieces, "HELD_PAIRS", 3)
     encode = pieces.Encoder(model)
     text = "the quick brown fox jumps over the lazy dog\nagain and again"
-    assert encode(text).tolist() == library.encode(text) and len(encode.chunks) <= 3
+    assert encode(text).tolist() == library.encode(text) and len(encode.recent) <= 3
 
 
 def test_pairs_equal_merging_again(model):
@@ -57,5 +57,11 @@ def test_odd_rows(odd, model, library):
         assert r["ids"] == library.encode(r["text"] or "") and r["decoded"] == library.decode(r["ids"])
 
 
+def test_both_steps_in_one_task(odd, model):
+    one = {r["ids"] and tuple(r["ids"]): r["decoded"] for r in pieces.round_trip(odd, model).collect()}
+    two = {r["ids"] and tuple(r["ids"]): r["decoded"] for r in pieces.decode(pieces.encode(odd, model), model).collect()}
+    assert one == two
+
+
 def test_empty_table(documents, model):
     assert pieces.decode(pieces.encode(documents([]), model), model).count() == 0
