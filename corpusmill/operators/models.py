@@ -175,7 +175,7 @@ def kmeans_silhouette(
 
 
 def random_forest(
-    trees: int = 100, depth: int = 5, min_rows: int = 1, features: str = "features", seed: int = 42
+    trees: int = 100, depth: int = 16, min_rows: int = 1, features: str = "features", seed: int = 42
 ) -> RandomForestClassifier:
     return RandomForestClassifier(
         numTrees=trees, maxDepth=depth, minInstancesPerNode=min_rows, featuresCol=features, labelCol="label",

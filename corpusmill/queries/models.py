@@ -19,7 +19,8 @@ from corpusmill.queries.tables import cluster_means
 from corpusmill.queries.text import NGRAMS_SQL, TERM_TOKENS_SQL
 from corpusmill.sources.staging import stage
 
-TREES = (20, 50, 100)
+TREES = range(100, 1001, 100)
+STARTS = 10
 
 
 # --- TF-IDF ----------------------------------------------------------------------------------
@@ -159,7 +160,7 @@ def pca_2d(spark, d):
 @query("kmeans_fit_predict")
 def kmeans_fit_predict(spark, d):
     data = _dense(spark, d)
-    return models.kmeans_fit(data, 2, n_init=3).transform(data).select("unique_id", "label", "cluster")
+    return models.kmeans_fit(data, 2, n_init=STARTS).transform(data).select("unique_id", "label", "cluster")
 
 
 @query("cluster_label_identity", f"WITH {v.V_VEC} SELECT unique_id, label, cluster AS prediction FROM v_vec")
@@ -213,7 +214,7 @@ def cluster_label_nearest(spark, d):
 @query("kmeans_tune_holdout")
 def kmeans_tune_holdout(spark, d):
     parts = _parts(spark, d)
-    return models.kmeans_tune_holdout(parts.train, parts.val, mapping="nearest")
+    return models.kmeans_tune_holdout(parts.train, parts.val, mapping="nearest", n_init=STARTS)
 
 
 @query("kmeans_elbow")
@@ -248,7 +249,7 @@ def rf_tune_cv(spark, d):
 
 @query("cv_stratified")
 def cv_stratified(spark, d):
-    return models.cv_stratified(_dense(spark, d), trees=20)
+    return models.cv_stratified(_dense(spark, d), trees=100)
 
 
 @query("baseline_majority", f"""WITH {V_SPLIT} SELECT unique_id, label, (
@@ -261,7 +262,7 @@ def baseline_majority(spark, d):
 
 @query("results_table")
 def results_table(spark, d):
-    return classify.kmeans_holdout(_parts(spark, d), mapping="nearest").results
+    return classify.kmeans_holdout(_parts(spark, d), mapping="nearest", n_init=STARTS).results
 
 
 # --- whole runs, from text to the score on the test part --------------------------------------
@@ -270,13 +271,13 @@ def results_table(spark, d):
 @query("tfidf_kmeans_holdout")
 def tfidf_kmeans_holdout(spark, d):
     parts = classify.tfidf_parts(v.labelled(spark, d), "body", v.stopwords())
-    return classify.kmeans_holdout(parts, ks=range(2, 6)).results
+    return classify.kmeans_holdout(parts, ks=range(2, 11), n_init=STARTS).results
 
 
 @query("triplet_forest_holdout")
 def triplet_forest_holdout(spark, d):
     supports = (v.SUPPORT,) * 3
-    parts = classify.triplet_parts(v.labelled(spark, d), "body", v.stopwords(), supports, balance="none")
+    parts = classify.triplet_parts(v.labelled(spark, d), "body", v.stopwords(), supports, balance="both")
     return classify.random_forest_holdout(parts, trees=TREES).results
 
 
