@@ -20,6 +20,15 @@ def digest(column: str) -> Column:
     return F.unhex(F.sha2(F.col(column), 256))
 
 
+def checked_keys(df: DataFrame, text: str, order_by: str) -> DataFrame:
+    """``df`` when no ``order_by`` is NULL or has two texts; raises otherwise. One aggregation over narrow rows."""
+    same = F.min(digest(text)).eqNullSafe(F.max(digest(text))) & (F.count_if(F.col(text).isNull()).isin(0) | F.min(digest(text)).isNull())
+    bad = df.groupBy(order_by).agg(same.alias("same")).where(~F.col("same") | F.col(order_by).isNull()).limit(1).collect()
+    if bad:
+        raise ValueError(f"{order_by} must be distinct and not NULL; see {bad[0][order_by]}")
+    return df
+
+
 def first_rows(df: DataFrame, text: str = "body", order_by: str = "row_id") -> DataFrame:
     """(order_by, n_copies): the first row of each text and the number of its copies.
 
@@ -39,7 +48,7 @@ def _with_copies(df: DataFrame, text: str, order_by: str) -> DataFrame:
 
 def duplicate_flag(df: DataFrame, text: str = "body", order_by: str = "row_id") -> DataFrame:
     """``is_duplicate`` on all members of a repeated text, the first one included."""
-    flagged = _with_copies(df, text, order_by)
+    flagged = _with_copies(checked_keys(df, text, order_by), text, order_by)
     # A later copy always has a first row beside it, so it needs no count of its own.
     is_duplicate = F.col("n_copies").isNull() | (F.col("n_copies") > 1)
     return flagged.withColumn("is_duplicate", is_duplicate).drop("n_copies")
@@ -56,6 +65,7 @@ def dedup_short_long_split(
 
 def dedup_keep_first(df: DataFrame, text: str = "body", order_by: str = "row_id") -> DataFrame:
     """First row of each text."""
+    checked_keys(df, text, order_by)
     return df.join(first_rows(df, text, order_by).select(order_by), order_by, "left_semi")
 
 
@@ -70,8 +80,10 @@ def dedup_length_aware(
     """Keep unique texts, all copies of short texts, and the first copy of long ones; add a key.
 
     Key order: unique and short rows in source order, then the survivors of the long ones. All
-    decisions use a narrow table of row keys; the wide rows are shuffled once, by ``order_by``.
+    decisions use a narrow table of row keys; the wide rows are shuffled once, by ``order_by``. A row
+    key that is NULL or has two texts fails the job.
     """
+    checked_keys(df, text, order_by)
     narrow = df.select(
         order_by, digest(text).alias("_digest"), (word_count(text) <= max_words).alias("_short")
     )

@@ -12,7 +12,7 @@ from corpusmill.operators import clean
 from corpusmill.operators.dedup import dedup_length_aware
 
 # Categories of the final corpus.
-CATEGORIES = ("DeepThoughts", "SuicideWatch", "depression", "happy", "teenagers")
+CATEGORIES = ("DeepThoughts", "teenagers", "SuicideWatch", "depression", "happy")
 
 
 def clean_posts(raw: DataFrame) -> DataFrame:

@@ -281,6 +281,36 @@ def triplet_forest_holdout(spark, d):
     return classify.random_forest_holdout(parts, trees=TREES).results
 
 
+@query("tfidf_forest_holdout")
+def tfidf_forest_holdout(spark, d):
+    parts = classify.tfidf_parts(v.labelled(spark, d), "body", v.stopwords())
+    return classify.random_forest_holdout(parts, trees=TREES).results
+
+
+@query("word2vec_forest_holdout")
+def word2vec_forest_holdout(spark, d):
+    parts = classify.word2vec_parts(v.labelled(spark, d), "body")
+    return classify.random_forest_holdout(parts, trees=(100,), depth=models.UNLIMITED_DEPTH).results
+
+
+@query("embedding_kmeans_holdout")
+def embedding_kmeans_holdout(spark, d):
+    parts = classify.embedding_parts(v.vectors(spark, d).select("unique_id", "label", "embedding"))
+    return classify.kmeans_holdout(parts, n_init=STARTS).results
+
+
+@query("embedding_forest_holdout")
+def embedding_forest_holdout(spark, d):
+    parts = classify.embedding_parts(v.vectors(spark, d).select("unique_id", "label", "embedding"))
+    return classify.random_forest_holdout(parts, trees=range(100, 901, 100)).results
+
+
+@query("embedding_baseline")
+def embedding_baseline(spark, d):
+    parts = classify.embedding_parts(v.vectors(spark, d).select("unique_id", "label", "embedding"))
+    return classify.baseline(parts).select("unique_id", "label", "prediction")
+
+
 # --- chart tables ----------------------------------------------------------------------------
 
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from corpusmill.functions import text as tx
 from corpusmill.operators import clean
 from corpusmill.operators.rows import explode_values
+from corpusmill.plans import corpus
 from corpusmill.queries import views as v
 from corpusmill.queries.registry import query
+from corpusmill.queries.tables import V_COPIES
 from corpusmill.sources.staging import stage
 
 NORMAL = v.NORMALIZED.format("text")
@@ -146,3 +148,32 @@ SELECT doc_id, array_to_string({NGRAMS_SQL}, '|') AS terms FROM t""")
 def ngrams_1_3(spark, d):
     tokens = v.documents(spark, d).select("doc_id", tx.term_tokens("text", v.stopwords()).alias("tok"))
     return tokens.select("doc_id", F.array_join(tx.ngrams_up_to("tok", 3), "|").alias("terms"))
+
+
+# --- the corpus build ------------------------------------------------------------------------
+
+CATEGORIES = ("src0", "src1", "src2", "src3", "src4")
+_BODY = v.NORMALIZED.format("body")
+V_BUILT = f"""{V_LEXICON}, {V_COPIES}, v_keyed AS (
+  SELECT row_id, subreddit, title, regexp_replace(body, '{tx.SPACE_RUN}', ' ', 'g') AS body, label,
+         row_number() OVER (ORDER BY CASE WHEN n_copies > 1 AND words > 5 THEN 1 ELSE 0 END, row_id) - 1 AS unique_id
+  FROM v_copies WHERE n_copies = 1 OR words <= 5 OR rn = 1),
+v_chosen AS (
+  SELECT * FROM v_keyed WHERE title IS NOT NULL AND label IS NOT NULL AND subreddit IN {CATEGORIES}),
+v_split AS (
+  SELECT unique_id, list_filter(flatten(list_transform(list_filter(string_split({_BODY}, ' '), lambda t: t <> ''),
+         lambda t: CASE t {_CASES} ELSE [t] END)), lambda t: t NOT IN (@STOPWORDS@)) AS tokens FROM v_chosen),
+v_put AS (
+  SELECT unique_id, unnest(tokens) AS token, unnest(range(1, len(tokens) + 1)) AS pos FROM v_split),
+v_said AS (
+  SELECT unique_id, string_agg(coalesce(m.lemma, p.token), ' ' ORDER BY pos) AS lemmas
+  FROM v_put p LEFT JOIN v_map m ON p.token = m.token GROUP BY unique_id)"""
+
+
+@query("build_corpus", f"""WITH {V_BUILT}
+SELECT row_id, subreddit, title, body, CAST(label AS BIGINT) AS label, unique_id, coalesce(lemmas, body) AS cleaned_body
+FROM v_chosen LEFT JOIN v_said USING (unique_id)""")
+def build_corpus(spark, d):
+    """Raw posts to the final corpus: cleaned, de-duplicated, keyed, filtered and normalised."""
+    lexicon, lemmas = lexicon_tables(_kept(spark, d))
+    return corpus.build_corpus(v.posts(spark, d), v.stopwords(), lexicon, lemmas, CATEGORIES)

@@ -44,14 +44,16 @@ def read_delimited(
     header: bool = True,
     na_values: Sequence[str] = NA_VALUES,
     partitions: int | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Read delimited text with an explicit schema; column names come from it by position.
+    """Read delimited text with an explicit schema, and its column names by position.
 
-    Quoted values may hold line breaks, so one file is one task, as is a gzip file. ``partitions``
-    spreads the rows of few large files right after the scan.
+    A header that names other columns, or the same in another order, fails the job. With ``multi_line`` quoted values may hold
+    line breaks, and one file is one task, as is a gzip file; without it, as for texts whose white space was collapsed, large
+    files are split. ``partitions`` spreads the rows of few large files right after the scan.
     """
-    df = spark.read.schema(schema).csv(path, sep=sep, header=header, multiLine=True, mode="FAILFAST",
-                                       enforceSchema=True, **_DIALECT)
+    df = spark.read.schema(schema).csv(path, sep=sep, header=header, multiLine=multi_line, mode="FAILFAST",
+                                       enforceSchema=not header, **_DIALECT)
     df = missing_to_null(df, na_values)
     return df.repartition(partitions) if partitions else df
 
