@@ -14,21 +14,26 @@ from corpusmill.llm.queries import tokenizer_path
 from corpusmill.sources.staging import stage
 
 
+def _columns(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of the documents; of extra ones, those that no operator's result has taken the name of."""
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns if c in found.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter, null ones among them, have no language and go."""
     found = langid.predict(docs, langid.learn(docs))
-    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    return _columns(found.where(F.col("lang_pred") != langid.UNKNOWN), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest doc_id."""
-    return near_duplicates(docs, k=5, percent=80).where("first").select(*docs.columns)
+    return _columns(near_duplicates(docs, k=5, percent=80).where("first"), docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return tiling.contamination(docs, benchmark).where(F.size("matches") == 0).select(*docs.columns)
+    return _columns(tiling.contamination(docs, benchmark).where(F.size("matches") == 0), docs)
 
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,16 +41,17 @@ def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     found = secrets.find(docs)
     clean = secrets.redacted(found.withColumn("sp_found", F.size("secrets") > 0))
     chars = F.when(F.col("sp_found"), F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return clean.withColumn("n_chars", chars).select(*docs.columns)
+    return _columns(clean.withColumn("n_chars", chars), docs)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether decoding gives its text back."""
+    """Token ids of every document, and whether decoding them gives its text back."""
     model = pieces.load(tokenizer_path("piece_bpe_32k.model"))
-    found = pieces.decode(pieces.encode(docs, model), model)
+    marked = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = pieces.round_trip(marked, model)
     return found.select(
         "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        (F.xxhash64("decoded") == F.col("text_hash")).alias("round_trip"),
     )
 
 

@@ -22,9 +22,9 @@ from pyspark.sql import types as T
 SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*")
 MARKS = ".,;:!?|"  # after words; cut off where no piece joins them to the word
-ROWS = 500  # texts in a batch that a task hands on
-HELD_CHUNKS = 200_000  # chunks in each of the two tables that a task remembers
-HELD_PAIRS = 1_000_000
+ROWS = 250  # texts in a batch that a task hands on
+HELD_CHUNKS = 80_000  # chunks in each of the two tables that a task remembers
+HELD_PAIRS = 160_000
 UNKNOWN_SURFACE = " ⁇ "
 IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 #: What a model must do as the library does it: keep white space, put a sign in front, fall back to bytes.
