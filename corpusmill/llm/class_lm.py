@@ -1,15 +1,18 @@
 """Brown class-based n-gram scoring: exchange clustering, class transitions, word emissions.
 
 Tokens are the words of a text and one end. A unit is a frequent word, or all rarer words with one hash of their last
-two bytes; exchange clustering moves units between classes so that the likelihood of adjacent classes grows. All
-counts are over all training texts:
+two bytes; exchange clustering moves units between classes so that the likelihood of adjacent classes grows. Every
+rarer word that occurs ``FLOOR`` times or more then gets the best class for its own neighbours; only words under the floor
+keep the class of their unit. All counts are over all training texts:
 
 1. words are counted in each task and summed by Spark;
 2. adjacent units are counted in the same way; each unit's neighbours become one row;
 3. in every round each task finds the best class of its units against the classes of the round before, half of the
    units at a time, and the new class matrix is summed;
-4. texts are scored where they are. Words of at least ``LOOKUP_SHARE`` of the tokens (so at most 1 / LOOKUP_SHARE words)
-   are looked up in the task, the others by a join with the count table.
+4. the neighbours of every rarer word are counted by class, summed by Spark, and its class is found from them;
+5. adjacent classes are counted again with the classes of all words;
+6. texts are scored where they are. Words of at least ``LOOKUP_SHARE`` of the tokens (so at most 1 / LOOKUP_SHARE words)
+   are looked up in the task, counts and classes of the others by a join, in step 5 as well.
 """
 
 from __future__ import annotations
@@ -30,10 +33,12 @@ from corpusmill.sources.staging import stage
 
 END = b"\n"  # no word holds a line break
 UNIT_SHARE = 1e-4  # share of the tokens from which a word is a unit of its own: at most 10,000 words
+FLOOR = 5  # count from which a rarer word gets a class of its own
 LOOKUP_SHARE = 1e-6  # share from which a word's count is looked up in the task: at most 1,000,000 words
 TAILS = 256  # units of rarer words
 HELD_WORDS = 1_000_000  # words that a task counts before it hands them on
 HELD_PAIRS = 4_000_000
+HELD_NEAR = 300_000  # rarer words whose neighbours a task counts before it hands them on
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -44,6 +49,19 @@ def tail_of(word: bytes) -> int:
     return crc32(word[-2:]) % TAILS
 
 
+class _Numbers(dict):
+    """Number of each word, given when it is first asked for."""
+
+    def __init__(self, words: list[bytes] = ()):
+        super().__init__((w, i) for i, w in enumerate(words))
+        self.words = list(words)
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self.words)
+        self.words.append(word)
+        return n
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: Counter = Counter()
 
@@ -143,12 +161,15 @@ def best_class(matrix: np.ndarray, now: int, right: np.ndarray, left: np.ndarray
     ``right`` and ``left`` count the unit's neighbours by class, without itself.
     """
     g = matrix.astype(np.float64)
+    some_right, some_left = np.flatnonzero(right), np.flatnonzero(left)  # elsewhere nothing is gained
     g[now, :] -= right
     g[:, now] -= left
     g[now, now] -= self_pairs
     rows, columns = g.sum(1) + left, g.sum(0) + right  # these hold wherever the unit goes
     diagonal = np.arange(len(g))
-    gain = (_xlogx(g + right) - _xlogx(g)).sum(1) + (_xlogx(g.T + left) - _xlogx(g.T)).sum(1)
+    after, before = g[:, some_right], g.T[:, some_left]
+    gain = (_xlogx(after + right[some_right]) - _xlogx(after)).sum(1)
+    gain += (_xlogx(before + left[some_left]) - _xlogx(before)).sum(1)
     own = g[diagonal, diagonal]
     gain -= _xlogx(own + right) + _xlogx(own + left) - 2 * _xlogx(own)
     gain += _xlogx(own + right + left + self_pairs) - _xlogx(own)
@@ -234,6 +255,92 @@ def exchange(pairs: DataFrame, units: int, classes: int, rounds: int, order: np.
     return now, matrix
 
 
+def _count_near(frequent, classes: np.ndarray, count: int) -> Callable:
+    """Per rarer word: how often, and its neighbours by class: successors, predecessors, and itself once for a pair."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = [*frequent.value, END]
+        end, cells = len(first) - 1, 2 * count + 1
+        head, tails = classes[[*range(end), -1]], classes[end : end + TAILS]
+        numbers, of = _Numbers(first), head
+        held: list[np.ndarray] = []
+        size = 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            return np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
+
+        def out() -> Iterator[pa.RecordBatch]:
+            word, cell = keys // cells, keys % cells
+            starts = np.flatnonzero(np.diff(word, prepend=-1))
+            bounds = np.append(starts, len(keys))
+            for i in range(0, len(starts), 50_000):
+                own = bounds[i : i + 50_001]
+                part = slice(own[0], own[-1])
+                told = np.where((cell[part] < count) | (cell[part] == 2 * count), counts[part], 0)
+                places = pa.array((own - own[0]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([numbers.words[w] for w in word[own[:-1]]], pa.binary()),
+                     pa.array(np.add.reduceat(told, own[:-1] - own[0]), pa.int64()),
+                     pa.ListArray.from_arrays(places, pa.array(cell[part].astype(np.int32))),
+                     pa.ListArray.from_arrays(places, pa.array(counts[part]))],
+                    names=["word", "n", "cells", "counts"],
+                )
+
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1000):
+                rows = [np.array([end])]  # one end between two texts, as only neighbours of words are counted
+                for text in raw_texts(whole.slice(start, 1000).column(0)):
+                    found = words_of(text)
+                    rows += [np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)), rows[0]]
+                row = np.concatenate(rows)
+                of = np.concatenate([of, tails[np.array([tail_of(w) for w in numbers.words[len(of) :]], dtype=np.int64)]])
+                at = np.flatnonzero(row > end)
+                word, after, before = row[at], row[at + 1], row[at - 1]
+                base = word * cells
+                held.append(base + np.where(after == word, 2 * count, of[after]))
+                held.append((base + count + of[before])[before != word])
+                size += 2 * len(at)
+                if size >= HELD_PAIRS or len(numbers) - len(head) >= HELD_NEAR:
+                    keys, counts = merged()
+                    yield from out()
+                    numbers, of = _Numbers(first), head
+                    held, size = [], 0
+        keys, counts = merged()
+        yield from out()
+
+    return work
+
+
+def _choose(matrix: np.ndarray, tails: np.ndarray) -> Callable:
+    """Best class of each word that has its neighbours told, -1 for the others."""
+    count = len(matrix)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, to = batch.column(0).to_pylist(), []
+            for i, word in enumerate(words):
+                if not batch.column(2)[i].is_valid:
+                    to.append(-1)
+                    continue
+                near = np.bincount(_lists(batch, i, "cells"), weights=_lists(batch, i, "counts"), minlength=2 * count + 1)
+                to.append(best_class(matrix, int(tails[tail_of(word)]), near[:count], near[count:-1], float(near[-1])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(to, pa.int32())], names=["word", "n", "class"])
+
+    return work
+
+
+def rarer_words(texts: DataFrame, frequent, classes: np.ndarray, matrix: np.ndarray) -> DataFrame:
+    """(word, n, class) of all words that are no units of their own; class -1 under the floor."""
+    count = len(matrix)
+    near = texts.mapInArrow(_count_near(frequent, classes, count), "word binary, n long, cells array<int>, counts array<long>")
+    near = near.groupBy("word").agg(
+        F.sum("n").alias("n"), F.flatten(F.collect_list("cells")).alias("cells"), F.flatten(F.collect_list("counts")).alias("counts")
+    )
+    enough = F.col("n") >= FLOOR
+    near = near.select("word", "n", F.when(enough, F.col("cells")).alias("cells"), F.when(enough, F.col("counts")).alias("counts"))
+    return stage(near.mapInArrow(_choose(matrix, classes[-1 - TAILS : -1]), "word binary, n long, class int"), "rarer-words")
+
+
 @dataclass
 class ClassModel:
     """What scoring needs: bounded tables, and the count table for the rarer words."""
@@ -242,16 +349,130 @@ class ClassModel:
     types: int  # V
     words: list[bytes]  # looked up in the task, the frequent ones first
     counts: np.ndarray
-    frequent: int
-    classes: np.ndarray  # of each unit
+    classes: np.ndarray  # of each looked up word
+    own: np.ndarray  # whether that is its own, not its tail's
+    tails: np.ndarray  # class of each tail
     steps: np.ndarray  # log10 of class transitions
-    class_log: np.ndarray  # log10 of the tokens in the class of each unit
-    discount: float
+    class_log: np.ndarray  # log10 of the tokens in each class
+    discount: float  # of the words under the floor
     unknown_log: np.ndarray  # of each tail: log10 of the mass of unknown words, in tokens
     table: DataFrame  # (word, n) of all words
+    rarer: DataFrame | None  # (word, n, class) of the words that are no units of their own
+
+
+class _Paths:
+    """Class of every token of a text where the task knows it; the other words are numbered and asked for."""
+
+    def __init__(self, words: list[bytes], classes: np.ndarray):
+        self.get = {w: i for i, w in enumerate(words)}.get
+        self.classes = classes
+
+    def of(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Places of the known words, the nodes, and what to ask. A node is a class, or -1 - number of the word to ask for."""
+        at = np.array([self.get(w, -1) for w in found], dtype=np.int64)
+        asked = _Numbers()
+        nodes = np.zeros(len(found) + 2, dtype=np.int64)  # ends have class 0
+        nodes[1:-1] = self.classes[at] if len(self.classes) else 0
+        missing = np.flatnonzero(at < 0)
+        nodes[missing + 1] = [-1 - asked[found[i]] for i in missing]
+        return at[at >= 0], nodes, asked.words
+
+
+def _known_steps(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    both = (nodes[:-1] >= 0) & (nodes[1:] >= 0)
+    return nodes[:-1][both], nodes[1:][both]
+
+
+def _runs(nodes: np.ndarray) -> np.ndarray:
+    """Nodes to ask for and those beside them. Two classes side by side are no step, or one of ``_known_steps``."""
+    ask = nodes < 0
+    near = ask.copy()
+    near[1:] |= ask[:-1]
+    near[:-1] |= ask[1:]
+    return nodes[near].astype(np.int32)
+
 
-    def base(self, n: Column) -> Column:
-        return F.log10((F.coalesce(n, F.lit(0)) + 1) / F.lit(float(self.tokens + self.types + 1)))
+def _asked_steps(runs: np.ndarray, told: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the steps that ``_known_steps`` left out; ``told`` has the class of each word asked for."""
+    path = np.where(runs >= 0, runs, told[np.where(runs >= 0, 0, -1 - runs)])
+    either = (runs[:-1] < 0) | (runs[1:] < 0)
+    return path[:-1][either], path[1:][either]
+
+
+def _answers(local: DataFrame, rarer: DataFrame) -> DataFrame:
+    """``local`` and what the table of rarer words tells of its lm_words: their places, counts and classes."""
+    asked = local.where(F.size("lm_words") > 0).select("lm_row", F.posexplode("lm_words").alias("at", "word"))
+    found = asked.join(rarer, "word").groupBy("lm_row").agg(F.collect_list(F.struct("at", "n", "class")).alias("x"))
+    found = found.select("lm_row", F.col("x.at").alias("lm_at"), F.col("x.n").alias("lm_counts"), F.col("x.class").alias("lm_classes"))
+    return local.join(found, "lm_row", "left")
+
+
+def _told(batch: pa.RecordBatch, i: int, tails: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word that row ``i`` asks for: its count, 0 if unknown; whether it has a class of its own; its class; its tail."""
+    words = batch.column(batch.schema.get_field_index("lm_words"))[i].as_py() or []
+    tail = np.array([tail_of(w) for w in words], dtype=np.int64)
+    n, to = np.zeros(len(words), np.int64), np.full(len(words), -1)
+    at = _lists(batch, i, "lm_at")
+    n[at], to[at] = _lists(batch, i, "lm_counts"), _lists(batch, i, "lm_classes")
+    return n, to >= 0, np.where(to >= 0, to, tails[tail]), tail
+
+
+def _first_steps(known, count: int) -> Callable:
+    """Per text what to ask for; at the end of the task a row with the steps that need no answer."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        paths, total = _Paths(*known.value), np.zeros(count * count, np.int64)
+        kinds = [pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+
+        def rows(*columns: list) -> pa.RecordBatch:
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, names=["lm_row", "lm_words", "lm_runs", "lm_steps"])
+
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1000):
+                batch = whole.slice(start, 1000)
+                ids, asked, runs = [], [], []
+                for row, text in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)), strict=True):
+                    _, nodes, words = paths.of(words_of(text))
+                    a, b = _known_steps(nodes)
+                    total += np.bincount(a * count + b, minlength=count * count)
+                    if words:
+                        ids.append(row)
+                        asked.append(words)
+                        runs.append(_runs(nodes))
+                yield rows(ids, asked, runs, [None] * len(ids))
+        yield rows([None], [None], [None], [total])
+
+    return work
+
+
+def _all_steps(tails: np.ndarray, count: int) -> Callable:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(count * count, np.int64)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                steps = _lists(batch, i, "lm_steps")
+                if len(steps):
+                    total += steps
+                    continue
+                a, b = _asked_steps(_lists(batch, i, "lm_runs"), _told(batch, i, tails)[2])
+                total += np.bincount(a * count + b, minlength=count * count)
+        hit = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), pa.array(total[hit])], names=["cell", "n"])
+
+    return work
+
+
+def class_steps(texts: DataFrame, words: list[bytes], classes: np.ndarray, rarer: DataFrame, tails: np.ndarray, count: int) -> np.ndarray:
+    """How often each class follows each, by the classes of all words. ``texts`` has one binary column."""
+    known = texts.sparkSession.sparkContext.broadcast((words, classes))
+    rows = texts.select(F.monotonically_increasing_id(), F.col(f"`{texts.columns[0]}`"))
+    local = rows.mapInArrow(_first_steps(known, count), "lm_row long, lm_words array<binary>, lm_runs array<int>, lm_steps array<long>")
+    cells = _answers(stage(local, "steps"), rarer).mapInArrow(_all_steps(tails, count), "cell int, n long")
+    out = np.zeros(count * count, dtype=np.int64)
+    for r in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most count * count rows
+        out[r["cell"]] = r["n"]
+    return out.reshape(count, count)
 
 
 def fit(texts: DataFrame, text: str = "text", classes: int = 64, rounds: int = 8) -> ClassModel:
@@ -261,94 +482,128 @@ def fit(texts: DataFrame, text: str = "text", classes: int = 64, rounds: int = 8
                        F.count_if(F.col("n") == 2).alias("n2")).first()
     tokens, types = int(totals["n"] or 0), int(totals["v"])
     if not tokens:
-        return ClassModel(0, 0, [], np.zeros(0, np.int64), 0, np.zeros(TAILS + 1, np.int64), np.zeros((2, 2)),
-                          np.zeros(TAILS + 1), 0.5, np.zeros(TAILS), table)
+        none = np.zeros(0, np.int64)
+        return ClassModel(0, 0, [], none, none, none > 0, np.zeros(TAILS, np.int64), np.zeros((2, 2)), np.zeros(2), 0.5,
+                          np.zeros(TAILS), table, None)
     discount = totals["n1"] / (totals["n1"] + 2 * totals["n2"]) if totals["n1"] and totals["n2"] else 0.5
     is_end = F.col("word") == F.lit(END)
-    # No more than 1 / LOOKUP_SHARE words can have that share of the tokens.
-    known = table.where(~is_end & (F.col("n") >= F.lit(LOOKUP_SHARE * tokens))).toArrow()
-    words, counts = known.column(0).to_pylist(), known.column(1).to_numpy()
+    # No more than 1 / UNIT_SHARE words can have that share of the tokens.
+    head = table.where(~is_end & (F.col("n") >= F.lit(UNIT_SHARE * tokens))).toArrow()
+    words, counts = head.column(0).to_pylist(), head.column(1).to_numpy()
     by_count = sorted(range(len(words)), key=lambda i: (-counts[i], words[i]))
     words, counts = [words[i] for i in by_count], counts[by_count]
-    frequent = int((counts >= UNIT_SHARE * tokens).sum())
+    frequent = len(words)
     units = frequent + TAILS + 1
 
     tail = F.pmod(F.crc32(F.when(F.length("word") < 2, F.col("word")).otherwise(F.expr("substring(word, -2, 2)"))), F.lit(TAILS))
     rare = table.where(~is_end & (F.col("n") < F.lit(UNIT_SHARE * tokens)))
-    rows = rare.groupBy(tail.alias("tail")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()  # TAILS rows
-    unit_tokens = np.concatenate([counts[:frequent], np.zeros(TAILS + 1, np.int64)])
-    tail_types = np.zeros(TAILS)
-    for r in rows:
+    unit_tokens = np.concatenate([counts, np.zeros(TAILS + 1, np.int64)])
+    for r in rare.groupBy(tail.alias("tail")).agg(F.sum("n").alias("n")).collect():  # TAILS rows
         unit_tokens[frequent + r["tail"]] = r["n"]
-        tail_types[r["tail"]] = r["v"]
-    ends = table.where(is_end).first()
-    unit_tokens[-1] = ends["n"]
+    unit_tokens[-1] = table.where(is_end).first()["n"]
 
-    own = texts.sparkSession.sparkContext.broadcast(words[:frequent])
-    pairs = texts.select(F.col(f"`{text}`").cast("binary")).mapInArrow(_count_pairs(own), "a int, b int, n long")
+    raw = texts.select(F.col(f"`{text}`").cast("binary"))
+    own = texts.sparkSession.sparkContext.broadcast(words)
+    pairs = raw.mapInArrow(_count_pairs(own), "a int, b int, n long")
     pairs = stage(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "unit-pairs")
     order = np.argsort(-unit_tokens[:-1], kind="stable")
     of_unit, matrix = exchange(pairs, units, classes, rounds, order)
 
-    total = np.bincount(of_unit, weights=unit_tokens, minlength=classes)
+    tails = of_unit[frequent:-1]
+    rarer = rarer_words(raw, own, of_unit, matrix)
+    # Tokens of the classes: units of their own, rarer words with a class, and what is under the floor by its tail.
+    total = np.bincount(of_unit[:frequent], weights=counts, minlength=classes)
+    total[0] += unit_tokens[-1]
+    tail_types = np.zeros(TAILS)
+    under = F.col("class") < 0
+    sums = rarer.groupBy("class", F.when(under, tail).alias("tail")).agg(F.sum("n").alias("n"), F.count("*").alias("v"))
+    for r in sums.collect():  # at most TAILS + classes rows
+        if r["class"] < 0:
+            total[tails[r["tail"]]] += r["n"]
+            tail_types[r["tail"]] = r["v"]
+        else:
+            total[r["class"]] += r["n"]
+    # No more than 1 / LOOKUP_SHARE words can have that share of the tokens.
+    known = rarer.where(F.col("n") >= F.lit(LOOKUP_SHARE * tokens)).toArrow()
+    more, to = known.column(0).to_pylist(), known.column(2).to_numpy().astype(np.int64)
+    by_tail = tails[np.array([tail_of(w) for w in more], dtype=np.int64)]
+    words, counts = words + more, np.concatenate([counts, known.column(1).to_numpy()])
+    of_word = np.concatenate([of_unit[:frequent], np.where(to >= 0, to, by_tail)])
+    has_own = np.concatenate([np.ones(frequent, bool), to >= 0])
+    matrix = class_steps(raw, words, of_word, rarer, tails, classes)
+
     after = matrix.sum(1, keepdims=True)
     kinds = (matrix > 0).sum(1, keepdims=True)
     trust = after / np.maximum(after + kinds, 1)
     plain = (matrix.sum(0) + 1) / (matrix.sum() + classes)
     steps = np.log10(trust * matrix / np.maximum(after, 1) + (1 - trust) * plain)
     unknown = np.log10(np.maximum(discount * tail_types, 1 / (tokens + types + 1)))
-    return ClassModel(tokens, types, words, counts, frequent, of_unit, steps,
-                      np.log10(np.maximum(total, 1))[of_unit], discount, unknown, table)
+    return ClassModel(tokens, types, words, counts, of_word, has_own, tails, steps, np.log10(np.maximum(total, 1)), discount, unknown,
+                      table, rarer)
 
 
 def _score(model, constants: dict, text_column: int) -> Callable:
-    """Per text: what the task can tell, and the words whose counts it has to ask for."""
+    """Per text: what the task can tell, and the words whose counts and classes it has to ask for."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = model.value
-        frequent, steps, class_log = constants["frequent"], constants["steps"], constants["class_log"]
-        classes, scale = constants["classes"], np.log10(constants["tokens"] + constants["types"] + 1)
-        index = {w: i for i, w in enumerate(words)}
-        unit = np.arange(len(words))
-        unit[frequent:] = [frequent + tail_of(w) for w in words[frequent:]]
+        words, counts, classes, own = model.value
+        paths = _Paths(words, classes)
+        steps, class_log, scale = constants["steps"], constants["class_log"], np.log10(constants["tokens"] + constants["types"] + 1)
         base_log = np.log10(counts + 1) - scale
-        word_log = np.log10(np.where(np.arange(len(words)) < frequent, counts, counts - constants["discount"]))
-        end, get = frequent + TAILS, index.get
+        word_log = np.log10(np.where(own, counts, counts - constants["discount"])) - class_log[classes]
         for whole in batches:
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)
-                n, known, base, score, asked, times, tails = [], [], [], [], [], [], []
+                n, known, base, score, asked, runs = [], [], [], [], [], []
                 for text in raw_texts(batch.column(text_column)):
                     found = words_of(text)
-                    at = np.array([get(w, -1) for w in found], dtype=np.int64)
-                    missing = np.flatnonzero(at < 0)
-                    rare = Counter(found[i] for i in missing)
-                    units = np.full(len(found) + 2, end)
-                    units[1:-1] = unit[at] if len(unit) else end
-                    units[missing + 1] = [frequent + tail_of(found[i]) for i in missing]
-                    hit = at[at >= 0]
-                    path = classes[units]
+                    hit, nodes, ask = paths.of(found)
+                    a, b = _known_steps(nodes)
                     n.append(len(found) + 1)
                     known.append(len(hit) + (1 if constants["ends"] else 0))
                     base.append(float(base_log[hit].sum() + np.log10(constants["ends"] + 1) - scale))
-                    emitted = word_log[hit].sum() - class_log[units[1:-1]].sum()
-                    score.append(float(steps[path[:-1], path[1:]].sum() + emitted))
-                    asked.append(list(rare))
-                    times.append(list(rare.values()))
-                    tails.append([tail_of(w) for w in rare])
+                    score.append(float(steps[a, b].sum() + word_log[hit].sum()))
+                    asked.append(ask)
+                    runs.append(_runs(nodes))
                 added = [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                         pa.array(score, pa.float64()), pa.array(asked, pa.list_(pa.binary())),
-                         pa.array(times, pa.list_(pa.int32())), pa.array(tails, pa.list_(pa.int32()))]
+                         pa.array(score, pa.float64()), pa.array(asked, pa.list_(pa.binary())), pa.array(runs, pa.list_(pa.int32()))]
                 keep = [i for i in range(batch.num_columns) if i != text_column]
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(i) for i in keep], *added],
-                    names=[*[batch.schema.names[i] for i in keep], "lm_n", "lm_known", "lm_base", "lm_score", "lm_words",
-                           "lm_times", "lm_tails"],
+                    names=[*[batch.schema.names[i] for i in keep], "lm_n", "lm_known", "lm_base", "lm_score", "lm_words", "lm_runs"],
                 )
 
     return work
 
 
+def _finish(constants: dict) -> Callable:
+    """Adds to each text what was asked for."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps, class_log, tails = constants["steps"], constants["class_log"], constants["tails"]
+        scale = np.log10(constants["tokens"] + constants["types"] + 1)
+        for batch in batches:
+            names = batch.schema.names
+            known, base, score = (batch.column(names.index(c)).to_pylist() for c in ("lm_known", "lm_base", "lm_score"))
+            for i in range(batch.num_rows):
+                runs = _lists(batch, i, "lm_runs")
+                if not len(runs):
+                    continue
+                n, own, to, tail = _told(batch, i, tails)
+                each = -1 - runs[runs < 0]
+                a, b = _asked_steps(runs, to)
+                held = np.maximum(np.where(own, n, n - constants["discount"]), 1e-300)
+                emitted = np.where(n > 0, np.log10(held), constants["unknown_log"][tail]) - class_log[to]
+                known[i] += int((n[each] > 0).sum())
+                base[i] += float((np.log10(n + 1) - scale)[each].sum())
+                score[i] += float(steps[a, b].sum() + emitted[each].sum())
+            told = {"lm_known": pa.array(known, pa.int64()), "lm_base": pa.array(base, pa.float64()), "lm_score": pa.array(score, pa.float64())}
+            kept = [c for c in names if c not in ("lm_row", "lm_words", "lm_runs", "lm_at", "lm_counts", "lm_classes")]
+            yield pa.RecordBatch.from_arrays([told.get(c, batch.column(names.index(c))) for c in kept], names=kept)
+
+    return work
+
+
 def score(docs: DataFrame, model: ClassModel, text: str = "text") -> DataFrame:
     """The other columns of ``docs`` and n_tokens, n_known, train_tokens, base_score, score, perplexity.
 
@@ -361,38 +616,32 @@ def score(docs: DataFrame, model: ClassModel, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     ends = model.table.where(F.col("word") == F.lit(END)).first()
     constants = {
-        "frequent": model.frequent, "steps": model.steps, "class_log": model.class_log, "classes": model.classes,
+        "steps": model.steps, "class_log": model.class_log, "tails": model.tails, "unknown_log": model.unknown_log,
         "tokens": model.tokens, "types": model.types, "discount": model.discount, "ends": ends["n"] if ends else 0,
     }
-    lookup = spark.sparkContext.broadcast((model.words, model.counts))
+    lookup = spark.sparkContext.broadcast((model.words, model.counts, model.classes, model.own))
     rows = docs.select(*[F.col(f"`{c}`") for c in others], F.monotonically_increasing_id().alias("lm_row"),
                        F.col(f"`{text}`").cast("binary").alias("lm_text"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "lm_text")
+    kept = ", ".join(f"`{c}` {k}" for c, k in docs.select(*[F.col(f"`{c}`") for c in others]).dtypes)
+    kept += ", " if kept else ""
+    told = f"{kept}lm_n long, lm_known long, lm_base double, lm_score double"
     local = rows.mapInArrow(
         _score(lookup, constants, len(others) + 1),
-        f"{kept}, lm_n long, lm_known long, lm_base double, lm_score double, lm_words array<binary>, lm_times array<int>, "
-        "lm_tails array<int>",
-    )
-    local = stage(local, "scored")
-    asked = local.select("lm_row", F.explode(F.arrays_zip("lm_words", "lm_times", "lm_tails")).alias("x")).select(
-        "lm_row", F.col("x.lm_words").alias("word"), F.col("x.lm_times").alias("times"), F.col("x.lm_tails").alias("tail")
-    )
-    unknown = F.element_at(F.array(*[F.lit(float(x)) for x in model.unknown_log]), F.col("tail") + 1)
-    n = F.col("n")
-    emitted = F.when(n.isNull(), unknown).otherwise(F.log10(n - F.lit(float(model.discount))))
-    answers = asked.join(model.table, "word", "left").groupBy("lm_row").agg(
-        F.sum(F.when(n.isNull(), 0).otherwise(F.col("times"))).alias("lm_more_known"),
-        F.sum(F.col("times") * model.base(n)).alias("lm_more_base"),
-        F.sum(F.col("times") * emitted).alias("lm_more_score"),
+        f"{kept}lm_row long, lm_n long, lm_known long, lm_base double, lm_score double, lm_words array<binary>, lm_runs array<int>",
     )
-    joined = local.join(answers, "lm_row", "left")
+    if model.rarer is None:
+        joined = local
+    else:
+        joined = _answers(stage(local, "scored"), model.rarer).select(
+            *[F.col(f"`{c}`") for c in others], "lm_n", "lm_known", "lm_base", "lm_score", "lm_words", "lm_runs", "lm_at", "lm_counts",
+            "lm_classes",
+        ).mapInArrow(_finish(constants), told)
     zero = F.lit(0.0)
-    whole = F.lit(0.0) if not model.tokens else F.col("lm_score") + F.coalesce("lm_more_score", zero)
-    base = F.lit(0.0) if not model.tokens else F.col("lm_base") + F.coalesce("lm_more_base", zero)
+    whole, base = (F.col("lm_score"), F.col("lm_base")) if model.tokens else (zero, zero)
     return joined.select(
-        *[F.col(f"`{c}`") for c in others], F.col("lm_n").alias("n_tokens"),
-        (F.col("lm_known") + F.coalesce("lm_more_known", F.lit(0))).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
-        base.alias("base_score"), whole.alias("score"), F.pow(F.lit(10.0), -whole / F.col("lm_n")).alias("perplexity"),
+        *[F.col(f"`{c}`") for c in others], F.col("lm_n").alias("n_tokens"), F.col("lm_known").alias("n_known"),
+        F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), whole.alias("score"),
+        F.pow(F.lit(10.0), -whole / F.col("lm_n")).alias("perplexity"),
     )
 
 

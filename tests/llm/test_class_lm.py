@@ -79,3 +79,34 @@ def test_empty_tables(documents):
     empty, some = documents([]), documents(["a b", None])
     assert [r["score"] for r in lm.score(some, lm.fit(empty)).collect()] == [0.0, 0.0]
     assert lm.score(empty, lm.fit(some, classes=4)).count() == 0
+
+
+def test_rarer_words_get_the_class_of_their_own_neighbours(documents, monkeypatch):
+    # x-words stand where a stands, y-words where b stands; all end alike, so that their spelling says nothing.
+    texts = [" ".join(f"p {'a' if j % 3 else f'x{(i + j) % 40}zz'} q {'b' if j % 3 else f'y{(i + j) % 40}zz'}" for j in range(30)) for i in range(60)]
+    docs = documents(texts)
+    monkeypatch.setattr(lm, "UNIT_SHARE", 0.02)
+    near = {}
+    for share in (1e-6, 0.02):
+        monkeypatch.setattr(lm, "LOOKUP_SHARE", share)
+        model = lm.fit(docs, classes=5, rounds=8)
+        of = {bytes(r["word"]).decode(): r["class"] for r in model.rarer.collect()}
+        own = {w.decode(): int(c) for w, c in zip(model.words, model.classes, strict=True)}
+        assert set(of) == {f"{k}{i}zz" for k in "xy" for i in range(40)}
+        assert {of[w] for w in of if w[0] == "x"} == {own["a"]} and {of[w] for w in of if w[0] == "y"} == {own["b"]}
+        assert own["a"] != own["b"]
+        near[share] = [r["score"] for r in lm.score(docs, model).orderBy("doc_id").collect()]
+    assert near[1e-6] == pytest.approx(near[0.02])
+
+
+def test_words_of_a_class_and_the_unknown_share_its_mass(documents, monkeypatch):
+    docs = documents([f"w{i % 7} v{i % 3} z{i}" for i in range(60)])
+    monkeypatch.setattr(lm, "UNIT_SHARE", 0.04)
+    model = lm.fit(docs, classes=5, rounds=2)
+    mass = np.zeros(5)
+    for n, c, own in zip(model.counts, model.classes, model.own, strict=True):
+        mass[c] += n if own else n - model.discount
+    np.add.at(mass, model.tails, np.where(model.unknown_log > -1, 10**model.unknown_log, 0))
+    mass[0] += 60
+    assert mass == pytest.approx(np.where(mass > 0, 10**model.class_log, 0))
+    assert 10**model.steps.sum(1).max() > 0 and (10**model.steps).sum(1) == pytest.approx(1)
