@@ -101,14 +101,19 @@ def vector_mean_(spark, d):
     return means.select("unique_id", *[F.round(F.col("embedding")[i], 6).alias(f"v{i + 1}") for i in range(4)])
 
 
+def _all_words(spark, d):
+    words = tx.tokenize("body", contractions=False).alias("tokens")
+    return stage(v.all_texts(spark, d).select("unique_id", words), "words")
+
+
 @query("word2vec_fit")
 def word2vec_fit(spark, d):
-    return ft.word_vectors(ft.word2vec_fit(_words(spark, d)))
+    return ft.word_vectors(ft.word2vec_fit(_all_words(spark, d)))
 
 
 @query("sentence_embedding")
 def sentence_embedding(spark, d):
-    texts = _words(spark, d)
+    texts = _all_words(spark, d)
     return ft.sentence_embedding(texts, ft.word2vec_fit(texts))
 
 
@@ -129,7 +134,7 @@ def hashing_encoder(size: int = 32):
 
 @query("batch_embed")
 def batch_embed(spark, d):
-    return ft.batch_embed(v.labelled(spark, d), "body", hashing_encoder)
+    return ft.batch_embed(v.all_texts(spark, d), "body", hashing_encoder)
 
 
 @query("vector_unwrap", f"""WITH {v.V_VEC} SELECT unique_id, len(embedding) AS size,

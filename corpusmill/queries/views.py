@@ -87,6 +87,11 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, with a label or without; a null text is empty."""
+    return documents(spark, sf_dir).select(F.col("doc_id").alias("unique_id"), F.coalesce("text", F.lit("")).alias("body"))
+
+
 # --- baskets and what is frequent in them ----------------------------------------------------
 
 NORMALIZED = r"regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}_]+', ' ', 'g')"

@@ -248,3 +248,15 @@ def test_published_confusion_gives_published_metrics(spark):
     df = spark.createDataFrame(cells, "label int, prediction int, n int")
     rows = df.select("label", "prediction", F.explode(F.sequence(F.lit(1), "n")))
     assert round(metrics.accuracy(rows).first()[0], 2) == 0.89
+
+
+def test_embedding_queries_take_documents_without_a_label(spark, tmp_path):
+    from corpusmill.queries import models as q
+
+    docs = [(1, "red fish blue fish"), (2, "red house blue house"), (3, "onlyhere onlyhere onlyhere onlyhere onlyhere"), (4, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    d = str(tmp_path)
+    assert {r["unique_id"] for r in q.batch_embed(spark, d).collect()} == {1, 2, 3, 4}
+    assert {r["unique_id"] for r in q.sentence_embedding(spark, d).collect()} == {1, 2, 3, 4}
+    assert "onlyhere" in {r["word"] for r in q.word2vec_fit(spark, d).collect()}
