@@ -20,9 +20,11 @@ def _columns(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, null ones among them, have no language and go."""
+    """Texts without a letter, null ones among them, go. A null lang becomes the predicted one, if any was learned."""
     found = langid.predict(docs, langid.learn(docs))
-    return _columns(found.where(F.col("lang_pred") != langid.UNKNOWN), docs)
+    known = F.col("lang_pred") != langid.UNKNOWN
+    kept = found.where(known | F.col("text").rlike(r"\p{L}"))
+    return _columns(kept.withColumn("lang", F.coalesce("lang", F.when(known, F.col("lang_pred")))), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

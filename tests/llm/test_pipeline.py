@@ -48,3 +48,16 @@ def test_every_stage_takes_odd_rows(spark, odd, tmp_path):
     for rows in (odd, odd.limit(0)):
         for _, work in corpus_pipeline.STAGES:
             work(spark, rows, str(tmp_path)).collect()
+
+
+def test_language_stage_keeps_texts_without_a_learned_language(spark, documents, tmp_path):
+    texts = ["the cat sat on the mat", "123 456", None]
+    kept = corpus_pipeline.language_id(spark, documents(texts, [None] * 3), str(tmp_path)).collect()
+    assert [(r["doc_id"], r["lang"]) for r in kept] == [(0, None)]
+
+
+def test_language_stage_fills_missing_languages(spark, documents, tmp_path):
+    texts = ["the cat sat on the mat", "der hund bellt laut im garten", "the cat on the mat", "der hund im garten", "la casa"]
+    docs = documents(texts, ["en", "de", None, None, "es"])
+    kept = corpus_pipeline.language_id(spark, docs, str(tmp_path)).orderBy("doc_id").collect()
+    assert [r["lang"] for r in kept] == ["en", "de", "en", "de", "es"]
