@@ -151,3 +151,28 @@ def test_odd_quality(spark, odd, documents):
     assert len(scores) == odd.count() and all(0 <= r["quality_score"] <= 1 for r in scores)
     some = spark.createDataFrame([(3, 1), (5, 0), (5, 0)], "doc_id long, quality int")
     assert quality.score(documents([]), quality.fit(odd, some)).count() == 0
+
+
+def test_windows_cover_long_candidates():
+    for n in range(1, 400):
+        runs = secrets.parts(5, 5 + n)
+        assert set().union(*(range(a, b) for a, b in runs)) == set(range(5, 5 + n)) and max(b - a for a, b in runs) <= secrets.INSIDE
+    assert secrets.made_of_words("www.example.com/SomePath_to-page/2024") and not secrets.made_of_words("com/x9fK2bQz81LmPw0aRt")
+
+
+def test_a_key_behind_a_long_path_is_found(documents):
+    rng = random.Random(3)
+
+    def key():
+        return "".join(rng.choice(HEX) for _ in range(40))
+
+    def path(n):
+        return "/".join(rng.choice(WORDS["b"].split()) + rng.choice(WORDS["a"].split()) for _ in range(n))
+
+    texts = [f'so the token = "{key()}" is here, {text(rng, "a", 20)}' for _ in range(90)]
+    texts += [f"{text(rng, 'b', 20)} {path(9)} {text(rng, 'a', 9)}" for _ in range(150)]
+    # Groups of the key are too short for the pattern of hex digits.
+    hidden = [f"{text(rng, 'b', 9)} {path(9)}/{'-'.join(key()[:8] for _ in range(5))} {text(rng, 'a', 9)}" for _ in range(20)]
+    found = {r["doc_id"]: r["secrets"] for r in secrets.find(documents(texts + hidden)).collect()}
+    assert not any(found[i] for i in range(90, 240))
+    assert all([s["kind"] for s in found[i]] == [3] for i in range(240, 260))
