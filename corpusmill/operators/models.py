@@ -158,13 +158,13 @@ def kmeans_elbow(
 
 
 def kmeans_silhouette(
-    df: DataFrame, ks: Iterable[int] = range(2, 11), features: str = "features", seed: int = 42, parallelism: int = 4
+    df: DataFrame, ks: Iterable[int] = range(2, 11), features: str = "features", seed: int = 42, parallelism: int = 4, n_init: int = 1
 ) -> DataFrame:
-    """(k, mean silhouette with squared Euclidean distance) per k."""
+    """(k, mean silhouette with squared Euclidean distance) per k, each of the best of ``n_init`` starts."""
     evaluator = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
 
     def score(k: int) -> tuple:
-        return k, "silhouette", evaluator.evaluate(kmeans_fit(df, k, features, seed).transform(df))
+        return k, "silhouette", evaluator.evaluate(kmeans_fit(df, k, features, seed, n_init).transform(df))
 
     with cached(df):
         rows = _grid(ks, score, parallelism)

@@ -229,7 +229,7 @@ def kmeans_elbow(spark, d):
 
 @query("kmeans_silhouette")
 def kmeans_silhouette(spark, d):
-    return models.kmeans_silhouette(_dense(spark, d))
+    return models.kmeans_silhouette(_dense(spark, d), n_init=STARTS)
 
 
 @query("rf_fit_predict")
@@ -332,7 +332,7 @@ def chart_elbow(spark, d):
 @query("chart_cluster_scatter")
 def chart_cluster_scatter(spark, d):
     data = _dense(spark, d)
-    return charts.cluster_scatter(models.kmeans_fit(data, 3).transform(data))
+    return charts.cluster_scatter(models.kmeans_fit(data, 3, n_init=STARTS).transform(data))
 
 
 @query("chart_cluster_distribution", f"""WITH {v.V_VEC} SELECT cluster, count(*) FILTER (label = 0) AS n_0,

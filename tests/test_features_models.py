@@ -260,3 +260,22 @@ def test_embedding_queries_take_documents_without_a_label(spark, tmp_path):
     assert {r["unique_id"] for r in q.batch_embed(spark, d).collect()} == {1, 2, 3, 4}
     assert {r["unique_id"] for r in q.sentence_embedding(spark, d).collect()} == {1, 2, 3, 4}
     assert "onlyhere" in {r["word"] for r in q.word2vec_fit(spark, d).collect()}
+
+
+def test_silhouette_and_scatter_use_ten_starts(spark, monkeypatch):
+    from corpusmill.operators import models as m
+    from corpusmill.queries import models as q
+
+    data = spark.createDataFrame([(i, i % 2, [float(i % 3), float(i)]) for i in range(12)], "unique_id long, label int, embedding array<double>")
+    dense = ft.vector_unwrap(data).drop("embedding")
+    starts, fit = [], m.kmeans_fit
+
+    def counted(df, k, features="features", seed=42, n_init=1, max_iter=300):
+        starts.append(n_init)
+        return fit(df, k, features, seed, 1, max_iter)
+
+    monkeypatch.setattr(m, "kmeans_fit", counted)
+    monkeypatch.setattr(q, "_dense", lambda spark, d: dense)
+    q.kmeans_silhouette(spark, "")
+    q.chart_cluster_scatter(spark, "")
+    assert starts == [10] * 10
