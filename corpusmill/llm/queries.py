@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import chat, class_lm, langid, pieces, pivots, quality, secrets, tiling, training_order
+from corpusmill.llm import chat, class_lm, langid, pieces, pivots, quality, secrets, tiling, training_order, url_filter
 from corpusmill.llm.near_dedup import near_duplicates
 from corpusmill.sources.staging import scratch_path
 
@@ -172,13 +172,55 @@ def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
 
 
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+UNWANTED = r"(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|$)"
+
+OP12_SQL = rf"""
+WITH cut AS (
+  SELECT page_id, coalesce(substring(url, strpos(url, '://') + 3), '') AS rest FROM pages WHERE strpos(url, '://') > 0
+  UNION ALL SELECT page_id, '' FROM pages WHERE url IS NULL OR strpos(url, '://') = 0),
+parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS asked FROM cut),
+kept AS (
+  SELECT *, array_to_string(list_sort(list_filter(string_split(asked, '&'),
+           lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|gclid|fbclid)='))), '&') AS params,
+         regexp_replace(regexp_replace(regexp_replace(host, '^[^@]*@', ''), '(:(80|443)?)?$', ''), '^www\.', '') AS name,
+         regexp_replace(regexp_replace(path, '/+', '/', 'g'), '/$', '') AS place
+  FROM parts),
+keyed AS (
+  SELECT page_id, host, path, CASE WHEN name <> '' THEN name || place || CASE WHEN params <> '' THEN '?' || params ELSE '' END END AS key
+  FROM kept),
+listed AS (SELECT DISTINCT key FROM keyed WHERE regexp_matches(host, '{UNWANTED}') AND key IS NOT NULL),
+rules(rule_host, rule_path, decision) AS (
+  VALUES {', '.join(str(r) for r in URL_RULES)}),
+fitting AS (
+  SELECT page_id, host, path, key, r.rule_host || r.rule_path AS rule, decision FROM keyed LEFT JOIN rules r
+  ON (host = r.rule_host OR ends_with(host, '.' || r.rule_host)) AND starts_with(path, r.rule_path)),
+best AS (
+  SELECT * FROM fitting QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST, rule) = 1)
+SELECT page_id, host, path, rule, coalesce(decision, CASE WHEN listed.key IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM best LEFT JOIN listed USING (key)"""
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list holds the URLs of hosts with a name that is not wanted, as the same table has them."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where(url_filter.host(F.col("url")).rlike(UNWANTED))
+    return url_filter.judge(pages, listed, URL_RULES).drop("url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_class_lm, op2_sentencepiece, op3_chat_prefix_targets, op4_greedy_tiling, op5_language_id, op6_secret_network,
         op7_pivot_top_k, op8_training_order, op9_minhash_near_dedup, op10_factorisation_machine,
+        op12_url_filter,
     ]
     return {q.__name__: q for q in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_prefix_targets": OP3_SQL, "op7_pivot_top_k": OP7_SQL}
+    return {"op3_chat_prefix_targets": OP3_SQL, "op7_pivot_top_k": OP7_SQL, "op12_url_filter": OP12_SQL}
