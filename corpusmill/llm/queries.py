@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import chat, class_lm, langid, pieces, pivots, quality, secrets, tiling, training_order, url_filter
+from corpusmill.llm import chat, class_lm, langid, pieces, pivots, quality, secrets, tiling, training_order, url_filter, whitening
 from corpusmill.llm.near_dedup import near_duplicates
 from corpusmill.sources.staging import scratch_path
 
@@ -172,6 +172,17 @@ def op10_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found, model, error = whitening.whiten(rows, "embedding", wanted=32)
+    shares = whitening.explained(model) if len(model.values) else F.array().cast("array<double>")
+    listed = found.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return listed.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(shares, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"),
+    )
+
+
 URL_RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
@@ -217,7 +228,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_class_lm, op2_sentencepiece, op3_chat_prefix_targets, op4_greedy_tiling, op5_language_id, op6_secret_network,
         op7_pivot_top_k, op8_training_order, op9_minhash_near_dedup, op10_factorisation_machine,
-        op12_url_filter,
+        op11_whitening, op12_url_filter,
     ]
     return {q.__name__: q for q in found}
 
