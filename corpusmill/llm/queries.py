@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import chat, class_lm, langid, pieces, pivots, quality, secrets, tiling, training_order, url_filter, whitening
+from corpusmill.llm import chat, class_lm, collocations, langid, pieces, pivots, quality, secrets, tiling, training_order, url_filter, whitening
 from corpusmill.llm.near_dedup import near_duplicates
 from corpusmill.sources.staging import scratch_path
 
@@ -224,14 +224,53 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, listed, URL_RULES).drop("url")
 
 
+OP13_SQL = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+words AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+one AS (SELECT lang, a1, count(*) AS c FROM (SELECT lang, unnest(w) AS a1 FROM words) GROUP BY ALL),
+two AS (
+  SELECT lang, w[i] AS a1, w[i + 1] AS a2, count(*) AS c FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM words) GROUP BY ALL),
+three AS (
+  SELECT lang, w[i] AS a1, w[i + 1] AS a2, w[i + 2] AS a3, count(*) AS c
+  FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM words) GROUP BY ALL HAVING count(*) >= 10),
+wider AS (
+  SELECT lang, a1, a2, max(c) AS most FROM (
+    SELECT lang, a1, a2, c FROM three UNION ALL SELECT lang, a2, a3, c FROM three) GROUP BY ALL),
+cuts AS (
+  SELECT t.lang, t.a1 || ' ' || t.a2 AS phrase, t.c AS a, 1 AS k, x.c AS l, y.c AS r
+  FROM two t JOIN one x ON t.lang = x.lang AND t.a1 = x.a1 JOIN one y ON t.lang = y.lang AND t.a2 = y.a1
+  LEFT JOIN wider v ON t.lang = v.lang AND t.a1 = v.a1 AND t.a2 = v.a2
+  WHERE t.c >= 10 AND (v.most IS NULL OR 100 * v.most < 50 * t.c)
+  UNION ALL
+  SELECT t.lang, t.a1 || ' ' || t.a2 || ' ' || t.a3, t.c, 1, x.c, y.c
+  FROM three t JOIN one x ON t.lang = x.lang AND t.a1 = x.a1 JOIN two y ON t.lang = y.lang AND t.a2 = y.a1 AND t.a3 = y.a2
+  UNION ALL
+  SELECT t.lang, t.a1 || ' ' || t.a2 || ' ' || t.a3, t.c, 2, x.c, y.c
+  FROM three t JOIN two x ON t.lang = x.lang AND t.a1 = x.a1 AND t.a2 = x.a2 JOIN one y ON t.lang = y.lang AND t.a3 = y.a1),
+scored AS (
+  SELECT *, CAST((CAST(a AS HUGEINT) * a * 1000000) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY (CAST(a AS HUGEINT) * a * 1000000) // (CAST(l AS HUGEINT) * r), k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM scored JOIN totals USING (lang) QUALIFY rank <= 2000"""
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_class_lm, op2_sentencepiece, op3_chat_prefix_targets, op4_greedy_tiling, op5_language_id, op6_secret_network,
         op7_pivot_top_k, op8_training_order, op9_minhash_near_dedup, op10_factorisation_machine,
-        op11_whitening, op12_url_filter,
+        op11_whitening, op12_url_filter, op13_collocations,
     ]
     return {q.__name__: q for q in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_prefix_targets": OP3_SQL, "op7_pivot_top_k": OP7_SQL, "op12_url_filter": OP12_SQL}
+    return {"op3_chat_prefix_targets": OP3_SQL, "op7_pivot_top_k": OP7_SQL, "op12_url_filter": OP12_SQL, "op13_collocations": OP13_SQL}
