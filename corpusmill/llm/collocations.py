@@ -25,13 +25,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.words import BASE, mixed, pieces, raw_texts
 from corpusmill.sources.staging import stage
 
-CHUNK = 16 << 20  # bytes that a task counts at once
+CHUNK = 8 << 20  # bytes that a task counts at once
 SPACE, BREAK = 1, 2
 KIND = np.zeros(256, np.uint8)
 KIND[list(b" \t")] = SPACE
@@ -39,6 +39,7 @@ KIND[list(b".,;:!?\n\x0b\x0c\r")] = BREAK
 FILTER_BITS = 1 << 26  # 8 MB: the largest filter
 BITS_PER_KEY = 16
 UNKNOWN = "und"
+PARTS = 16  # parts of a language that are ranked on their own first
 
 
 class Chunk:
@@ -417,9 +418,12 @@ def collocations(docs: DataFrame, least: int = 10, share: int = 50, top: int = 2
 
 
 def _best(scored: DataFrame, totals: DataFrame, top: int) -> DataFrame:
-    """The first ``top`` rows of each language; every task keeps no more than these before they meet."""
-    from pyspark.sql import Window
+    """The first ``top`` rows of each language: of each part of it first, so that the last task ranks ``PARTS`` * ``top`` at most."""
 
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = scored.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    def first(rows: DataFrame, *keys: str) -> DataFrame:
+        order = Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        return rows.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+
+    parts = scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    best = first(first(parts, "lang", "part").drop("rank", "part"), "lang")
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
