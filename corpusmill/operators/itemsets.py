@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
+from corpusmill.operators import vertical
 from corpusmill.operators.aggregates import count_by, having_support
 from corpusmill.operators.rows import explode_values, posexplode_values
 from corpusmill.sources.staging import stage
@@ -140,13 +141,13 @@ def basket_pairs(frequent_baskets: DataFrame) -> DataFrame:
 def pair_counts(
     frequent_baskets: DataFrame, frequent_buckets: DataFrame | None = None, buckets: int = 1000
 ) -> DataFrame:
-    """(a, b, cnt) of the pairs of frequent items.
+    """(a, b, cnt) of the pairs of frequent items, counted from vertical bit sets in each task.
 
     With ``frequent_buckets`` a pair is made and counted only if its bucket is frequent. The buckets reach the tasks as one
     string of ``buckets`` marks, and each item is hashed once per basket.
     """
     if frequent_buckets is None:
-        return count_by(basket_pairs(frequent_baskets).select("a", "b"), ["a", "b"])
+        return vertical.pair_counts(frequent_baskets)
     frequent = {r["bucket"] for r in frequent_buckets.select("bucket").collect()}  # at most ``buckets`` rows
     marks = F.lit("".join("1" if i in frequent else "0" for i in range(buckets)))
     hashed = frequent_baskets.select(
@@ -185,10 +186,24 @@ def candidate_triplets(frequent_baskets: DataFrame, frequent_pairs: DataFrame) -
     return third.join(closing, ["b", "c"], "left_semi").select(*others, "a", "b", "c")
 
 
+def triplet_class_counts(frequent_baskets: DataFrame, frequent_pairs: DataFrame, label: str | None = "label") -> DataFrame:
+    """(a, b, c, cnt, cnt_1, cnt_0) of the candidate triplets, in total and per class at once.
+
+    Counted from vertical bit sets while the triplets of the frequent pairs can be sent to every task, else row by row; both
+    give the same rows.
+    """
+    known = vertical.partners(frequent_pairs)
+    if known is not None:
+        return vertical.triplet_counts(frequent_baskets, known, label)
+    columns = [label, "items"] if label else ["items"]
+    found = candidate_triplets(frequent_baskets.select(*columns), frequent_pairs)
+    counts = [F.count_if(F.col(label) == i) if label else F.lit(0).cast("long") for i in (1, 0)]
+    return found.groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("cnt"), counts[0].alias("cnt_1"), counts[1].alias("cnt_0"))
+
+
 def triplet_counts(frequent_baskets: DataFrame, frequent_pairs: DataFrame) -> DataFrame:
     """(a, b, c, cnt) of the candidate triplets."""
-    found = candidate_triplets(frequent_baskets.select("items"), frequent_pairs)
-    return count_by(found, ["a", "b", "c"])
+    return triplet_class_counts(frequent_baskets, frequent_pairs, None).select("a", "b", "c", "cnt")
 
 
 def pairs_of(triplets: DataFrame) -> DataFrame:
@@ -223,5 +238,5 @@ def triplet_name(a: str = "a", b: str = "b", c: str = "c") -> Column:
 __all__ = [
     "basket_pairs", "baskets", "bucket_counts", "candidate_triplets", "class_counts", "having_support",
     "item_counts", "keep_frequent", "min_support", "pair_bucket", "pair_counts", "pairs_of",
-    "triplet_counts", "triplet_matches", "triplet_name",
+    "triplet_class_counts", "triplet_counts", "triplet_matches", "triplet_name",
 ]

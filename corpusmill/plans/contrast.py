@@ -5,7 +5,6 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from corpusmill.operators import itemsets as it
 from corpusmill.operators.aggregates import having_support, topk_contrast
@@ -41,12 +40,7 @@ def second_pass(first: FirstPass, support: float) -> DataFrame:
 
 def triplet_counts(first: FirstPass, pairs: DataFrame, label: str = "label") -> DataFrame:
     """(a, b, c, cnt, cnt_1, cnt_0) of the candidate triplets: in total and per class at once."""
-    found = it.candidate_triplets(first.baskets.select(label, "items"), pairs)
-    return found.groupBy("a", "b", "c").agg(
-        F.count(F.lit(1)).alias("cnt"),
-        F.count_if(F.col(label) == 1).alias("cnt_1"),
-        F.count_if(F.col(label) == 0).alias("cnt_0"),
-    )
+    return it.triplet_class_counts(first.baskets, pairs, label)
 
 
 def third_pass(first: FirstPass, pairs: DataFrame, support: float, label: str = "label") -> DataFrame:

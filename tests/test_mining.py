@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators import features as ft
 from corpusmill.operators import itemsets as it
+from corpusmill.operators import vertical
 from corpusmill.operators.aggregates import having_support
 from corpusmill.operators.joins import merge_two_counts
 from corpusmill.plans import contrast
@@ -141,3 +142,43 @@ def test_merge_two_counts(spark):
     one = spark.createDataFrame([("x", 2), ("y", 1)], "triplet string, cnt long")
     zero = spark.createDataFrame([("y", 5), ("z", 3)], "triplet string, cnt long")
     assert sorted(map(tuple, merge_two_counts(one, zero).collect())) == [("x", 2, 0), ("y", 1, 5), ("z", 0, 3)]
+
+
+@pytest.mark.parametrize(("size", "block", "held", "bits"), [(4096, 1024, 2_000_000, 1 << 27), (16, 7, 40, 1), (1, 1, 1, 4000)])
+def test_bit_sets_count_as_brute_force_does(spark, random_baskets, monkeypatch, size, block, held, bits):
+    for name, value in (("SLICE", size), ("BLOCK", block), ("HELD_PAIRS", held), ("BITS", bits)):
+        monkeypatch.setattr(vertical, name, value)
+    rows, df = random_baskets
+    odd = spark.createDataFrame([(900, None, ["w00", "w01", "w02"]), (901, 1, None), (902, 0, []), (903, 5, ["z", "é"])], SCHEMA)
+    rows = [*rows, (900, None, ["w00", "w01", "w02"]), (903, 5, ["z", "é"])]
+    both = df.unionByName(odd).repartition(3)
+    pairs = _brute(rows, 2)
+    assert {(r["a"], r["b"]): r["cnt"] for r in it.pair_counts(both).collect()} == pairs
+    frequent = stage(having_support(it.pair_counts(both), 25), "pairs")
+    known = {k for k, c in pairs.items() if c >= 25}
+    want = {k: [c, 0, 0] for k, c in _brute(rows, 3).items() if known.issuperset(combinations(k, 2))}
+    for _, y, items in rows:
+        for k in combinations(items, 3):
+            if k in want and y in (0, 1):
+                want[k][2 - y] += 1
+    found = it.triplet_class_counts(both, frequent).collect()
+    assert {(r["a"], r["b"], r["c"]): [r["cnt"], r["cnt_1"], r["cnt_0"]] for r in found} == want and len(found) == len(want)
+
+
+@pytest.mark.parametrize("bound", ["MAX_PAIRS", "MAX_TRIPLETS"])
+def test_triplets_that_cannot_be_sent_are_counted_row_by_row(random_baskets, monkeypatch, bound):
+    _, df = random_baskets
+    frequent = stage(having_support(it.pair_counts(df), 25), "pairs")
+    for label in ("label", None):
+        want = sorted(map(tuple, it.triplet_class_counts(df, frequent, label).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(vertical, bound, 3)
+            assert vertical.partners(frequent) is None
+            assert sorted(map(tuple, it.triplet_class_counts(df, frequent, label).collect())) == want
+
+
+def test_counting_makes_no_row_of_a_pair_or_triplet(random_baskets):
+    _, df = random_baskets
+    frequent = stage(having_support(it.pair_counts(df), 25), "pairs")
+    for counted in (it.pair_counts(df), it.triplet_counts(df, frequent)):
+        assert "Generate" not in counted._jdf.queryExecution().executedPlan().toString()
