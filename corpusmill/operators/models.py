@@ -12,7 +12,6 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
@@ -21,6 +20,8 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators import metrics
 from corpusmill.operators.aggregates import argmax_param, mode_by_group, mode_value, union_all
+from corpusmill.operators.clusters import Clusters, fit_grid
+from corpusmill.operators.forests import Forest
 from corpusmill.operators.joins import lookup_map, nearest_to_center
 from corpusmill.operators.sampling import stratified_kfold
 from corpusmill.sources.staging import stage
@@ -65,14 +66,9 @@ def _accuracy(df: DataFrame) -> float:
 
 def kmeans_fit(
     df: DataFrame, k: int, features: str = "features", seed: int = 42, n_init: int = 1, max_iter: int = 300
-) -> KMeansModel:
-    """k-means; of ``n_init`` starts the one with the lowest cost is kept."""
-    best = None
-    for start in range(n_init):
-        model = KMeans(k=k, seed=seed + start, maxIter=max_iter, featuresCol=features, predictionCol="cluster").fit(df)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+) -> Clusters:
+    """k-means; of ``n_init`` starts, which share every scan, the one with the lowest cost is kept."""
+    return fit_grid(df, [k], n_init, features, seed, max_iter)[k]
 
 
 def map_majority(fit_on: DataFrame, cluster: str = "cluster", label: str = "label") -> DataFrame:
@@ -113,7 +109,7 @@ def cluster_label_nearest(
 
 
 def kmeans_predict(
-    model: KMeansModel, train: DataFrame, df: DataFrame, mapping: str = "majority", features: str = "features"
+    model: Clusters, train: DataFrame, df: DataFrame, mapping: str = "majority", features: str = "features"
 ) -> DataFrame:
     """Clusters of ``df`` turned into labels by one of the modes
     ``majority``, ``majority_eval``, ``nearest`` and ``identity``."""
@@ -136,25 +132,20 @@ def kmeans_tune_holdout(
     features: str = "features", seed: int = 42, n_init: int = 1, parallelism: int = 4,
 ) -> DataFrame:
     """(k, accuracy on the validation part) per k."""
-
-    def score(k: int) -> tuple:
-        model = kmeans_fit(train, k, features, seed, n_init)
-        return k, "accuracy", _accuracy(kmeans_predict(model, train, val, mapping, features))
-
     with cached(train, val):
-        rows = _grid(ks, score, parallelism)
+        fitted = fit_grid(train, ks, n_init, features, seed)
+        rows = _grid(
+            fitted, lambda k: (k, "accuracy", _accuracy(kmeans_predict(fitted[k], train, val, mapping, features))), parallelism
+        )
     return results_table(train, rows)
 
 
 def kmeans_elbow(
-    df: DataFrame, ks: Iterable[int] = range(2, 11), features: str = "features", seed: int = 42, parallelism: int = 4
+    df: DataFrame, ks: Iterable[int] = range(2, 11), features: str = "features", seed: int = 42, n_init: int = 1
 ) -> DataFrame:
-    """(k, sum of squared distances to the centers) per k."""
-    with cached(df):
-        rows = _grid(
-            ks, lambda k: (k, "cost", kmeans_fit(df, k, features, seed).summary.trainingCost), parallelism
-        )
-    return results_table(df, rows)
+    """(k, sum of squared distances to the centers) per k, each of the best of ``n_init`` starts."""
+    fitted = fit_grid(df, ks, n_init, features, seed)
+    return results_table(df, [(k, "cost", m.trainingCost) for k, m in fitted.items()])
 
 
 def kmeans_silhouette(
@@ -162,12 +153,9 @@ def kmeans_silhouette(
 ) -> DataFrame:
     """(k, mean silhouette with squared Euclidean distance) per k, each of the best of ``n_init`` starts."""
     evaluator = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
-
-    def score(k: int) -> tuple:
-        return k, "silhouette", evaluator.evaluate(kmeans_fit(df, k, features, seed, n_init).transform(df))
-
     with cached(df):
-        rows = _grid(ks, score, parallelism)
+        fitted = fit_grid(df, ks, n_init, features, seed)
+        rows = _grid(fitted, lambda k: (k, "silhouette", evaluator.evaluate(fitted[k].transform(df))), parallelism)
     return results_table(df, rows)
 
 
@@ -195,15 +183,19 @@ def rf_fit_predict(train: DataFrame, df: DataFrame, **options) -> DataFrame:
     return rf_predict(random_forest(**options).fit(train), df)
 
 
+def rf_grow(train: DataFrame, trees: int, **options) -> Forest:
+    """A forest whose first trees can be scored on their own."""
+    with cached(train):
+        return Forest(random_forest(trees=trees, **options).fit(train), train.sparkSession)
+
+
 def rf_tune_holdout(
-    train: DataFrame, val: DataFrame, trees: Iterable[int] = range(100, 1001, 100), parallelism: int = 4, **options
+    train: DataFrame, val: DataFrame, trees: Iterable[int] = range(100, 1001, 100), forest: Forest | None = None, **options
 ) -> DataFrame:
-    """(number of trees, accuracy on the validation part) per grid value."""
-    with cached(train, val):
-        rows = _grid(
-            trees, lambda t: (t, "accuracy", _accuracy(rf_fit_predict(train, val, trees=t, **options))), parallelism
-        )
-    return results_table(train, rows)
+    """(number of trees, accuracy on the validation part) per grid value, all from one ``forest`` of the largest size."""
+    trees = list(trees)
+    forest = forest or rf_grow(train, max(trees), **options)
+    return results_table(train, [(t, "accuracy", score) for t, score in forest.accuracies(val, trees)])
 
 
 def rf_tune_cv(

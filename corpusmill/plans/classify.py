@@ -82,11 +82,16 @@ def embedding_parts(df: DataFrame, vector: str = "embedding", balance: str = "be
 
 
 def random_forest_holdout(parts: Parts, trees: Iterable[int] = range(100, 1001, 100), **options) -> Outcome:
-    """Choose the number of trees on the validation part, score the choice on the test part."""
+    """Choose the number of trees on the validation part, score the choice on the test part.
+
+    One forest of the largest size is grown on the training part; every choice is a prefix of it.
+    """
+    trees = list(trees)
+    forest = models.rf_grow(parts.train, max(trees), **options)
     return Outcome(*models.tune_and_test(
         *parts,
-        tune=lambda train, val: models.rf_tune_holdout(train, val, trees, **options),
-        predict=lambda t, train, test: models.rf_fit_predict(train, test, trees=t, **options),
+        tune=lambda train, val: models.rf_tune_holdout(train, val, trees, forest),
+        predict=lambda t, train, test: forest.predict(test, t),
     ))
 
 

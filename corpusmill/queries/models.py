@@ -224,7 +224,7 @@ def kmeans_tune_holdout(spark, d):
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark, d):
-    return models.kmeans_elbow(_dense(spark, d))
+    return models.kmeans_elbow(_dense(spark, d), n_init=STARTS)
 
 
 @query("kmeans_silhouette")
@@ -326,7 +326,7 @@ def chart_posts_per_category(spark, d):
 
 @query("chart_elbow")
 def chart_elbow(spark, d):
-    return charts.elbow(models.kmeans_elbow(_dense(spark, d)))
+    return charts.elbow(models.kmeans_elbow(_dense(spark, d), n_init=STARTS))
 
 
 @query("chart_cluster_scatter")

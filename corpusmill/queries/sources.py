@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.operators import models
 from corpusmill.operators.aggregates import value_counts
+from corpusmill.operators.clusters import Clusters
 from corpusmill.operators.features import vector_unwrap
 from corpusmill.queries import views as v
 from corpusmill.queries.registry import query
@@ -117,8 +117,8 @@ def vector_store(spark, d):
 def model_store(spark, d):
     path = scratch_path(spark, "kmeans")
     data = vector_unwrap(v.vectors(spark, d).drop("cluster"), "embedding")
-    stores.save_model(models.kmeans_fit(data, 3), path)
-    return stores.load_model(KMeansModel, path).transform(data).select("unique_id", "label", "cluster")
+    stores.save_model(models.kmeans_fit(data, 3, n_init=10), path)
+    return stores.load_model(Clusters, path).transform(data).select("unique_id", "label", "cluster")
 
 
 @query("itemset_store", f"""WITH {v.V_LABELLED}

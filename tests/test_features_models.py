@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
 from corpusmill.operators import aggregates as ag
-from corpusmill.operators import charts, joins, metrics, models
+from corpusmill.operators import charts, clusters, joins, metrics, models
 from corpusmill.operators import features as ft
 from corpusmill.plans import classify
 from corpusmill.sources import stores
@@ -158,7 +157,7 @@ def test_kmeans(blobs, tmp_path, spark):
     assert models.best_param(silhouette) == 2
     fitted = models.kmeans_fit(blobs, 2, n_init=2)
     stores.save_model(fitted, str(tmp_path / "m"))
-    again = stores.load_model(KMeansModel, str(tmp_path / "m")).transform(blobs).groupBy("cluster").count().collect()
+    again = stores.load_model(clusters.Clusters, str(tmp_path / "m")).transform(blobs).groupBy("cluster").count().collect()
     assert sorted(r["count"] for r in again) == [100, 100]
     scatter = charts.cluster_scatter(fitted.transform(blobs))
     assert scatter.where("is_center").count() == 2 and scatter.where("not is_center").count() == 200
@@ -268,14 +267,82 @@ def test_silhouette_and_scatter_use_ten_starts(spark, monkeypatch):
 
     data = spark.createDataFrame([(i, i % 2, [float(i % 3), float(i)]) for i in range(12)], "unique_id long, label int, embedding array<double>")
     dense = ft.vector_unwrap(data).drop("embedding")
-    starts, fit = [], m.kmeans_fit
+    starts, fit = [], m.fit_grid
 
-    def counted(df, k, features="features", seed=42, n_init=1, max_iter=300):
-        starts.append(n_init)
-        return fit(df, k, features, seed, 1, max_iter)
+    def counted(df, ks, n_init=1, *rest):
+        starts.append((list(ks), n_init))
+        return fit(df, ks, 1, *rest)
 
-    monkeypatch.setattr(m, "kmeans_fit", counted)
+    monkeypatch.setattr(m, "fit_grid", counted)
     monkeypatch.setattr(q, "_dense", lambda spark, d: dense)
     q.kmeans_silhouette(spark, "")
     q.chart_cluster_scatter(spark, "")
-    assert starts == [10] * 10
+    q.kmeans_elbow(spark, "")
+    assert starts == [(list(range(2, 11)), 10), ([3], 10), (list(range(2, 11)), 10)]
+
+
+def plain_lloyd(x, centers, max_iter):
+    for _ in range(max_iter):
+        near = ((x[:, None] - centers[None]) ** 2).sum(2).argmin(1)
+        after = np.array([x[near == i].mean(0) if (near == i).any() else centers[i] for i in range(len(centers))])
+        if np.sqrt(((after - centers) ** 2).sum(1)).max() <= clusters.MOVED:
+            break
+        centers = after
+    return centers, ((x[:, None] - centers[None]) ** 2).sum(2).min(1).sum()
+
+
+@pytest.mark.parametrize(("direct", "width", "cells"), [(1 << 24, 1 << 22, 1 << 22), (0, 1, 7)])
+def test_runs_of_a_grid_equal_single_fits(spark, monkeypatch, direct, width, cells):
+    """Whichever way sums are added up, and however many scans the centers take."""
+    for name, value in (("DIRECT", direct), ("WIDTH", width), ("CELLS", cells)):
+        monkeypatch.setattr(clusters, name, value)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(150, 4)) + 1000
+    df = ft.vector_unwrap(spark.createDataFrame([(r.tolist(),) for r in x], "embedding array<double>")).repartition(4)
+    firsts = [x[rng.choice(len(x), k, replace=False)] for k in (1, 2, 3, 5)]
+    with clusters._points(df, "features") as points:
+        points.shift = np.full(4, 1000.0)
+        for limit in (0, 2, 100):
+            found = clusters.lloyd(points, [f - 1000 for f in firsts], limit)
+            for f, (centers, cost) in zip(firsts, found, strict=True):
+                want, want_cost = plain_lloyd(x, f, limit)
+                assert centers + 1000 == pytest.approx(want, abs=1e-9) and cost == pytest.approx(want_cost, rel=1e-6)
+
+
+def test_grid_finds_the_blobs_and_takes_odd_tables(spark, blobs):
+    found = clusters.fit_grid(blobs, [1, 2], n_init=3)
+    assert sorted(found) == [1, 2] and found[1].trainingCost > 5 * found[2].trainingCost
+    assert sorted(np.array(found[2].clusterCenters()).mean(1).round().tolist()) == [0, 6]
+    same = ft.vector_unwrap(spark.createDataFrame([([1.0, 2.0],)] * 5, "embedding array<double>"))
+    one = clusters.fit_grid(same, [3])[3]
+    assert one.trainingCost == 0 and len(one.clusterCenters()) == 3
+    assert one.transform(same).select("cluster").distinct().count() == 1
+    assert clusters.fit_grid(same.limit(0), [2])[2].clusterCenters() == []
+
+
+def test_prefixes_of_a_forest_are_forests(spark, blobs):
+    """All trees vote as Spark's own forest does, and a prefix as the sum of its trees' own probabilities."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+
+    rng = np.random.default_rng(2)
+    rows = [(i, int(rng.integers(2)), rng.normal(size=4).round(1).tolist()) for i in range(300)]
+    df = ft.vector_unwrap(spark.createDataFrame(rows, "unique_id long, label int, embedding array<double>")).repartition(3)
+    forest = models.rf_grow(df, 7, depth=6)
+    assert isinstance(forest.model, RandomForestClassificationModel)
+    spark_own = {r["unique_id"]: (r["prediction"], r["score"]) for r in models.rf_predict(forest.model, df).collect()}
+    own = {r["unique_id"]: (r["prediction"], r["score"]) for r in forest.predict(df).collect()}
+    assert {i: p for i, (p, _) in own.items()} == {i: p for i, (p, _) in spark_own.items()}
+    assert all(own[i][1] == pytest.approx(spark_own[i][1]) for i in own)
+    votes = {}
+    for tree in forest.model.trees:
+        for r in tree.transform(df).select("unique_id", vector_to_array("probability").alias("p")).collect():
+            votes.setdefault(r["unique_id"], []).append(r["p"])
+    for size in (1, 4, 7):
+        want = {i: int(np.argmax(np.sum(v[:size], axis=0))) for i, v in votes.items()}
+        assert {r["unique_id"]: r["prediction"] for r in forest.predict(df, size).collect()} == want
+    right = [(s, np.mean([int(np.argmax(np.sum(votes[i][:s], axis=0))) == y for i, y, _ in rows])) for s in (4, 1, 7)]
+    assert dict(forest.accuracies(df, [4, 1, 7])) == pytest.approx(dict(right))
+    assert [r["value"] for r in models.rf_tune_holdout(df, df, [1, 4, 7], forest).orderBy("param").collect()] == pytest.approx([right[1][1], right[0][1], right[2][1]])
+    with pytest.raises(ValueError):
+        forest.accuracies(df, [8])
+    assert forest.accuracies(df.limit(0), [3]) == [(3, 0.0)]
