@@ -9,10 +9,11 @@ keep the class of their unit. All counts are over all training texts:
 2. adjacent units are counted in the same way; each unit's neighbours become one row;
 3. in every round each task finds the best class of its units against the classes of the round before, half of the
    units at a time, and the new class matrix is summed;
-4. the neighbours of every rarer word are counted by class, summed by Spark, and its class is found from them;
+4. the neighbours of every rarer word that reaches the floor are counted by class, brought together in the order of the words,
+   and its class is found from their sums;
 5. adjacent classes are counted again with the classes of all words;
-6. texts are scored where they are. Words of at least ``LOOKUP_SHARE`` of the tokens (so at most 1 / LOOKUP_SHARE words)
-   are looked up in the task, counts and classes of the others by a join, in step 5 as well.
+6. texts are scored where they are. The most frequent ``LOOKUP_WORDS`` words are looked up in the task, counts and classes of
+   the others by a join, in step 5 as well.
 """
 
 from __future__ import annotations
@@ -25,16 +26,18 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.collocations import filter_of, made_filter, word_hashes
 from corpusmill.llm.words import pieces, raw_texts
 from corpusmill.sources.staging import stage
 
 END = b"\n"  # no word holds a line break
 UNIT_SHARE = 1e-4  # share of the tokens from which a word is a unit of its own: at most 10,000 words
 FLOOR = 5  # count from which a rarer word gets a class of its own
-LOOKUP_SHARE = 1e-6  # share from which a word's count is looked up in the task: at most 1,000,000 words
+LOOKUP_WORDS = 500_000  # words whose counts are looked up in the task; the counts of the others are joined
 TAILS = 256  # units of rarer words
 HELD_WORDS = 1_000_000  # words that a task counts before it hands them on
 HELD_PAIRS = 4_000_000
@@ -255,14 +258,14 @@ def exchange(pairs: DataFrame, units: int, classes: int, rounds: int, order: np.
     return now, matrix
 
 
-def _count_near(frequent, classes: np.ndarray, count: int) -> Callable:
-    """Per rarer word: how often, and its neighbours by class: successors, predecessors, and itself once for a pair."""
+def _count_near(frequent, wanted, classes: np.ndarray, count: int) -> Callable:
+    """Per rarer word that may reach the floor its neighbours by class: successors, predecessors, and itself once for a pair."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = [*frequent.value, END]
+        first, known = [*frequent.value, END], filter_of(wanted)
         end, cells = len(first) - 1, 2 * count + 1
         head, tails = classes[[*range(end), -1]], classes[end : end + TAILS]
-        numbers, of = _Numbers(first), head
+        numbers, of, asked = _Numbers(first), head, np.zeros(len(first), dtype=bool)
         held: list[np.ndarray] = []
         size = 0
 
@@ -276,14 +279,12 @@ def _count_near(frequent, classes: np.ndarray, count: int) -> Callable:
             for i in range(0, len(starts), 50_000):
                 own = bounds[i : i + 50_001]
                 part = slice(own[0], own[-1])
-                told = np.where((cell[part] < count) | (cell[part] == 2 * count), counts[part], 0)
                 places = pa.array((own - own[0]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([numbers.words[w] for w in word[own[:-1]]], pa.binary()),
-                     pa.array(np.add.reduceat(told, own[:-1] - own[0]), pa.int64()),
-                     pa.ListArray.from_arrays(places, pa.array(cell[part].astype(np.int32))),
-                     pa.ListArray.from_arrays(places, pa.array(counts[part]))],
-                    names=["word", "n", "cells", "counts"],
+                     pa.ListArray.from_arrays(places, pa.array(cell[part].astype(np.int16))),
+                     pa.ListArray.from_arrays(places, pa.array(counts[part].astype(np.int32)))],
+                    names=["word", "cells", "counts"],
                 )
 
         for whole in batches:
@@ -293,8 +294,10 @@ def _count_near(frequent, classes: np.ndarray, count: int) -> Callable:
                     found = words_of(text)
                     rows += [np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)), rows[0]]
                 row = np.concatenate(rows)
-                of = np.concatenate([of, tails[np.array([tail_of(w) for w in numbers.words[len(of) :]], dtype=np.int64)]])
-                at = np.flatnonzero(row > end)
+                new = numbers.words[len(of) :]
+                of = np.concatenate([of, tails[np.array([tail_of(w) for w in new], dtype=np.int64)]])
+                asked = np.concatenate([asked, known.has(word_hashes(pa.array(new, pa.binary())))])
+                at = np.flatnonzero(asked[row])
                 word, after, before = row[at], row[at + 1], row[at - 1]
                 base = word * cells
                 held.append(base + np.where(after == word, 2 * count, of[after]))
@@ -303,7 +306,7 @@ def _count_near(frequent, classes: np.ndarray, count: int) -> Callable:
                 if size >= HELD_PAIRS or len(numbers) - len(head) >= HELD_NEAR:
                     keys, counts = merged()
                     yield from out()
-                    numbers, of = _Numbers(first), head
+                    numbers, of, asked = _Numbers(first), head, np.zeros(len(first), dtype=bool)
                     held, size = [], 0
         keys, counts = merged()
         yield from out()
@@ -312,33 +315,73 @@ def _count_near(frequent, classes: np.ndarray, count: int) -> Callable:
 
 
 def _choose(matrix: np.ndarray, tails: np.ndarray) -> Callable:
-    """Best class of each word that has its neighbours told, -1 for the others."""
+    """Best class of each word of ``FLOOR`` or more, -1 for the others, from rows in the order of the words.
+
+    The neighbours of a word are summed as they come, also across batches.
+    """
     count = len(matrix)
+    cells = 2 * count + 1
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words, to = batch.column(0).to_pylist(), []
-            for i, word in enumerate(words):
-                if not batch.column(2)[i].is_valid:
-                    to.append(-1)
-                    continue
-                near = np.bincount(_lists(batch, i, "cells"), weights=_lists(batch, i, "counts"), minlength=2 * count + 1)
-                to.append(best_class(matrix, int(tails[tail_of(word)]), near[:count], near[count:-1], float(near[-1])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(to, pa.int32())], names=["word", "n", "class"])
+        last, last_n, last_near = None, 0, np.zeros(cells, np.int64)  # the word that may go on in the next batch
+
+        def out(words: list[bytes], n: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
+            to = [
+                best_class(matrix, int(tails[tail_of(w)]), x[:count], x[count:-1], float(x[-1])) if m >= FLOOR else -1
+                for w, m, x in zip(words, n.tolist(), near, strict=True)
+            ]
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n), pa.array(to, pa.int32())], names=["word", "n", "class"])
+
+        for whole in batches:
+            for start in range(0, whole.num_rows, 10_000):
+                batch = whole.slice(start, 10_000)
+                column = batch.column(0)
+                starts = np.concatenate([[True], pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)])
+                run = np.cumsum(starts) - 1
+                words = column.take(pa.array(np.flatnonzero(starts))).to_pylist()
+                n = np.zeros(len(words), np.int64)
+                np.add.at(n, run, batch.column(1).fill_null(0).to_numpy(zero_copy_only=False))
+                lengths = batch.column(2).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                at = np.repeat(run, lengths) * cells + batch.column(2).flatten().to_numpy(zero_copy_only=False)
+                near = np.bincount(at, weights=batch.column(3).flatten().to_numpy(zero_copy_only=False), minlength=len(words) * cells)
+                near = near.reshape(-1, cells)
+                if words[0] == last:
+                    n[0] += last_n
+                    near[0] += last_near
+                elif last is not None:
+                    yield out([last], np.array([last_n]), last_near[None])
+                yield out(words[:-1], n[:-1], near[:-1])
+                last, last_n, last_near = words[-1], int(n[-1]), near[-1]
+        if last is not None:
+            yield out([last], np.array([last_n]), last_near[None])
 
     return work
 
 
-def rarer_words(texts: DataFrame, frequent, classes: np.ndarray, matrix: np.ndarray) -> DataFrame:
-    """(word, n, class) of all words that are no units of their own; class -1 under the floor."""
+def rarer_words(rare: DataFrame, texts: DataFrame, frequent, classes: np.ndarray, matrix: np.ndarray) -> DataFrame:
+    """(word, n, class) of the ``rare`` words, which are no units of their own; class -1 under the floor."""
     count = len(matrix)
-    near = texts.mapInArrow(_count_near(frequent, classes, count), "word binary, n long, cells array<int>, counts array<long>")
-    near = near.groupBy("word").agg(
-        F.sum("n").alias("n"), F.flatten(F.collect_list("cells")).alias("cells"), F.flatten(F.collect_list("counts")).alias("counts")
-    )
-    enough = F.col("n") >= FLOOR
-    near = near.select("word", "n", F.when(enough, F.col("cells")).alias("cells"), F.when(enough, F.col("counts")).alias("counts"))
-    return stage(near.mapInArrow(_choose(matrix, classes[-1 - TAILS : -1]), "word binary, n long, class int"), "rarer-words")
+    wanted = made_filter(rare.where(F.col("n") >= FLOOR).select("word"))
+    near = texts.mapInArrow(_count_near(frequent, wanted, classes, count), "word binary, cells array<smallint>, counts array<int>")
+    none = F.lit(None)
+    both = rare.select("word", "n", none.cast("array<smallint>").alias("cells"), none.cast("array<int>").alias("counts")).unionByName(
+        near.select("word", none.cast("long").alias("n"), "cells", "counts"))
+    # A word that the filter let pass by mistake is rare too, so every word has its count.
+    ordered = both.repartition("word").sortWithinPartitions("word")
+    return stage(ordered.mapInArrow(_choose(matrix, classes[-1 - TAILS : -1]), "word binary, n long, class int"), "rarer-words")
+
+
+def _lookup_floor(table: DataFrame) -> int:
+    """The least count from which on there are at most ``LOOKUP_WORDS`` words."""
+    most = 1_000_000
+    rows = table.groupBy(F.least("n", F.lit(most)).alias("n")).agg(F.count("*").alias("words")).collect()  # at most ``most`` rows
+    total, floor = 0, most + 1
+    for r in sorted(rows, key=lambda r: -r["n"]):
+        total += r["words"]
+        if total > LOOKUP_WORDS:
+            break
+        floor = r["n"]
+    return floor
 
 
 @dataclass
@@ -510,7 +553,7 @@ def fit(texts: DataFrame, text: str = "text", classes: int = 64, rounds: int = 8
     of_unit, matrix = exchange(pairs, units, classes, rounds, order)
 
     tails = of_unit[frequent:-1]
-    rarer = rarer_words(raw, own, of_unit, matrix)
+    rarer = rarer_words(rare, raw, own, of_unit, matrix)
     # Tokens of the classes: units of their own, rarer words with a class, and what is under the floor by its tail.
     total = np.bincount(of_unit[:frequent], weights=counts, minlength=classes)
     total[0] += unit_tokens[-1]
@@ -523,8 +566,7 @@ def fit(texts: DataFrame, text: str = "text", classes: int = 64, rounds: int = 8
             tail_types[r["tail"]] = r["v"]
         else:
             total[r["class"]] += r["n"]
-    # No more than 1 / LOOKUP_SHARE words can have that share of the tokens.
-    known = rarer.where(F.col("n") >= F.lit(LOOKUP_SHARE * tokens)).toArrow()
+    known = rarer.where(F.col("n") >= _lookup_floor(table)).toArrow()  # at most LOOKUP_WORDS rows
     more, to = known.column(0).to_pylist(), known.column(2).to_numpy().astype(np.int64)
     by_tail = tails[np.array([tail_of(w) for w in more], dtype=np.int64)]
     words, counts = words + more, np.concatenate([counts, known.column(1).to_numpy()])

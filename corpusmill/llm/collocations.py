@@ -186,32 +186,38 @@ def filter_bits(keys: int) -> int:
     return min(FILTER_BITS, 1 << max(10, (keys * BITS_PER_KEY - 1).bit_length()))
 
 
-def _fill(bits: int, of_words: bool) -> Callable:
+def _fill(bits: int, kinds: tuple[str, ...]) -> Callable:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Filter(bits)
         for batch in batches:
-            if of_words:
-                names = batch.column(0).dictionary_encode()
-                lang = np.array([_text_hash(x.encode()) for x in names.dictionary.to_pylist()], dtype=np.uint64)
-                made.add(word_hashes(batch.column(1)) ^ lang[names.indices.to_numpy()] if batch.num_rows else np.zeros(0, np.uint64))
-            else:
+            if kinds == ("h",):
                 made.add(batch.column(0).to_numpy().view(np.uint64))
+                continue
+            keys = word_hashes(batch.column(len(kinds) - 1))
+            if len(kinds) > 1 and len(keys):
+                names = batch.column(0).dictionary_encode()
+                keys ^= np.array([_text_hash(x.encode()) for x in names.dictionary.to_pylist()], dtype=np.uint64)[names.indices.to_numpy()]
+            made.add(keys)
         hit = np.flatnonzero(made.words)
         yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(made.words[hit].view(np.int64))], names=["at", "bits"])
 
     return work
 
 
-def _filter(keys: DataFrame, of_words: bool):
-    """A filter over ``keys``, made in the tasks and sent to all of them: at most ``FILTER_BITS`` bits."""
+def made_filter(keys: DataFrame):
+    """A filter over ``keys``, made in the tasks and sent to all of them: at most ``FILTER_BITS`` bits.
+
+    The keys are hashes (the column h), words (one binary column), or languages and words.
+    """
     made = Filter(filter_bits(keys.count()))
-    parts = keys.mapInArrow(_fill(64 * len(made.words), of_words), "at long, bits long")
+    parts = keys.mapInArrow(_fill(64 * len(made.words), tuple(keys.columns)), "at long, bits long")
     merged = parts.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     made.words[merged.column(0).to_numpy()] = merged.column(1).to_numpy().view(np.uint64)
     return keys.sparkSession.sparkContext.broadcast((64 * len(made.words), made.words))
 
 
-def _told(sent) -> Filter:
+def filter_of(sent) -> Filter:
+    """The filter that was sent, in a task."""
     bits, words = sent.value
     found = Filter(64)
     found.mask, found.words = np.uint64(bits - 1), words
@@ -220,7 +226,7 @@ def _told(sent) -> Filter:
 
 def _count_pair_hashes(frequent) -> Callable:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _told(frequent)
+        known = filter_of(frequent)
         for chunk in chunks(batches):
             word = chunk.hashes()
             good = known.has(word)
@@ -237,7 +243,7 @@ def _count_phrases(pairs) -> Callable:
     """Pairs that pass the filter, and triples of two such pairs."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _told(pairs)
+        known = filter_of(pairs)
         for chunk in chunks(batches):
             word, ids = chunk.hashes(), chunk.ids
             at = chunk.linked.nonzero()[0]
@@ -268,9 +274,9 @@ def frequent_phrases(docs: DataFrame, least: int, text: str = "text", lang: str
     words = stage(words, "words-by-language")
     totals = stage(words.groupBy("lang").agg(F.sum("a").alias("n")), "language-totals")
     single = words.where(F.col("a") >= least)
-    hashes = rows.mapInArrow(_count_pair_hashes(_filter(single.select("lang", "w1"), True)), "h long, n long")
+    hashes = rows.mapInArrow(_count_pair_hashes(made_filter(single.select("lang", "w1"))), "h long, n long")
     hashes = stage(hashes.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h"), "pair-hashes")
-    phrases = rows.mapInArrow(_count_phrases(_filter(hashes, False)), ROW).groupBy(*keys).agg(F.sum("a").alias("a"))
+    phrases = rows.mapInArrow(_count_phrases(made_filter(hashes)), ROW).groupBy(*keys).agg(F.sum("a").alias("a"))
     none = F.lit(b"")
     every = single.select("lang", "w1", none.alias("w2"), none.alias("w3"), "a").unionByName(phrases.where(F.col("a") >= least))
     return stage(every, "frequent-phrases"), totals

@@ -29,7 +29,7 @@ def test_joined_words_score_as_looked_up_ones(documents, monkeypatch):
     docs = documents(texts)
     monkeypatch.setattr(lm, "UNIT_SHARE", 0.04)
     near = {r["doc_id"]: r for r in lm.score(docs, lm.fit(docs, classes=5, rounds=2)).collect()}
-    monkeypatch.setattr(lm, "LOOKUP_SHARE", 0.04)
+    monkeypatch.setattr(lm, "LOOKUP_WORDS", 5)
     model = lm.fit(docs, classes=5, rounds=2)
     assert len(model.words) < 20
     for r in lm.score(docs, model).collect():
@@ -87,16 +87,16 @@ def test_rarer_words_get_the_class_of_their_own_neighbours(documents, monkeypatc
     docs = documents(texts)
     monkeypatch.setattr(lm, "UNIT_SHARE", 0.02)
     near = {}
-    for share in (1e-6, 0.02):
-        monkeypatch.setattr(lm, "LOOKUP_SHARE", share)
+    for held in (500_000, 5):
+        monkeypatch.setattr(lm, "LOOKUP_WORDS", held)
         model = lm.fit(docs, classes=5, rounds=8)
         of = {bytes(r["word"]).decode(): r["class"] for r in model.rarer.collect()}
         own = {w.decode(): int(c) for w, c in zip(model.words, model.classes, strict=True)}
         assert set(of) == {f"{k}{i}zz" for k in "xy" for i in range(40)}
         assert {of[w] for w in of if w[0] == "x"} == {own["a"]} and {of[w] for w in of if w[0] == "y"} == {own["b"]}
         assert own["a"] != own["b"]
-        near[share] = [r["score"] for r in lm.score(docs, model).orderBy("doc_id").collect()]
-    assert near[1e-6] == pytest.approx(near[0.02])
+        near[held] = [r["score"] for r in lm.score(docs, model).orderBy("doc_id").collect()]
+    assert near[500_000] == pytest.approx(near[5])
 
 
 def test_words_of_a_class_and_the_unknown_share_its_mass(documents, monkeypatch):
