@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import islice, repeat
 from zlib import crc32
 
 import numpy as np
@@ -95,13 +95,12 @@ def word_counts(texts: DataFrame, text: str) -> DataFrame:
 def _units(text: bytes, own: dict[bytes, int], first_tail: int) -> np.ndarray:
     """Unit of every token of a text, an end before the first word and after the last."""
     words = words_of(text)
-    get = own.get
-    found = [get(w, -1) for w in words]
-    for i, unit in enumerate(found):
-        if unit < 0:
-            found[i] = first_tail + crc32(words[i][-2:]) % TAILS
     end = first_tail + TAILS
-    return np.array([end, *found, end], dtype=np.int64)
+    out = np.full(len(words) + 2, end, dtype=np.int64)
+    out[1:-1] = np.fromiter(map(own.get, words, repeat(-1)), np.int64, len(words))
+    rarer = np.flatnonzero(out < 0)
+    out[rarer] = [first_tail + crc32(words[i - 1][-2:]) % TAILS for i in rarer.tolist()]
+    return out
 
 
 def _count_pairs(frequent) -> Callable:
@@ -183,6 +182,39 @@ def best_class(matrix: np.ndarray, now: int, right: np.ndarray, left: np.ndarray
     return best if gain[best] > gain[now] + 1e-6 else now
 
 
+def best_classes(matrix: np.ndarray, now: np.ndarray, right: np.ndarray, left: np.ndarray, self_pairs: np.ndarray) -> np.ndarray:
+    """``best_class`` of many units at once, each moved alone: a row of ``right`` and ``left`` for each."""
+    at, count = np.arange(len(now)), len(matrix)
+    here = np.zeros((len(now), count), dtype=bool)
+    here[at, now] = True
+
+    def towards(near: np.ndarray, other: np.ndarray, g: np.ndarray) -> np.ndarray:
+        """Gain of the pairs with one side: ``g`` has a row for each neighbour class and a column for each class to go to."""
+        unit, to = np.nonzero(near)
+        n = near[unit, to][:, None]
+        cells = g[to].astype(np.float64)
+        cells[np.arange(len(unit)), now[unit]] -= n[:, 0]
+        own = np.flatnonzero(to == now[unit])  # the unit's own class as a neighbour has lost the other side too
+        cells[own] -= other[unit[own]]
+        cells[own, now[unit[own]]] -= self_pairs[unit[own]]
+        out = np.zeros((len(now), count))
+        some, starts = np.unique(unit, return_index=True)
+        if len(some):
+            out[some] = np.add.reduceat(_xlogx(cells + n) - _xlogx(cells), starts, axis=0)
+        return out
+
+    gain = towards(right, left, matrix.T) + towards(left, right, matrix)
+    r, c = right.sum(1) + self_pairs, left.sum(1) + self_pairs
+    rows, columns = matrix.sum(1) - here * r[:, None], matrix.sum(0) - here * c[:, None]
+    own = np.diag(matrix) - here * (right + left + self_pairs[:, None])
+    gain -= _xlogx(own + right) + _xlogx(own + left) - 2 * _xlogx(own)
+    gain += _xlogx(own + right + left + self_pairs[:, None]) - _xlogx(own)
+    gain -= _xlogx(rows + r[:, None]) - _xlogx(rows) + _xlogx(columns + c[:, None]) - _xlogx(columns)
+    gain[:, 0] = -np.inf
+    best = gain.argmax(1)
+    return np.where(gain[at, best] > gain[at, now] + 1e-6, best, now)
+
+
 def _lists(batch: pa.RecordBatch, i: int, name: str) -> np.ndarray:
     value = batch.column(batch.schema.get_field_index(name))[i].values
     return np.zeros(0, np.int64) if value is None else value.to_numpy(zero_copy_only=False)
@@ -326,10 +358,12 @@ def _choose(matrix: np.ndarray, tails: np.ndarray) -> Callable:
         last, last_n, last_near = None, 0, np.zeros(cells, np.int64)  # the word that may go on in the next batch
 
         def out(words: list[bytes], n: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
-            to = [
-                best_class(matrix, int(tails[tail_of(w)]), x[:count], x[count:-1], float(x[-1])) if m >= FLOOR else -1
-                for w, m, x in zip(words, n.tolist(), near, strict=True)
-            ]
+            to, enough = np.full(len(words), -1), np.flatnonzero(n >= FLOOR)
+            for i in range(0, len(enough), 500):
+                part = enough[i : i + 500]
+                x = near[part]
+                now = tails[np.array([tail_of(words[w]) for w in part], dtype=np.int64)]
+                to[part] = best_classes(matrix, now, x[:, :count], x[:, count:-1], x[:, -1])
             return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n), pa.array(to, pa.int32())], names=["word", "n", "class"])
 
         for whole in batches:
@@ -412,7 +446,7 @@ class _Paths:
 
     def of(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Places of the known words, the nodes, and what to ask. A node is a class, or -1 - number of the word to ask for."""
-        at = np.array([self.get(w, -1) for w in found], dtype=np.int64)
+        at = np.fromiter(map(self.get, found, repeat(-1)), np.int64, len(found))
         asked = _Numbers()
         nodes = np.zeros(len(found) + 2, dtype=np.int64)  # ends have class 0
         nodes[1:-1] = self.classes[at] if len(self.classes) else 0

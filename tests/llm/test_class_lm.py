@@ -61,6 +61,18 @@ def test_best_class_gain_equals_full_likelihood():
         assert trials[best] == pytest.approx(max(trials.values()))
 
 
+def test_many_units_choose_as_single_ones():
+    rng = np.random.default_rng(6)
+    count, units = 7, 300
+    right, left = (rng.integers(0, 5, (units, count)) * (rng.random((units, count)) < 0.4) for _ in range(2))
+    own, now = rng.integers(0, 3, units), rng.integers(1, count, units)
+    matrix = rng.integers(2000, 4000, (count, count)) * 10
+    many = lm.best_classes(matrix, now, right, left, own)
+    assert many.tolist() == [lm.best_class(matrix, int(now[i]), right[i], left[i], float(own[i])) for i in range(units)]
+    assert len(set(many.tolist())) > 2
+    assert lm.best_classes(matrix, now[:0], right[:0], left[:0], own[:0]).tolist() == []
+
+
 def test_exchange_raises_the_likelihood(documents):
     texts = [" ".join(f"{'ab'[j % 2]}{(i * 7 + j * j) % 11}" for j in range(40)) for i in range(40)]
     docs = documents(texts)
