@@ -21,7 +21,8 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import islice, repeat
+from itertools import chain, islice, repeat
+from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
@@ -39,6 +40,7 @@ UNIT_SHARE = 1e-4  # share of the tokens from which a word is a unit of its own:
 FLOOR = 5  # count from which a rarer word gets a class of its own
 LOOKUP_WORDS = 500_000  # words whose counts are looked up in the task; the counts of the others are joined
 TAILS = 256  # units of rarer words
+SLICE = 4 << 20  # bytes of text whose paths a task follows at once
 HELD_WORDS = 1_000_000  # words that a task counts before it hands them on
 HELD_PAIRS = 4_000_000
 HELD_NEAR = 300_000  # rarer words whose neighbours a task counts before it hands them on
@@ -444,24 +446,60 @@ class _Paths:
         self.get = {w: i for i, w in enumerate(words)}.get
         self.classes = classes
 
-    def of(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Places of the known words, the nodes, and what to ask. A node is a class, or -1 - number of the word to ask for."""
-        at = np.fromiter(map(self.get, found, repeat(-1)), np.int64, len(found))
-        asked = _Numbers()
-        nodes = np.zeros(len(found) + 2, dtype=np.int64)  # ends have class 0
-        nodes[1:-1] = self.classes[at] if len(self.classes) else 0
-        missing = np.flatnonzero(at < 0)
-        nodes[missing + 1] = [-1 - asked[found[i]] for i in missing]
-        return at[at >= 0], nodes, asked.words
+    def of(self, texts: list[list[bytes]]) -> _Nodes:
+        """The nodes of several texts at once."""
+        lengths = np.array([len(x) for x in texts], dtype=np.int64)
+        at = np.fromiter(map(self.get, chain.from_iterable(texts), repeat(-1)), np.int64, int(lengths.sum()))
+        text = np.repeat(np.arange(len(texts)), lengths)
+        bounds = np.concatenate([[0], np.cumsum(lengths + 2)])
+        nodes = np.zeros(bounds[-1], dtype=np.int64)  # ends have class 0
+        place = np.arange(len(at)) + 2 * text + 1
+        nodes[place] = self.classes[at] if len(self.classes) else 0
+        asked: list[_Numbers] = [_Numbers() for _ in texts]
+        first = bounds[:-1].tolist()
+        for p, i in zip(place[at < 0].tolist(), text[at < 0].tolist(), strict=True):
+            nodes[p] = -1 - asked[i][texts[i][p - first[i] - 1]]
+        known = at >= 0
+        return _Nodes(at[known], text[known], nodes, bounds, [x.words for x in asked])
+
+
+class _Nodes(NamedTuple):
+    """Numbers of the known words and their texts; the paths of the texts one after another; what to ask for in each.
+
+    A node is a class, or -1 - number of the word to ask for in its text.
+    """
+
+    hit: np.ndarray
+    text: np.ndarray
+    path: np.ndarray
+    bounds: np.ndarray
+    asked: list[list[bytes]]
+
+    def known_steps(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Texts and classes of the steps between known classes."""
+        both = (self.path[:-1] >= 0) & (self.path[1:] >= 0)
+        both[self.bounds[1:-1] - 1] = False  # from one text to the next
+        at = np.flatnonzero(both)
+        return np.searchsorted(self.bounds, at, side="right") - 1, self.path[at], self.path[at + 1]
 
+    def runs(self, i: int) -> np.ndarray:
+        return _runs(self.path[self.bounds[i] : self.bounds[i + 1]])
 
-def _known_steps(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    both = (nodes[:-1] >= 0) & (nodes[1:] >= 0)
-    return nodes[:-1][both], nodes[1:][both]
+
+def _slices(texts: list[bytes]) -> Iterator[slice]:
+    """Slices of about ``SLICE`` bytes of text."""
+    start = size = 0
+    for i, x in enumerate(texts):
+        size += len(x)
+        if size >= SLICE:
+            yield slice(start, i + 1)
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
 
 
 def _runs(nodes: np.ndarray) -> np.ndarray:
-    """Nodes to ask for and those beside them. Two classes side by side are no step, or one of ``_known_steps``."""
+    """Nodes to ask for and those beside them. Two classes side by side are no step, or one of ``known_steps``."""
     ask = nodes < 0
     near = ask.copy()
     near[1:] |= ask[:-1]
@@ -470,7 +508,7 @@ def _runs(nodes: np.ndarray) -> np.ndarray:
 
 
 def _asked_steps(runs: np.ndarray, told: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of the steps that ``_known_steps`` left out; ``told`` has the class of each word asked for."""
+    """Classes of the steps that ``known_steps`` left out; ``told`` has the class of each word asked for."""
     path = np.where(runs >= 0, runs, told[np.where(runs >= 0, 0, -1 - runs)])
     either = (runs[:-1] < 0) | (runs[1:] < 0)
     return path[:-1][either], path[1:][either]
@@ -505,19 +543,15 @@ def _first_steps(known, count: int) -> Callable:
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names=["lm_row", "lm_words", "lm_runs", "lm_steps"])
 
-        for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
-                ids, asked, runs = [], [], []
-                for row, text in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)), strict=True):
-                    _, nodes, words = paths.of(words_of(text))
-                    a, b = _known_steps(nodes)
-                    total += np.bincount(a * count + b, minlength=count * count)
-                    if words:
-                        ids.append(row)
-                        asked.append(words)
-                        runs.append(_runs(nodes))
-                yield rows(ids, asked, runs, [None] * len(ids))
+        for batch in batches:
+            texts = raw_texts(batch.column(1))
+            for part in _slices(texts):
+                found = paths.of([words_of(x) for x in texts[part]])
+                _, a, b = found.known_steps()
+                total += np.bincount(a * count + b, minlength=count * count)
+                some = [i for i, words in enumerate(found.asked) if words]
+                ids = batch.column(0)[part.start : part.stop].take(pa.array(some, pa.int64())).to_pylist()
+                yield rows(ids, [found.asked[i] for i in some], [found.runs(i) for i in some], [None] * len(ids))
         yield rows([None], [None], [None], [total])
 
     return work
@@ -628,25 +662,21 @@ def _score(model, constants: dict, text_column: int) -> Callable:
         base_log = np.log10(counts + 1) - scale
         word_log = np.log10(np.where(own, counts, counts - constants["discount"])) - class_log[classes]
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
-                n, known, base, score, asked, runs = [], [], [], [], [], []
-                for text in raw_texts(batch.column(text_column)):
-                    found = words_of(text)
-                    hit, nodes, ask = paths.of(found)
-                    a, b = _known_steps(nodes)
-                    n.append(len(found) + 1)
-                    known.append(len(hit) + (1 if constants["ends"] else 0))
-                    base.append(float(base_log[hit].sum() + np.log10(constants["ends"] + 1) - scale))
-                    score.append(float(steps[a, b].sum() + word_log[hit].sum()))
-                    asked.append(ask)
-                    runs.append(_runs(nodes))
-                added = [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                         pa.array(score, pa.float64()), pa.array(asked, pa.list_(pa.binary())), pa.array(runs, pa.list_(pa.int32()))]
-                keep = [i for i in range(batch.num_columns) if i != text_column]
+            texts = raw_texts(whole.column(text_column))
+            for part in _slices(texts):
+                words_in = [words_of(x) for x in texts[part]]
+                found, count = paths.of(words_in), len(words_in)
+                text, a, b = found.known_steps()
+                known = np.bincount(found.text, minlength=count) + (1 if constants["ends"] else 0)
+                base = np.bincount(found.text, weights=base_log[found.hit], minlength=count) + (np.log10(constants["ends"] + 1) - scale)
+                emitted = np.bincount(found.text, weights=word_log[found.hit], minlength=count)
+                score = emitted + np.bincount(text, weights=steps[a, b], minlength=count).astype(np.float64)
+                added = [pa.array([len(x) + 1 for x in words_in], pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(score),
+                         pa.array(found.asked, pa.list_(pa.binary())), pa.array([found.runs(i) for i in range(count)], pa.list_(pa.int32()))]
+                keep = [i for i in range(whole.num_columns) if i != text_column]
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(i) for i in keep], *added],
-                    names=[*[batch.schema.names[i] for i in keep], "lm_n", "lm_known", "lm_base", "lm_score", "lm_words", "lm_runs"],
+                    [*[whole.column(i)[part.start : part.stop] for i in keep], *added],
+                    names=[*[whole.schema.names[i] for i in keep], "lm_n", "lm_known", "lm_base", "lm_score", "lm_words", "lm_runs"],
                 )
 
     return work
