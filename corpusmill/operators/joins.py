@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.sources.staging import stage
+
 
 def join_left_key(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Left equi-join on a key, with only the named columns of the right side."""
@@ -39,8 +41,11 @@ def merge_two_counts(
 
 
 def lookup_map(df: DataFrame, mapping: DataFrame, on: str) -> DataFrame:
-    """Attach the columns of a mapping such as cluster to label; a value that is not in it fails the job."""
-    joined = df.join(mapping.withColumn("_mapped", F.lit(True)), on, "left")
+    """Attach the columns of a mapping such as cluster to label; a value that is not in it fails the job.
+
+    The mapping becomes a stage table, so that Spark knows its size and sends a small one to the rows.
+    """
+    joined = df.join(stage(mapping.withColumn("_mapped", F.lit(True)), "mapping"), on, "left")
     failure = F.raise_error(F.concat(F.lit("no mapping for "), F.coalesce(F.col(on).cast("string"), F.lit("NULL"))))
     found = {c: F.when(F.col("_mapped"), F.col(c)).otherwise(failure) for c in mapping.columns if c != on}
     return joined.withColumns(found).drop("_mapped")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.operators.ranks import running_sums
+from corpusmill.operators.ranks import range_bucket, running_sums
+from corpusmill.sources.staging import stage
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -104,12 +105,17 @@ def roc_points(
 
 
 def roc_curve(
-    df: DataFrame, label: str = "label", score: str = "score", positive: int = 1, buckets: int | None = None
+    df: DataFrame, label: str = "label", score: str = "score", positive: int = 1, buckets: int | None = None, corners: bool = False
 ) -> DataFrame:
-    """(fpr, tpr, threshold), with the start point (0, 0) at an infinite threshold."""
+    """(fpr, tpr, threshold), with the start point (0, 0) at an infinite threshold.
+
+    With ``corners`` the points between two equal steps are left out: they lie on a straight line. The first point after
+    the start and the last one stay.
+    """
     is_positive = F.col(label) == positive
     totals = df.agg(F.count_if(is_positive).alias("p"), F.count_if(~is_positive).alias("n")).first()
-    points = roc_points(df, label, score, positive, buckets).select(
+    points = roc_points(df, label, score, positive, buckets)
+    points = (_corners(points, buckets) if corners else points).select(
         _ratio(F.col("fp"), F.lit(totals["n"])).alias("fpr"), _ratio(F.col("tp"), F.lit(totals["p"])).alias("tpr"),
         "threshold",
     )
@@ -117,6 +123,23 @@ def roc_curve(
     return start.unionByName(points)
 
 
+def _corners(points: DataFrame, buckets: int | None) -> DataFrame:
+    """Points whose step differs from the next one, and the first and last; neighbours across range buckets are handed on."""
+    points = stage(points, "roc-points")
+    bucketed = range_bucket(points, "threshold", buckets)
+    step = F.struct("p", "n")
+    own = Window.partitionBy("_bucket").orderBy(F.desc("threshold"))
+    rows = bucketed.withColumns({"_next": F.lead(step).over(own), "_step": step})
+    # One row per bucket: the step of its highest point, which is the next one of the bucket above it.
+    firsts = bucketed.groupBy("_bucket").agg(F.max_by(step, "threshold").alias("_first"), F.max("threshold").alias("_top"))
+    across = Window.orderBy(F.desc("_top"))
+    handed = firsts.select("_bucket", F.lead("_first").over(across).alias("_after"), (F.row_number().over(across) == 1).alias("_leads"), "_top")
+    rows = rows.join(F.broadcast(handed), "_bucket")
+    following = F.coalesce("_next", "_after")
+    first = F.col("_leads") & (F.col("threshold") == F.col("_top"))
+    return rows.where(first | following.isNull() | (following != F.col("_step"))).select(points.columns)
+
+
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", **options) -> DataFrame:
     """One row: area under the curve by trapezoids."""
     points = roc_points(df, label, score, **options)

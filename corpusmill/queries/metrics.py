@@ -55,14 +55,17 @@ V_ROC = f"""{v.V_VEC}, s AS (
   SELECT score, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n FROM v_vec GROUP BY score),
 roc AS (
   SELECT score, p, n, sum(p) OVER (ORDER BY score DESC) AS tp, sum(n) OVER (ORDER BY score DESC) AS fp,
-         sum(p) OVER () AS all_p, sum(n) OVER () AS all_n FROM s)"""
+         sum(p) OVER () AS all_p, sum(n) OVER () AS all_n,
+         row_number() OVER (ORDER BY score DESC) AS place, lead(p) OVER (ORDER BY score DESC) AS next_p,
+         lead(n) OVER (ORDER BY score DESC) AS next_n FROM s)"""
 ROC_SQL = f"""WITH {V_ROC} SELECT 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
-UNION ALL SELECT round(fp / all_n, 6), round(tp / all_p, 6) FROM roc"""
+UNION ALL SELECT round(fp / all_n, 6), round(tp / all_p, 6) FROM roc
+WHERE place = 1 OR next_p IS NULL OR next_p <> p OR next_n <> n"""
 
 
 @query("roc_curve", ROC_SQL)
 def roc_curve(spark, d):
-    return _rounded(mt.roc_curve(v.vectors(spark, d)).drop("threshold"), ["fpr", "tpr"])
+    return _rounded(mt.roc_curve(v.vectors(spark, d), corners=True).drop("threshold"), ["fpr", "tpr"])
 
 
 @query("roc_auc", f"WITH {V_ROC} SELECT round(sum(n * (2.0 * tp - p) / 2.0) / (max(all_p) * max(all_n)), 6) AS auc FROM roc")
@@ -72,4 +75,4 @@ def roc_auc(spark, d):
 
 @query("chart_roc", ROC_SQL)
 def chart_roc(spark, d):
-    return _rounded(mt.roc_curve(v.vectors(spark, d)).select("fpr", "tpr"), ["fpr", "tpr"])
+    return _rounded(mt.roc_curve(v.vectors(spark, d), corners=True).select("fpr", "tpr"), ["fpr", "tpr"])

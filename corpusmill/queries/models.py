@@ -74,15 +74,15 @@ def tfidf_fit_transform(spark, d):
 # --- word vectors and encoders ---------------------------------------------------------------
 
 _HEX = "CAST(('0x' || substr(md5(word), {0}, 2)) AS BIGINT) / 127.5 - 1.0"
-V_WORDS = f"""{v.V_LABELLED}, words AS (
-  SELECT unique_id, unnest(list_filter(string_split({v.NORMALIZED.format('body')}, ' '), lambda t: t <> '')) AS word
-  FROM v_labelled),
+V_WORDS = f"""words AS (
+  SELECT doc_id AS unique_id, unnest(list_filter(string_split({v.NORMALIZED.format('text')}, ' '), lambda t: t <> '')) AS word
+  FROM documents),
 known AS (SELECT word FROM words GROUP BY word HAVING count(*) >= 2)"""
 
 
-def _words(spark, d):
+def _all_words(spark, d):
     words = tx.tokenize("body", contractions=False).alias("tokens")
-    return stage(v.labelled(spark, d).select("unique_id", words), "words")
+    return stage(v.all_texts(spark, d).select("unique_id", words), "words")
 
 
 @query("vector_mean", f"""WITH {V_WORDS}, vectors AS (
@@ -91,9 +91,9 @@ sums AS (
   SELECT unique_id, avg(vector[1]) AS v1, avg(vector[2]) AS v2, avg(vector[3]) AS v3, avg(vector[4]) AS v4
   FROM words JOIN vectors USING (word) GROUP BY unique_id)
 SELECT unique_id, round(coalesce(v1, 0), 6) AS v1, round(coalesce(v2, 0), 6) AS v2, round(coalesce(v3, 0), 6) AS v3,
-       round(coalesce(v4, 0), 6) AS v4 FROM v_labelled LEFT JOIN sums USING (unique_id)""")
+       round(coalesce(v4, 0), 6) AS v4 FROM (SELECT doc_id AS unique_id FROM documents) LEFT JOIN sums USING (unique_id)""")
 def vector_mean_(spark, d):
-    texts = _words(spark, d)
+    texts = _all_words(spark, d)
     known = explode_values(texts, [], "tokens", "word").groupBy("word").count().where("count >= 2")
     parts = [F.conv(F.substring(F.md5("word"), 1 + 2 * i, 2), 16, 10).cast("double") / 127.5 - 1.0 for i in range(4)]
     vectors = stage(known.select("word", F.array(*parts).alias("vector")), "vectors")
@@ -101,11 +101,6 @@ def vector_mean_(spark, d):
     return means.select("unique_id", *[F.round(F.col("embedding")[i], 6).alias(f"v{i + 1}") for i in range(4)])
 
 
-def _all_words(spark, d):
-    words = tx.tokenize("body", contractions=False).alias("tokens")
-    return stage(v.all_texts(spark, d).select("unique_id", words), "words")
-
-
 @query("word2vec_fit")
 def word2vec_fit(spark, d):
     return ft.word_vectors(ft.word2vec_fit(_all_words(spark, d)))
@@ -254,7 +249,8 @@ def rf_tune_cv(spark, d):
 
 @query("cv_stratified")
 def cv_stratified(spark, d):
-    return models.cv_stratified(_dense(spark, d), trees=100)
+    balanced = sm.balance_undersample(_dense(spark, d))
+    return models.cv_stratified(balanced, trees=100, depth=models.UNLIMITED_DEPTH)
 
 
 @query("baseline_majority", f"""WITH {V_SPLIT} SELECT unique_id, label, (
@@ -286,6 +282,41 @@ def triplet_forest_holdout(spark, d):
     return classify.random_forest_holdout(parts, trees=TREES).results
 
 
+def _triplet_parts(spark, d):
+    return classify.triplet_parts(v.labelled(spark, d), "body", v.stopwords(), (v.SUPPORT,) * 3, balance="both")
+
+
+@query("triplet_forest_grid")
+def triplet_forest_grid(spark, d):
+    """A grid of trees and depths by 3 folds over train and validation, refitted on both, scored on the test part."""
+    return classify.forest_grid(_triplet_parts(spark, d))
+
+
+@query("triplet_kmeans_holdout")
+def triplet_kmeans_holdout(spark, d):
+    """k by the validation part; accuracy, precision and recall of the choice, and of the baseline, on the test part."""
+    parts = _triplet_parts(spark, d)
+    outcome = classify.kmeans_holdout(parts, ks=range(2, 11), n_init=STARTS)
+    return outcome.results.unionByName(classify.test_scores(outcome.predictions)).unionByName(
+        classify.test_scores(classify.baseline(parts), "baseline "))
+
+
+@query("word2vec_cv_report")
+def word2vec_cv_report(spark, d):
+    """Ten folds over balanced averaged word vectors: the report of each fold, and the mean of the folds."""
+    vectors = classify.word2vec_features(v.labelled(spark, d), "body")
+    return classify.fold_reports(models.cv_stratified(vectors, trees=100, depth=models.UNLIMITED_DEPTH))
+
+
+@query("word2vec_components_kmeans")
+def word2vec_components_kmeans(spark, d):
+    """Clusters of the two components of the averaged word vectors."""
+    vectors = classify.word2vec_features(v.labelled(spark, d), "body")
+    points = stage(ft.vector_unwrap(ft.pca_2d(vectors).select("unique_id", "label", F.array("pc1", "pc2").alias("embedding"))), "components")
+    found = models.kmeans_fit(points, 2, n_init=STARTS).transform(points)
+    return found.select("unique_id", "label", F.col("embedding")[0].alias("pc1"), F.col("embedding")[1].alias("pc2"), "cluster")
+
+
 @query("tfidf_forest_holdout")
 def tfidf_forest_holdout(spark, d):
     parts = classify.tfidf_parts(v.labelled(spark, d), "body", v.stopwords())

@@ -121,9 +121,9 @@ def model_store(spark, d):
     return stores.load_model(Clusters, path).transform(data).select("unique_id", "label", "cluster")
 
 
-@query("itemset_store", f"""WITH {v.V_LABELLED}
-SELECT unique_id, label, array_to_string({v.items_sql('body')}, ' ') AS items FROM v_labelled""")
+@query("itemset_store", f"""WITH {v.V_ALL}
+SELECT unique_id, label, array_to_string({v.items_sql('body')}, ' ') AS items FROM v_all""")
 def itemset_store(spark, d):
     path = scratch_path(spark, "itemsets")
-    stores.save_itemsets(v.labelled_baskets(spark, d), path)
+    stores.save_itemsets(v.all_baskets(spark, d), path)
     return stores.load_itemsets(spark, path).withColumn("items", F.array_join("items", " "))

@@ -346,3 +346,40 @@ def test_prefixes_of_a_forest_are_forests(spark, blobs):
     with pytest.raises(ValueError):
         forest.accuracies(df, [8])
     assert forest.accuracies(df.limit(0), [3]) == [(3, 0.0)]
+
+
+def test_roc_corners_equal_brute_force(spark):
+    rng = np.random.default_rng(9)
+    rows = [(int(rng.integers(2)), float(rng.integers(40))) for _ in range(300)] + [(1, 50.0 + i) for i in range(6)] + [(0, -1.0 - i) for i in range(5)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    steps = {}
+    for y, x in rows:
+        p, n = steps.get(x, (0, 0))
+        steps[x] = (p + y, n + 1 - y)
+    order = sorted(steps, reverse=True)
+    kept = [i for i, x in enumerate(order) if i in (0, len(order) - 1) or steps[x] != steps[order[i + 1]]]
+    total = np.cumsum([steps[x] for x in order], axis=0)
+    want = sorted([(0.0, 0.0)] + [(total[i, 1] / total[-1, 1], total[i, 0] / total[-1, 0]) for i in kept])
+    for buckets in (3, 7, None):
+        found = sorted((r["fpr"], r["tpr"]) for r in metrics.roc_curve(df, buckets=buckets, corners=True).collect())
+        assert np.array(found) == pytest.approx(np.array(want))
+        area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(found, found[1:]))
+        assert area == pytest.approx(metrics.roc_auc(df).first()["auc"])
+    assert len(kept) < len(order)
+
+
+def test_fold_reports(spark):
+    rows = [(0, 1, 1), (0, 1, 0), (0, 0, 0), (1, 0, 1), (1, 1, 1)]
+    found = {(r["fold"], r["class"]): r for r in classify.fold_reports(spark.createDataFrame(rows, "fold int, label int, prediction int")).collect()}
+    assert set(found) == {(f, c) for f in (-1, 0, 1) for c in (0, 1)}
+    assert (found[0, 1]["precision"], found[0, 1]["recall"], found[0, 1]["support"]) == (1.0, 0.5, 2.0)
+    assert (found[1, 0]["precision"], found[1, 0]["recall"], found[1, 0]["f1"]) == (0.0, 0.0, 0.0)
+    assert found[-1, 1]["precision"] == pytest.approx(0.75) and found[-1, 1]["recall"] == pytest.approx(0.75)
+    assert found[0, 1]["false_negatives"] == 1 and found[1, 1]["false_positives"] == 1
+
+
+def test_forest_grid_tells_the_grid_and_the_test_scores(blobs):
+    parts = classify.embedding_parts(blobs.drop("features"))
+    rows = classify.forest_grid(parts, (3, 5), (None, 2)).collect()
+    assert len(rows) == 7 and {r["metric"] for r in rows} == {"accuracy", "test accuracy", "test precision", "test recall"}
+    assert all(r["value"] == 1.0 for r in rows if r["metric"].startswith("test"))
