@@ -84,19 +84,19 @@ def upper_bounds(q: np.ndarray, q_table: np.ndarray, x: np.ndarray, x_table: np.
 
 
 def _search(k: int) -> Callable:
-    """The k best candidates of each query of a block: rows (q_block, c_block, dim, vec_id, v, table, floor, asks)."""
+    """The k best candidates of each query of a block: rows (q_block, c_block, dim, row, vec_id, v, table, floor, asks)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in groups_of(batches, 3):
             asks = block.column("asks").to_numpy()
-            ids = block.column("vec_id").to_numpy()
+            ids, places = block.column("vec_id").to_numpy(), block.column("row").to_numpy()
             x, table = _matrix(block.column("v"), np.int64), _matrix(block.column("table"), np.float64)
             floors = block.column("floor").to_pylist()
             rest = np.flatnonzero(~asks)
             if not asks.any() or not len(rest):
                 continue
             named, points = ids[rest], x[rest]
-            out_query, out_id, out_score = [], [], []
+            out_row, out_query, out_id, out_score = [], [], [], []
             for i in np.flatnonzero(asks):
                 bound = upper_bounds(x[i : i + 1], table[i : i + 1], points, table[rest])[0]
                 bound[named == ids[i]] = -np.inf
@@ -114,11 +114,12 @@ def _search(k: int) -> Callable:
                     first = np.lexsort((best_id, -best_score))[:k]
                     best_id, best_score = best_id[first], best_score[first]
                 keep = best_score >= floor
+                out_row.append(np.full(keep.sum(), places[i]))
                 out_query.append(np.full(keep.sum(), ids[i]))
                 out_id.append(best_id[keep])
                 out_score.append(best_score[keep])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c)) for c in (out_query, out_id, out_score)], names=["query_id", "vec_id", "score"]
+                [pa.array(np.concatenate(c)) for c in (out_row, out_query, out_id, out_score)], names=["row", "query_id", "vec_id", "score"]
             )
 
     return work
@@ -131,7 +132,8 @@ def top_k(
 
     Both tables are (vec_id, v) of ``integer_vectors``. A query meets the vectors of its own length with another vec_id; if
     there are fewer than k, all. The pivots are the vectors with the ``pivots`` smallest key hashes. Repeated rows are
-    candidates, and queries, of their own.
+    candidates, and queries, of their own: a query that is there twice has its k answers twice. An empty table of vectors or
+    queries gives no rows.
     """
     chosen = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
     by_size: dict[int, tuple[list, list]] = {}
@@ -141,14 +143,15 @@ def top_k(
         points.append(row["v"])
     table = {n: (np.array(a, np.int64), np.array(b, np.int64).reshape(len(a), n)) for n, (a, b) in by_size.items()}
     schema = "vec_id long, v array<long>, table array<double>, floor long"
-    indexed = stage(vectors.mapInArrow(_with_table(table, k), schema), "pivot-table")
-    asked = stage(queries.mapInArrow(_with_table(table, k), schema), "queries")
+    numbered = F.monotonically_increasing_id().alias("row")  # a repeated vec_id is spread over the blocks like any other row
+    indexed = stage(vectors.mapInArrow(_with_table(table, k), schema).select(numbered, "*"), "pivot-table")
+    asked = stage(queries.mapInArrow(_with_table(table, k), schema).select(numbered, "*"), "queries")
     q_blocks = max(1, -(-asked.count() // query_block))
     c_blocks = max(1, -(-indexed.count() // candidate_block))
-    row = ("vec_id", "v", "table", "floor")
+    row = ("row", "vec_id", "v", "table", "floor")
 
     def dealt(df: DataFrame, own: str, own_blocks: int, other: str, other_blocks: int, asks: bool) -> DataFrame:
-        block = F.pmod(F.xxhash64(F.lit(own), "vec_id"), F.lit(own_blocks)).cast("int").alias(own)
+        block = F.pmod(F.xxhash64(F.lit(own), "row"), F.lit(own_blocks)).cast("int").alias(own)
         met = F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))).alias(other)
         return df.select(block, F.size("v").alias("dim"), *row, F.lit(asks).alias("asks"), met)
 
@@ -157,7 +160,7 @@ def top_k(
     )
     keys = ("q_block", "c_block", "dim")
     blocks = both.select(*keys, *row, "asks").repartition(*keys).sortWithinPartitions(*keys)
-    found = blocks.mapInArrow(_search(k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = blocks.mapInArrow(_search(k), "row long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("query_id", "row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -128,15 +128,15 @@ def op6_secret_network(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP7_SQL = """
 WITH whole AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, x.vec_id AS vec_id,
+  SELECT q.row AS row, q.vec_id AS query_id, x.vec_id AS vec_id,
          CAST(list_sum(list_transform(list_zip(q.v, x.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM whole q JOIN whole x ON q.vec_id % 100 = 0 AND q.vec_id <> x.vec_id AND len(q.v) = len(x.v)),
 ranked AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
   FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 

@@ -41,6 +41,20 @@ def test_odd_rows(spark):
     assert pivots.top_k(empty, empty).count() == 0 and pivots.top_k(vectors, empty).count() == 0
 
 
+def test_repeated_queries_have_all_their_answers(spark):
+    rng = random.Random(5)
+    rows = [(0 if i < 40 else i, [float(rng.randrange(9)) for _ in range(3)]) for i in range(120)]
+    vectors = pivots.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    found = pivots.top_k(vectors, vectors.where("vec_id % 20 = 0"), 10, 4, 7, 11).collect()
+    others = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    want = []
+    for q, a in others:
+        if q % 20 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in others if i != q)[:10]
+            want += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scored)]
+    assert sorted(tuple(r) for r in found) == sorted(want) and len(want) == 10 * 44
+
+
 def test_bounds_hold_and_leave_candidates_out():
     rng = np.random.default_rng(1)
     centers = rng.integers(-900, 900, (6, 12))
