@@ -101,7 +101,7 @@ class _Points:
         shift = self.shift
         parts = self.rows.mapInArrow(of_task, "i long, task long, y array<double>")
         if self.tasks * count * width * 8 > DIRECT:
-            parts = parts.repartition("i").sortWithinPartitions("i", "task").mapInArrow(_added_up, "i long, task long, y array<double>")
+            parts = parts.repartition("i").sortWithinPartitions("i", "task").mapInArrow(added_up, "i long, task long, y array<double>")
         found = parts.toArrow().combine_chunks()
         out = np.zeros((count, width))
         if found.num_rows:
@@ -133,7 +133,7 @@ class _Points:
         return np.array([r["x"] for r in drawn], float).reshape(-1, len(shift))
 
 
-def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each run of rows with the same number, their arrays summed in the order of the rows."""
     last, total = None, None
 

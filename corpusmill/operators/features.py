@@ -9,7 +9,6 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.ml.feature import (
-    PCA,
     CountVectorizerModel,
     ElementwiseProduct,
     Normalizer,
@@ -24,6 +23,7 @@ from pyspark.sql import types as T
 
 from corpusmill.functions import text as tx
 from corpusmill.operators.aggregates import vector_mean
+from corpusmill.operators.components import Components, fit_components
 from corpusmill.operators.itemsets import triplet_matches, triplet_name
 from corpusmill.operators.rows import explode_values
 from corpusmill.operators.ranks import text_rank
@@ -262,18 +262,10 @@ def vector_unwrap(df: DataFrame, vector: str = "embedding", size: int | None = N
 # --- components ------------------------------------------------------------------------------
 
 
-def pca_2d(df: DataFrame, features: str = "features", model: PCA | None = None) -> DataFrame:
-    """First two principal components of the centred data, as ``pc1`` and ``pc2``.
+def pca_2d(df: DataFrame, features: str = "features", model: Components | None = None) -> DataFrame:
+    """First two principal components of the centred data, as ``pc1`` and ``pc2``; null for a null vector.
 
-    Projections are centred afterwards, which is the same and keeps sparse input sparse. The sign
-    is fixed so that the largest loading of each component is positive.
+    The sign is fixed so that the largest loading of each component is positive. ``model`` holds components fitted before.
     """
-    fitted = (model or PCA(k=2, inputCol=features, outputCol="_pc")).fit(df)
-    loadings = fitted.pc.toArray()
-    signs = [1.0 if col[abs(col).argmax()] >= 0 else -1.0 for col in loadings.T]
-    scores = vector_to_array("_pc")
-    projected = fitted.transform(df).withColumns(
-        {f"pc{i + 1}": scores[i] * F.lit(signs[i]) for i in range(2)}
-    ).drop("_pc")
-    center = projected.agg(F.avg("pc1").alias("m1"), F.avg("pc2").alias("m2")).first()
-    return projected.withColumns({"pc1": F.col("pc1") - F.lit(center["m1"]), "pc2": F.col("pc2") - F.lit(center["m2"])})
+    found = (model or fit_components(df, 2, features)).transform(df, features, "_pc")
+    return found.withColumns({"pc1": F.col("_pc")[0], "pc2": F.col("_pc")[1]}).drop("_pc")
