@@ -129,8 +129,8 @@ def _collected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = pa.array(bounds.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [pa.ListArray.from_arrays(ends, pa.array(index.astype(np.int32))),
-                 pa.ListArray.from_arrays(ends, pa.array(value.astype(np.float32))), batch.column(2).cast(pa.float64())],
-                names=["i", "x", "y"],
+                 pa.ListArray.from_arrays(ends, pa.array(value.astype(np.float32))), batch.column(2).cast(pa.float64()), batch.column(1), batch.column(3)],
+                names=["i", "x", "y", "chars", "h"],
             )
 
 
@@ -138,12 +138,17 @@ def fit(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars", label: str = "quality",
     sample: int = SAMPLE,
 ) -> tuple:
-    """Machine fitted on labelled rows. A key with several labels has the largest; null keys and labels are left out."""
+    """Machine fitted on labelled rows. A key with several labels has the largest; null keys and labels are left out.
+
+    Of a key with several rows one is taken, by a hash of its text, so at most ``sample`` rows are looked at whatever the keys.
+    """
     named = labels.select(F.col(f"`{key}`").alias("k"), F.col(f"`{label}`").cast("double").alias("y")).dropna()
     chosen = named.groupBy("k").agg(F.max("y").alias("y")).orderBy(F.xxhash64("k"), "k").limit(sample)
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("text"), F.col(f"`{chars}`").cast("double").alias("chars"))
-    found = rows.join(chosen, "k").select(F.col("text").cast("binary"), "chars", "y")
-    table = found.mapInArrow(_collected, "i array<int>, x array<float>, y double").toArrow().combine_chunks()
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "chars", F.col("text").cast("binary").alias("text"))).alias("one")
+    found = rows.join(chosen, "k").groupBy("k", "y").agg(one).select("one.text", "one.chars", "y", "one.h")
+    kind = "i array<int>, x array<float>, y double, chars double, h long"
+    table = found.mapInArrow(_collected, kind).toArrow().sort_by([(c, "ascending") for c in ("h", "y", "chars")]).combine_chunks()
     if not table.num_rows:
         return train(np.zeros(0, np.int64), np.zeros(0), np.zeros(1, np.int64), np.zeros(0))
     lists = [table.column(c).combine_chunks() for c in ("i", "x")]

@@ -135,6 +135,18 @@ def test_quality_learns_words_and_structure(spark, documents):
     assert sum((r["quality_score"] >= 0.7) == good[r["doc_id"]] for r in scored) > 0.97 * len(scored)
 
 
+def test_one_row_of_each_key_is_fitted(spark, documents, monkeypatch):
+    """A key on a third of all rows counts once, and the order of the rows does not matter."""
+    sizes = []
+    monkeypatch.setattr(quality, "train", lambda i, x, bounds, y: sizes.append((len(bounds) - 1, y.tolist(), x.sum())) or (0.0, None, None))
+    texts = [f"some text number {i}" for i in range(90)]
+    docs = documents(texts, ids=[5 if i < 30 else i for i in range(90)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    quality.fit(docs, labels)
+    quality.fit(docs.orderBy("n_chars", "text").repartition(3), labels)
+    assert sizes[0] == sizes[1] and sizes[0][0] == 31
+
+
 def test_interactions_equal_the_double_sum():
     rng = np.random.default_rng(6)
     model = (0.3, rng.normal(size=9), rng.normal(size=(9, 4)))
