@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
+import pytest
 
 from corpusmill.llm import tiling
 
@@ -29,7 +31,10 @@ def plain_tiles(item, text, least):
                 out.append((t, p, best))
 
 
-def test_tiles_equal_plain_tiling():
+@pytest.mark.parametrize("size, kept", [(1 << 19, 1 << 18), (5, 1), (1, 3)])
+def test_tiles_equal_plain_tiling(monkeypatch, size, kept):
+    monkeypatch.setattr(tiling, "SLICE", size)
+    monkeypatch.setattr(tiling, "KEPT", kept)
     rng = random.Random(6)
     for _ in range(300):
         letters = rng.choice(["ab", "abcdefgh"])
@@ -65,11 +70,27 @@ def test_blocks_of_items_give_the_same(spark, documents, monkeypatch):
     texts = [t for _, t in items[:6]] + [f"{items[2][1]} and {ITEM}"]
     one = find(spark, documents, texts, items)
     monkeypatch.setattr(tiling, "BLOCK_BYTES", 200)
-    many = find(spark, documents, texts, items)
-    assert {k: sorted(map(str, x)) for k, x in one.items()} == {k: sorted(map(str, x)) for k, x in many.items()}
+    monkeypatch.setattr(tiling, "TEXT_BYTES", 100)
+    for most in (64 << 20, 500):
+        monkeypatch.setattr(tiling, "PASS_BYTES", most)
+        many = find(spark, documents, texts, items)
+        assert {k: sorted(map(str, x)) for k, x in one.items()} == {k: sorted(map(str, x)) for k, x in many.items()}
     assert len(one[6]) == 3
 
 
+def test_repeated_items_are_told_each(spark, documents):
+    found = find(spark, documents, [ITEM, "no"], [(9, ITEM), (8, ITEM), (9, ITEM), (9, "something else of five")])
+    assert sorted(found[0]) == [(8, 1.0), (9, 1.0), (9, 1.0)] and found[1] == []
+
+
+def test_repeated_tokens_take_bounded_memory():
+    item, text = np.full(1_000, 7, dtype=np.uint64), np.full(200_000, 7, dtype=np.uint64)
+    tracemalloc.start()
+    assert tiling.tiles(item, text, 4) == [(0, 0, 1_000)]
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+
+
 def test_odd_rows(spark, odd, documents):
     items = [(1, ITEM), (2, None), (3, ""), (4, "two words"), (5, "the cat sat on the mat")]
     bench = spark.createDataFrame(items, "item_id long, text string")
