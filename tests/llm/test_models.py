@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from corpusmill.llm import langid, quality, secrets
 
@@ -125,6 +126,23 @@ def test_odd_secrets(odd, documents):
     assert secrets.find(documents([])).count() == 0
 
 
+def test_names_of_the_caller_are_kept(spark, documents):
+    names = ["ss_found", "cm_found", "CM_places", "cm_windows", "cm_labels", "cm_shown"]
+    docs = documents(["password: hunter22", None]).withColumns({n: F.lit(f"own {n}") for n in names})
+    found = secrets.find(docs)
+    assert found.columns == [*docs.columns, "secrets"]
+    assert all(r[n] == f"own {n}" for r in found.collect() for n in names)
+
+
+def test_threshold_keeps_the_recall_below_one_half():
+    network = secrets.Network()
+    network.logits = lambda codes: codes
+    network.probability = lambda codes: codes
+    found = np.r_[np.full(60, 0.4), np.full(40, 0.05)]
+    assert network.calibrate(found, (found > 0.3).astype(float), 0.95) == 0.4
+    assert np.isclose(network.calibrate(found + 0.5, (found > 0.3).astype(float), 0.95), 0.725)
+
+
 def test_quality_learns_words_and_structure(spark, documents):
     rng = random.Random(5)
     good = [rng.random() < 0.6 for _ in range(600)]
