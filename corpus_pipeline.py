@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import langid, pieces, secrets, tiling
+from corpusmill.llm.names import unused
 from corpusmill.llm.near_dedup import near_duplicates
 from corpusmill.llm.queries import tokenizer_path
 from corpusmill.sources.staging import stage
@@ -41,8 +42,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; n_chars then follows the new text."""
     found = secrets.find(docs)
-    clean = secrets.redacted(found.withColumn("sp_found", F.size("secrets") > 0))
-    chars = F.when(F.col("sp_found"), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    [changed] = unused(found.columns, "changed")
+    clean = secrets.redacted(found.withColumn(changed, F.size("secrets") > 0))
+    chars = F.when(F.col(changed), F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return _columns(clean.withColumn("n_chars", chars), docs)
 
 
