@@ -38,7 +38,7 @@ def _bodies(spark, d):
 def scan_csv(spark, d):
     path = scratch_path(spark, "csv")
     delimited.write_delimited(v.table(spark, d, "documents"), path, sep=",")
-    return delimited.read_csv(spark, path, DOCUMENTS)
+    return delimited.read_csv(spark, path, DOCUMENTS, ranges=True)
 
 
 @query("scan_tsv_gz", ALL_DOCUMENTS)
@@ -52,7 +52,7 @@ def scan_tsv_gz(spark, d):
 def scan_tsv_plain(spark, d):
     path = scratch_path(spark, "tsv")
     delimited.write_delimited(v.table(spark, d, "documents"), path)
-    return delimited.read_tsv(spark, path, DOCUMENTS)
+    return delimited.read_tsv(spark, path, DOCUMENTS, ranges=True)
 
 
 @query("scan_tsv_headerless", "SELECT text AS body, doc_id AS unique_id FROM documents")
@@ -73,7 +73,7 @@ def sink_tsv_gz(spark, d):
 def sink_tsv_plain(spark, d):
     path = scratch_path(spark, "posts")
     delimited.write_delimited(v.posts(spark, d), path, header=False)
-    return delimited.read_tsv_headerless(spark, path, POSTS)
+    return delimited.read_tsv_headerless(spark, path, POSTS, ranges=True)
 
 
 @query("partition_split", """

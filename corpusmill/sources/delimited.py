@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.sources.records import parse_records, read_records
+
 # Strings that count as missing when a text table is read.
 NA_VALUES = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -45,15 +47,20 @@ def read_delimited(
     na_values: Sequence[str] = NA_VALUES,
     partitions: int | None = None,
     multi_line: bool = True,
+    ranges: bool = False,
 ) -> DataFrame:
     """Read delimited text with an explicit schema, and its column names by position.
 
     A header that names other columns, or the same in another order, fails the job. With ``multi_line`` quoted values may hold
     line breaks, and one file is one task, as is a gzip file; without it, as for texts whose white space was collapsed, large
-    files are split. ``partitions`` spreads the rows of few large files right after the scan.
+    files are split. With ``ranges`` values may hold line breaks and large files are split all the same, for a second scan (see
+    ``records``); lines then end with a line feed. ``partitions`` spreads the rows of few large files right after the scan.
     """
-    df = spark.read.schema(schema).csv(path, sep=sep, header=header, multiLine=multi_line, mode="FAILFAST",
-                                       enforceSchema=not header, **_DIALECT)
+    if ranges:
+        df = parse_records(read_records(spark, path, sep), schema, sep, header, _DIALECT)
+    else:
+        df = spark.read.schema(schema).csv(path, sep=sep, header=header, multiLine=multi_line, mode="FAILFAST",
+                                           enforceSchema=not header, **_DIALECT)
     df = missing_to_null(df, na_values)
     return df.repartition(partitions) if partitions else df
 
