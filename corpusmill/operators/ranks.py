@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.operators.rows import explode_values
+from corpusmill.sources.staging import stage
 
 # Leading hex digits of the hash that name a bucket: 16**4 = 65,536 buckets per class.
 HASH_DIGITS = 4
@@ -98,10 +99,17 @@ def assign_row_key(
     return ranked.withColumn(out, F.col("_rank") - 1).drop("_rank")
 
 
-def text_rank(df: DataFrame, key: str, out: str, prefix: int = 4) -> DataFrame:
-    """Rank 1..n of each row in the order of a distinct text; the first characters name the bucket."""
-    bucketed = df.withColumn("_bucket", F.substring(key, 1, prefix))
-    return _two_phase(bucketed, [], ["_bucket"], [F.col(key)], {out: F.lit(1).cast("long")}).drop("_bucket")
+def text_bucket(df: DataFrame, key: str, out: str = "_bucket") -> DataFrame:
+    """A stage table with range buckets of a distinct text: Spark samples the split points, so long common beginnings do no harm.
+
+    The bucket is the number of the partition, which rises with the key also where small partitions are put together.
+    """
+    return stage(df.repartitionByRange(F.col(key)).withColumn(out, F.spark_partition_id()), "text-bucket")
+
+
+def text_rank(df: DataFrame, key: str, out: str) -> DataFrame:
+    """Rank 1..n of each row in the order of a distinct text."""
+    return _two_phase(text_bucket(df, key), [], ["_bucket"], [F.col(key)], {out: F.lit(1).cast("long")}).drop("_bucket")
 
 
 def hash_rank(

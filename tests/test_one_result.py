@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusmill.functions.stopwords import ENGLISH
-from corpusmill.operators import clean, dedup, features, itemsets, joins, metrics, sampling
+from corpusmill.operators import clean, dedup, features, itemsets, joins, metrics, ranks, sampling
 from corpusmill.operators.aggregates import crosstab, vector_mean
 from corpusmill.sources.delimited import read_csv
 
@@ -108,3 +109,16 @@ def test_large_texts_are_split_when_lines_are_rows(spark, tmp_path):
         assert many.select("a").rdd.getNumPartitions() > one.select("a").rdd.getNumPartitions()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_text_ranks_with_one_long_beginning(spark):
+    keys = spark.range(60_000).select(F.concat(F.lit("always the same item, "), F.md5(F.col("id").cast("string"))).alias("k"))
+    ranked = {r["k"]: r["n"] for r in ranks.text_rank(keys, "k", "n").collect()}
+    assert ranked == {k: i + 1 for i, k in enumerate(sorted(ranked))} and len(ranked) == 60_000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in ranks.text_bucket(keys, "k").groupBy("_bucket").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 8 and max(sizes) < 2 * 60_000 / 8
+    assert ranks.text_rank(keys.limit(0), "k", "n").collect() == []
