@@ -218,9 +218,14 @@ def near_duplicates(
     shingles. A text of fewer words is one shingle. A text that is null or has no word is linked with
     nothing and is its own group. ``component_id`` is the smallest ``key`` of the group; rows with that key have
     ``kept``, and so have all rows of a group without any key. Repeated rows are one group; each of them is ``kept`` if it
-    has the smallest key, but only one row of a group is ``first``. Columns that already have a name of the result are replaced.
+    has the smallest key, but only one row of a group is ``first``. Columns that already have a name of the result are replaced,
+    all others are kept whatever their names. An empty table gives an empty result.
     """
     docs = docs.drop("n_shingles", "component_id", "kept", "first")
+    # The caller's columns go by their places until the result, so that no name is taken.
+    names = docs.columns
+    text, key = (f"own_{names.index(c)}" for c in (text, key))
+    docs = docs.toDF(*[f"own_{i}" for i in range(len(names))])
     bands = band_count(percent / 100)
     floor = sketch_floor(percent / 100, min(SKETCH, bands * ROWS))
     rows = docs.withColumn("nd_row", F.monotonically_increasing_id())
@@ -229,13 +234,13 @@ def near_duplicates(
         T.StructField("nd_bands", T.ArrayType(T.LongType())), T.StructField("nd_sketch", T.BinaryType()),
     ])
     profile = stage(rows.mapInArrow(_profile(k, bands, docs.columns.index(text)), schema), "profile")
-    own = F.col(f"`{key}`")
+    own = F.col(key)
     classes = profile.where("nd_digest is not null").groupBy("nd_digest")
     # The smallest key, null last, and of the rows that have it the first.
     classes = stage(classes.agg(F.min("nd_row").alias("node"), F.min(F.struct(own.isNull().alias("no_key"), own.alias("key"), F.col("nd_row").alias("row"))).alias("least")), "classes")
 
     found = stage(_candidates(profile, classes, floor, sketch_block), "candidates")
-    texts = profile.select(F.col("nd_row").alias("node"), F.col(f"`{text}`").alias("payload"))
+    texts = profile.select(F.col("nd_row").alias("node"), F.col(text).alias("payload"))
     members = found.withColumnRenamed("component", "grp").join(texts, "node")
     confirmed = stage(components(linked(members, _set_similarity(k, percent), set_block)), "confirmed")
 
@@ -246,7 +251,7 @@ def near_duplicates(
     alone = F.col("nd_digest").isNull()
     component = F.when(alone, own).otherwise(F.col("nd_least.key"))
     return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.col("nd_size").alias("n_shingles"),
+        *[F.col(c).alias(name) for c, name in zip(docs.columns, names, strict=True)], F.col("nd_size").alias("n_shingles"),
         component.alias("component_id"), own.eqNullSafe(component).alias("kept"),
         (alone | (F.col("nd_row") == F.col("nd_least.row"))).alias("first"),
     )

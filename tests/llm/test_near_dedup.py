@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusmill.llm import near_dedup as nd
 from corpusmill.llm.components import components
@@ -99,3 +100,13 @@ def test_components_of_chains_and_stars(spark):
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert found == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_names_of_the_caller_are_kept(documents):
+    names = ["nd_row", "nd_size", "nd_digest", "nd_bands", "nd_least", "own_0", "own_1", "root", "a.b"]
+    docs = documents(["one two three four five six", "one two three four five six", None]).withColumns({n: F.lit(f"own {n}") for n in names})
+    found = nd.near_duplicates(docs)
+    assert found.columns == [*docs.columns, "n_shingles", "component_id", "kept", "first"]
+    rows = sorted(found.collect(), key=lambda r: r["doc_id"])
+    assert all(r[n] == f"own {n}" for r in rows for n in names)
+    assert [(r["component_id"], r["kept"]) for r in rows] == [(0, True), (0, False), (2, True)]
