@@ -29,7 +29,7 @@ ROUNDS = 3  # scans that draw candidates
 DRAWN = 8  # candidates of each scan, per cluster of the largest k
 MOVED = 1e-4  # a run has converged when no center moves further
 CELLS = 1 << 22  # distances that a task works out at once
-DIRECT = 1 << 24  # bytes of the tasks' sums that the driver adds up itself; more are added up by Spark first
+DIRECT = 1 << 20  # bytes of the tasks' sums of a scan that the driver adds up itself; more are added up by Spark first
 WIDTH = 1 << 22  # coordinates of the centers that one scan takes; a wider grid takes several scans
 
 
