@@ -15,7 +15,9 @@ from corpusmill.sources.staging import stage
 # Lemma classes from the first that counts to the last.
 CLASS_ORDER = ("n", "v", "a", "r")
 # Text of a dictionary that is sent to every task.
-DICTIONARY_BYTES = 32 << 20
+DICTIONARY_BYTES = 16 << 20
+# Texts whose tokens a task looks up at once.
+TEXTS_AT_ONCE = 500
 # Parts that the rows of one word are dealt to when words are joined.
 WORD_PARTS = 8
 
@@ -102,12 +104,15 @@ def _replace(table) -> Callable:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lemma = table.value.get
-        for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            words = [lemma(w, w) for w in lists.flatten().to_pylist()]
-            ends = pa.array([0, *np.cumsum(lists.value_lengths().fill_null(0).to_numpy()).tolist()], pa.int32())
-            new = pa.ListArray.from_arrays(ends, pa.array(words, pa.string()), mask=lists.is_null())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], new], names=batch.schema.names)
+        for whole in batches:
+            for start in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                batch = whole.slice(start, TEXTS_AT_ONCE)
+                lists = batch.column(batch.num_columns - 1)
+                coded = lists.flatten().dictionary_encode()  # each different word is looked up once
+                words = pa.array([lemma(w, w) for w in coded.dictionary.to_pylist()], pa.string()).take(coded.indices)
+                ends = pa.array([0, *np.cumsum(lists.value_lengths().fill_null(0).to_numpy()).tolist()], pa.int32())
+                new = pa.ListArray.from_arrays(ends, words, mask=lists.is_null())
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], new], names=batch.schema.names)
 
     return work
 
