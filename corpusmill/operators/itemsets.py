@@ -143,24 +143,13 @@ def pair_counts(
 ) -> DataFrame:
     """(a, b, cnt) of the pairs of frequent items, counted from vertical bit sets in each task.
 
-    With ``frequent_buckets`` a pair is made and counted only if its bucket is frequent. The buckets reach the tasks as one
-    string of ``buckets`` marks, and each item is hashed once per basket.
+    With ``frequent_buckets`` a pair is counted and sent only if its bucket is frequent. The buckets reach the tasks as ``buckets``
+    marks, and each different item of a slice is hashed once.
     """
     if frequent_buckets is None:
         return vertical.pair_counts(frequent_baskets)
     frequent = {r["bucket"] for r in frequent_buckets.select("bucket").collect()}  # at most ``buckets`` rows
-    marks = F.lit("".join("1" if i in frequent else "0" for i in range(buckets)))
-    hashed = frequent_baskets.select(
-        "items", F.transform("items", lambda x: item_residue(x, buckets).cast("int")).alias("_hashes")
-    )
-    both = F.arrays_zip("items", "_hashes")
-    first = hashed.select(both.alias("_all"), F.posexplode(both).alias("_pos", "_a"))
-
-    def may_count(x: Column) -> Column:
-        return F.substring(marks, F.pmod(F.col("_a._hashes") + x["_hashes"], F.lit(buckets)) + 1, F.lit(1)) == "1"
-
-    rest = F.transform(F.filter(_tail("_all", "_pos"), may_count), lambda x: x["items"])
-    return count_by(explode_values(first, [F.col("_a.items").alias("a")], rest, "b"), ["a", "b"])
+    return vertical.pair_counts(frequent_baskets, [i in frequent for i in range(buckets)])
 
 
 def candidate_triplets(frequent_baskets: DataFrame, frequent_pairs: DataFrame) -> DataFrame:

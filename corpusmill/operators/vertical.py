@@ -8,6 +8,7 @@ with its count; no pair or triplet of a basket is ever a row.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
 from typing import NamedTuple
 
 import numpy as np
@@ -39,11 +40,17 @@ class _Names:
         return np.array([self.numbers.setdefault(x, len(self.numbers)) for x in items.to_pylist()], dtype=np.int64)
 
 
-def _slice_pairs(column: pa.ListArray, names: _Names) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Keys (two numbers of items) and counts of the pairs of a slice, block by block."""
+def _residues(items: pa.Array, buckets: int) -> np.ndarray:
+    """Leading 32 bits of each item's MD5, modulo the number of buckets, as ``itemsets.item_residue``."""
+    return np.array([int(md5(x.encode()).hexdigest()[:8], 16) % buckets for x in items.to_pylist()], dtype=np.int64)
+
+
+def _slice_pairs(column: pa.ListArray, names: _Names, marks: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys (two numbers of items) and counts of the pairs of a slice, block by block; with ``marks`` those of marked buckets only."""
     row, items, rows = _flat(column)
     coded = items.dictionary_encode()
     number, local = names.of(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False)
+    residue = None if marks is None else _residues(coded.dictionary, len(marks))
 
     def matrix(start: int) -> np.ndarray:
         out = np.zeros((rows, min(BLOCK, len(number) - start)), np.float32)
@@ -55,11 +62,14 @@ def _slice_pairs(column: pa.ListArray, names: _Names) -> Iterator[tuple[np.ndarr
         left = matrix(i)
         for j in range(i, len(number), BLOCK):
             together = left.T @ (left if i == j else matrix(j))
+            if marks is not None:
+                bucket = (residue[i : i + BLOCK, None] + residue[j : j + BLOCK]) % len(marks)
+                together = together * marks[bucket]
             a, b = np.nonzero(np.triu(together, 1) if i == j else together)
             yield number[a + i] << 32 | number[b + j], together[a, b].astype(np.int64)
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_pairs(batches: Iterator[pa.RecordBatch], marks: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     names = _Names()
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
@@ -79,7 +89,7 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for start in range(0, batch.num_rows, SLICE):
-            for part in _slice_pairs(batch.column(0).slice(start, SLICE), names):
+            for part in _slice_pairs(batch.column(0).slice(start, SLICE), names, marks):
                 held.append(part)
                 size += len(part[0])
                 if size >= HELD_PAIRS:
@@ -92,9 +102,14 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(*merged())
 
 
-def pair_counts(baskets: DataFrame) -> DataFrame:
-    """(a, b, cnt), a < b, of all pairs of the baskets' items."""
-    counted = baskets.select("items").mapInArrow(_count_pairs, "a string, b string, cnt long")
+def pair_counts(baskets: DataFrame, marks: list[bool] | None = None) -> DataFrame:
+    """(a, b, cnt), a < b, of all pairs of the baskets' items; with ``marks``, one for each bucket, of the pairs of marked buckets."""
+    marked = None if marks is None else np.array(marks, np.float32)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _count_pairs(batches, marked)
+
+    counted = baskets.select("items").mapInArrow(count, "a string, b string, cnt long")
     return counted.groupBy("a", "b").agg(F.sum("cnt").alias("cnt"))
 
 
