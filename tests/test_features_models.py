@@ -383,3 +383,51 @@ def test_forest_grid_tells_the_grid_and_the_test_scores(blobs):
     rows = classify.forest_grid(parts, (3, 5), (None, 2)).collect()
     assert len(rows) == 7 and {r["metric"] for r in rows} == {"accuracy", "test accuracy", "test precision", "test recall"}
     assert all(r["value"] == 1.0 for r in rows if r["metric"].startswith("test"))
+
+
+@pytest.mark.parametrize("most", [1 << 19, 60])
+def test_forest_nodes_are_those_of_brute_force(spark, monkeypatch, most):
+    """Every tree's nodes count the rows it drew; no split is worse than none. ``most``: nodes with more rows are split by sums of tasks."""
+    from corpusmill.operators import forests
+
+    monkeypatch.setattr(forests, "ROWS", most)
+    rng = np.random.default_rng(3)
+    rows = [(i, i % 10 and int(x[0] > 0), x.tolist()) for i, x in enumerate(rng.normal(size=(300, 5)).round(1))]
+    df = ft.vector_unwrap(spark.createDataFrame(rows, "unique_id long, label int, embedding array<double>")).repartition(3)
+    data = forests.prepare(df)
+    forest = forests.grow(data, 4, 5, min_rows=3)
+    assert (len(forest.top.tree) > 4) == (most == 60)
+    binned = data.rows.toArrow()
+    x, y, ids = forests._matrix(binned, 5), binned.column("label").to_numpy(), binned.column("row").to_numpy()
+    for tree, (feature, cut, left, counts) in forest._whole_trees():
+        draws = forests._drawn(ids, tree, 42, False)
+        at, level = {0: np.arange(300)}, {0: 0}
+        for i in range(len(feature)):
+            own = at[i]
+            assert np.bincount(y[own], draws[own], 2).tolist() == counts[i].tolist()
+            if feature[i] < 0:
+                continue
+            goes = x[own, feature[i]] > cut[i]
+            for child, part in ((left[i], own[~goes]), (left[i] + 1, own[goes])):
+                at[child], level[child] = part, level[i] + 1
+                assert draws[part].sum() >= 3
+            assert level[left[i]] <= 5
+            gini = lambda c: c.sum() - (c**2.0).sum() / c.sum()
+            assert gini(counts[left[i]]) + gini(counts[left[i] + 1]) < gini(counts[i])
+    assert forest.accuracies(df, [4])[0][1] > 0.85
+
+
+def test_forest_reads_sparse_and_dense_vectors_alike(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from corpusmill.operators import forests
+
+    dense = [[0.0, 2.0, -1.0], [0.0, 0.0, 0.0], [3.0, 0.0, 1.5]] * 20
+    frames = [
+        spark.createDataFrame([(i, i % 3 % 2, make(x)) for i, x in enumerate(dense)], ["unique_id", "label", "features"]).coalesce(1)
+        for make in (Vectors.dense, lambda x: Vectors.sparse(3, [(j, v) for j, v in enumerate(x) if v]))
+    ]
+    found = [sorted(map(tuple, forests.prepare(df).rows.collect())) for df in frames]
+    assert found[0] == found[1] and len(found[0]) == 60
+    with pytest.raises(Exception, match="labels"):
+        forests.prepare(frames[0].withColumn("label", F.lit(None).cast("int")))
