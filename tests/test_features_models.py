@@ -431,3 +431,11 @@ def test_forest_reads_sparse_and_dense_vectors_alike(spark):
     assert found[0] == found[1] and len(found[0]) == 60
     with pytest.raises(Exception, match="labels"):
         forests.prepare(frames[0].withColumn("label", F.lit(None).cast("int")))
+
+
+def test_grid_values_of_cross_validation_are_forests_of_their_own_folds(blobs):
+    """One forest for each fold and depth: the scores of a grid value are those of the prefix, and the best is refitted on all rows."""
+    fitted = models.rf_tune_cv(blobs, trees=(5, 3), depths=(2,), folds=2)
+    assert [(r["numTrees"], r["maxDepth"]) for r in models.cv_results(fitted)] == [(5, 2), (3, 2)]
+    assert fitted.best.trees == max(models.cv_results(fitted), key=lambda r: r["accuracy"])["numTrees"]
+    assert fitted.best.predict(blobs).where("label = prediction").count() > 180
