@@ -2,9 +2,10 @@
 
 A candidate is a run of 16 or more key characters, or a pattern's finding. The network is trained on labelled findings: windows
 of the text around pattern findings, against windows around ordinary words and around candidates made of words. A longer candidate has
-windows that overlap by half, and counts as its most probable one. At most ``sample`` windows of each
-label are taken, those with the smallest hashes over all texts; a third of them is kept from training, to calibrate the
-probability and to set a threshold that finds ``recall`` of the findings with the fewest false alarms. All windows count twice, once
+windows that overlap by half, and counts as its most probable one. All different windows are taken; a third of them
+is kept from training, to calibrate the probability and to set a threshold that finds ``recall`` of the findings with the fewest
+false alarms. Up to ``at_once`` windows are fitted at once; more are dealt to parts, whose networks are averaged after each round, and are
+calibrated by sums and counts of all of them. All windows count twice, once
 without their context, and long keys a third time behind other characters, as in a run that joins a path to a key. Candidates above it are added to the
 pattern findings, which always stay.
 """
@@ -27,7 +28,9 @@ from corpusmill.sources.staging import stage
 KINDS = ("assign", "access", "hex", "network")
 BEFORE, INSIDE, AFTER = 24, 48, 16  # characters of the window before, in and after a candidate
 WIDTH = BEFORE + INSIDE + AFTER
-SAMPLE = 3000
+AT_ONCE = 6000  # windows that one task learns from
+ROUNDS = 6
+HEAVIEST = 10.0  # weight of a rarer label's windows at most, where parts are averaged
 RECALL = 0.95
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 WORD = re.compile(r"[^\W\d_]{4,15}")
@@ -164,7 +167,9 @@ class Network:
     def probability(self, codes: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.logits(codes) + self.shift, -30, 30)))
 
-    def train(self, codes: np.ndarray, labels: np.ndarray, rounds: int = 6, step: float = 0.01, seed: int = 7) -> None:
+    def train(
+        self, codes: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS, step: float = 0.01, seed: int = 7, weights: np.ndarray | None = None
+    ) -> None:
         rng = np.random.default_rng(seed)
         first = [np.zeros_like(w) for w in self.weights]
         second = [np.zeros_like(w) for w in self.weights]
@@ -172,16 +177,16 @@ class Network:
         for _ in range(rounds):
             for part in np.array_split(rng.permutation(len(codes)), max(1, len(codes) // 64)):
                 turn += 1
-                grads = self._gradients(codes[part], labels[part])
+                grads = self._gradients(codes[part], labels[part], 1.0 if weights is None else weights[part])
                 for w, g, m, v in zip(self.weights, grads, first, second, strict=True):
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
                     w -= step * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.999**turn)) + 1e-8)
 
-    def _gradients(self, codes: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
+    def _gradients(self, codes: np.ndarray, labels: np.ndarray, weights: np.ndarray | float = 1.0) -> list[np.ndarray]:
         letters, filters, _, out, _ = self.weights
         runs, hidden, logit = self._forward(codes)
-        error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels) / len(codes)
+        error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels) * weights / len(codes)
         place = hidden.argmax(axis=1)
         top = np.take_along_axis(hidden, place[:, None, :], axis=1)[:, 0, :]
         back = np.where(top > 0, error[:, None] * out, 0)
@@ -219,22 +224,104 @@ def _codes(windows: list[bytes]) -> np.ndarray:
 
 
 def fit(
-    scanned: DataFrame, labels: str, windows: str, sample: int = SAMPLE, recall: float = RECALL
+    scanned: DataFrame, labels: str, windows: str, recall: float = RECALL, at_once: int = AT_ONCE
 ) -> tuple[Network, float] | None:
     """Network and threshold from the columns of labels and windows; None when one of the labels has under 6 windows."""
     rows = scanned.select(F.explode(F.arrays_zip(labels, windows)).alias("x"))
-    rows = rows.select(F.col("x")[labels].alias("label"), F.col("x")[windows].alias("window"))
-    rows = rows.withColumn("h", F.xxhash64("window"))
-    taken = [rows.where(F.col("label") == k).dropDuplicates(["window"]).orderBy("h", "window").limit(sample).collect() for k in (1, 0)]
-    if min(map(len, taken)) < 6:
+    rows = stage(rows.select(F.col("x")[labels].alias("label"), F.col("x")[windows].alias("window")).distinct(), "windows")
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}  # two labels
+    if min(counts.get(k, 0) for k in (0, 1)) < 6:
         return None
-    return learned(*[[bytes(r["window"]) for r in part] for part in taken], recall)
+    if sum(counts.values()) > at_once:
+        return _learned_in_parts(rows, counts, recall, at_once)
+    found = rows.withColumn("h", F.xxhash64("window")).orderBy("h", "window").collect()  # at most ``at_once``
+    return learned(*[[bytes(r["window"]) for r in found if r["label"] == k] for k in (1, 0)], recall)
+
+
+def _learned_in_parts(rows: DataFrame, counts: dict[int, int], recall: float, at_once: int) -> tuple[Network, float]:
+    """Rounds over parts of all windows, each from the mean of the networks of the round before."""
+    total = sum(counts.values())
+    n = -(-total // at_once)
+    weight = np.array([min(HEAVIEST, max(1.0, counts[1 - k] / counts[k])) for k in (0, 1)])
+    held = lambda salt: F.pmod(F.xxhash64("window", F.lit(salt)), F.lit(3)) == 0
+    sides = rows.agg(*[F.count_if(held(s) & (F.col("label") == 1)) for s in range(16)]).first()
+    salt = next(s for s in range(16) if 0 < sides[s] < counts[1])  # findings on both sides, however few there are
+    dealt = rows.select("label", "window", held(salt).alias("held"), F.pmod(F.xxhash64("window"), F.lit(n)).cast("long").alias("part"))
+    dealt = stage(dealt.repartition(n, "part"), "dealt-windows").repartition(n, "part").groupBy("part")
+
+    def trained(weights: list[np.ndarray], turn: int) -> Callable:
+        def work(table: pa.Table) -> pa.Table:
+            codes, labels, kept, part = _varied(table)
+            network = Network()
+            network.weights = [w.copy() for w in weights]
+            codes, labels = codes[~kept], labels[~kept]
+            if len(codes):
+                network.train(codes, labels, 1, 0.01 / 2 ** (turn // 2), 7 + turn * n + part, weight[labels.astype(int)])
+            return pa.table({"n": [len(codes)], "weights": pa.array([b"".join(w.tobytes() for w in network.weights)], pa.binary())})
+
+        return work
+
+    network = Network()
+    for turn in range(ROUNDS):
+        found = dealt.applyInArrow(trained(network.weights, turn), "n long, weights binary").collect()  # a network per part
+        shares = np.array([r["n"] for r in found], float) / sum(r["n"] for r in found)
+        mean = shares @ np.stack([np.frombuffer(r["weights"]) for r in found])
+        bounds = np.cumsum([w.size for w in network.weights])[:-1]
+        network.weights = [m.reshape(w.shape) for m, w in zip(np.split(mean, bounds), network.weights, strict=True)]
+
+    def logits(table: pa.Table) -> pa.Table:
+        codes, labels, kept, _ = _varied(table)
+        return pa.table({"label": pa.array(labels[kept].astype(np.int32)), "x": pa.array(network.logits(codes[kept]))})
+
+    return network, _calibrated(network, stage(dealt.applyInArrow(logits, "label int, x double"), "held-out"), recall)
+
+
+def _varied(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Codes, labels and whether they are held out, of a part's windows and their variants; the part's number."""
+    found = sorted(zip(*[table.column(c).to_pylist() for c in ("label", "window", "held")], strict=True), reverse=True)
+    labels, held = np.array([float(r[0]) for r in found]), np.array([r[2] for r in found])
+    codes, labels, held = _variants(_codes([r[1] for r in found]), labels, held)
+    return codes, labels, held, table.column("part")[0].as_py()
+
+
+def _calibrated(network: Network, held: DataFrame, recall: float) -> float:
+    """``Network.calibrate`` over a table (label, x) of held-out logits, from sums and counts."""
+    x, y = F.col("x"), F.col("label")
+    slope, shift = 1.0, 0.0
+    for _ in range(12):
+        p = 1 / (1 + F.exp(-F.least(F.greatest(x * slope + shift, F.lit(-30.0)), F.lit(30.0))))
+        e, v = p - y, p * (1 - p)
+        ex, e1, vxx, vx, v1 = held.agg(F.avg(e * x), F.avg(e), F.avg(v * x * x), F.avg(v * x), F.avg(v)).first()
+        move = np.linalg.solve([[vxx + 1e-3, vx], [vx, v1 + 1e-6]], [ex + 1e-3 * (slope - 1), e1])
+        move *= min(1.0, 2.0 / max(np.abs(move).max(), 1e-300))
+        slope, shift = float(max(slope - move[0], 1e-3)), float(shift - move[1])
+    network.slope, network.shift = slope, shift
+    right = held.where("label = 1")
+    low, high, rank = *right.agg(F.min("x"), F.max("x")).first(), int((1 - recall) * right.count())
+    for _ in range(4):  # the place of that rank among 4,096 parts of a range, and again
+        width = (high - low) / 4096
+        if width <= 0 or low + width == low:
+            break
+        cell = F.least(F.floor((x - low) / width), F.lit(4095))
+        cells = sorted((r["c"], r["n"]) for r in right.where((x >= low) & (x <= high)).groupBy(cell.alias("c")).agg(F.count("*").alias("n")).collect())
+        before = right.where(x < low).count()
+        for c, n in cells:
+            if before + n > rank:
+                low, high = low + c * width, min(high, low + (c + 1) * width)
+                break
+            before += n
+    highest = right.where(x >= low).agg(F.min("x")).first()[0]
+    below = held.where((y == 0) & (x < highest)).agg(F.max("x")).first()[0]
+    chance = lambda v: 0.0 if v is None else 1 / (1 + np.exp(-np.clip(slope * v + shift, -30, 30)))
+    return float(min(max((chance(highest) + chance(below)) / 2, 0.5), chance(highest)))
 
 
 def _behind_words(keys: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Each key moved to the right, as a window shows it that begins before the key; zeros for keys under half the width."""
     rng = np.random.default_rng(7)
     out = np.zeros_like(keys)
+    if not len(others):
+        return out
     for row, key, other in zip(out, keys, others[rng.integers(0, len(others), len(keys))], strict=True):
         inside, front = key[BEFORE : BEFORE + INSIDE], other[other > 0]
         n = int(rng.integers(1, INSIDE // 2 + 1))
@@ -244,11 +331,8 @@ def _behind_words(keys: np.ndarray, others: np.ndarray) -> np.ndarray:
     return out
 
 
-def learned(findings: list[bytes], others: list[bytes], recall: float = RECALL) -> tuple[Network, float]:
-    """Network and threshold from the windows of either label; every third window calibrates."""
-    codes = _codes([*findings, *others])
-    labels = np.repeat([1.0, 0.0], [len(findings), len(others)])
-    held = np.concatenate([np.arange(len(findings)) % 3 == 0, np.arange(len(others)) % 3 == 0])
+def _variants(codes: np.ndarray, labels: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows and their variants, which are held out as their windows are."""
     # Each window a second time without what stands around it, so that the network also learns how a key itself looks.
     alone = codes.copy()
     alone[:, :BEFORE] = alone[:, BEFORE + INSIDE :] = 0
@@ -257,6 +341,15 @@ def learned(findings: list[bytes], others: list[bytes], recall: float = RECALL)
     codes = np.concatenate([codes, alone, behind[long]])
     held = np.concatenate([held, held, held[labels == 1][long]])
     labels = np.concatenate([labels, labels, np.ones(long.sum())])
+    return codes, labels, held
+
+
+def learned(findings: list[bytes], others: list[bytes], recall: float = RECALL) -> tuple[Network, float]:
+    """Network and threshold from the windows of either label; every third window calibrates."""
+    codes = _codes([*findings, *others])
+    labels = np.repeat([1.0, 0.0], [len(findings), len(others)])
+    held = np.concatenate([np.arange(len(findings)) % 3 == 0, np.arange(len(others)) % 3 == 0])
+    codes, labels, held = _variants(codes, labels, held)
     network = Network()
     network.train(codes[~held], labels[~held])
     return network, network.calibrate(codes[held], labels[held], recall)
@@ -288,7 +381,7 @@ def _judge(model: tuple | None, columns: list[str]) -> Callable:
     return work
 
 
-def find(docs: DataFrame, text: str = "text", sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
+def find(docs: DataFrame, text: str = "text", recall: float = RECALL, at_once: int = AT_ONCE) -> DataFrame:
     """The columns of ``docs`` and secrets, an array of (start, kind, end, score), by start and kind.
 
     ``kind`` is a place in ``KINDS``; places are code points, the end exclusive. A null or empty text has no secrets. Without enough
@@ -301,7 +394,7 @@ def find(docs: DataFrame, text: str = "text", sample: int = SAMPLE, recall: floa
     fields = [T.StructField(n, T._parse_datatype_string(k)) for n, k in zip(added, kinds, strict=True)]
     schema = T.StructType([*docs.schema.fields, *fields])
     scanned = stage(docs.mapInArrow(_scan(docs.columns.index(text), added), schema), "scanned")
-    model = fit(scanned, *added[3:], sample, recall)
+    model = fit(scanned, *added[3:], recall, at_once)
     out = T.StructField("secrets", T._parse_datatype_string("array<struct<start:int,kind:int,end:int,score:double>>"))
     kept = scanned.select(*[F.col(f"`{c}`") for c in docs.columns], *added[:3])
     return kept.mapInArrow(_judge(model, docs.columns), T.StructType([*docs.schema.fields, out]))

@@ -206,3 +206,35 @@ def test_a_key_behind_a_long_path_is_found(documents):
     found = {r["doc_id"]: r["secrets"] for r in secrets.find(documents(texts + hidden)).collect()}
     assert not any(found[i] for i in range(90, 240))
     assert all([s["kind"] for s in found[i]] == [3] for i in range(240, 260))
+
+
+def test_threshold_of_sums_is_that_of_all_held_out_windows(spark):
+    rng = np.random.default_rng(5)
+    y = (rng.random(700) < 0.3).astype(int)
+    x = rng.normal(size=700) + 2.0 * y
+    network = secrets.Network()
+    threshold = secrets._calibrated(network, spark.createDataFrame(list(zip(y.tolist(), x.tolist())), "label int, x double").repartition(3), 0.95)
+    chance = 1 / (1 + np.exp(-(network.slope * x + network.shift)))
+    highest = np.sort(chance[y == 1])[int(0.05 * y.sum())]
+    below = chance[(y == 0) & (chance < highest)].max()
+    assert np.isclose(threshold, min(max((highest + below) / 2, 0.5), highest))
+    e = chance - y
+    assert abs(e.mean()) < 1e-3 and abs((e * x).mean() + 1e-3 * (network.slope - 1)) < 1e-3
+
+
+def test_all_windows_are_learned_from_in_parts(spark):
+    """More windows than one task learns from: every part's windows count, and unseen ones are told apart."""
+    rng = random.Random(3)
+
+    def windows(label):
+        own = "".join(rng.choice(HEX) for _ in range(40)) if label else f"{text(rng, 'b', 2)}splendorf{rng.randrange(99)}".replace(" ", "")
+        told = f'so the token = "{own}" is here' if label else f"{text(rng, 'b', 9)} {own} {text(rng, 'a', 9)}"
+        return secrets.window(told, told.index(own), told.index(own) + len(own))
+
+    rows = [([i % 3 % 2], [windows(i % 3 % 2)]) for i in range(2400)]
+    scanned = spark.createDataFrame(rows, "labels array<int>, windows array<binary>").repartition(4)
+    network, threshold = secrets.fit(scanned, "labels", "windows", at_once=600)
+    again = secrets.fit(scanned.repartition(3), "labels", "windows", at_once=600)
+    assert np.isclose(threshold, again[1]) and all(np.allclose(a, b) for a, b in zip(network.weights, again[0].weights, strict=True))
+    chance = [network.probability(secrets._codes([windows(label) for _ in range(200)])) >= threshold for label in (1, 0)]
+    assert chance[0].mean() > 0.9 and chance[1].mean() < 0.02
