@@ -13,15 +13,16 @@ keep the class of their unit. All counts are over all training texts:
    and its class is found from their sums;
 5. adjacent classes are counted again with the classes of all words;
 6. texts are scored where they are. The most frequent ``LOOKUP_WORDS`` words are looked up in the task, counts and classes of
-   the others by a join, in step 5 as well.
+   the others by a join. In step 5 only words that have a class of their own, as far as a filter can tell, are joined.
+
+Each pass numbers the different words of a run of texts first, so that a word is looked up once for the run.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain, islice, repeat
+from itertools import repeat
 from typing import NamedTuple
 from zlib import crc32
 
@@ -31,8 +32,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.collocations import filter_of, made_filter, word_hashes
-from corpusmill.llm.words import pieces, raw_texts
+from corpusmill.llm.collocations import Filter, filter_of, made_filter, word_hashes
+from corpusmill.llm.words import IN_WORD, pieces, raw_texts
 from corpusmill.sources.staging import stage
 
 END = b"\n"  # no word holds a line break
@@ -44,22 +45,64 @@ SLICE = 4 << 20  # bytes of text whose paths a task follows at once
 HELD_WORDS = 1_000_000  # words that a task counts before it hands them on
 HELD_PAIRS = 4_000_000
 HELD_NEAR = 300_000  # rarer words whose neighbours a task counts before it hands them on
+#: Tail of each last byte of a word of one byte, and of each last two bytes.
+TAILS_OF_1 = np.array([crc32(bytes([b])) % TAILS for b in range(256)])
+TAILS_OF_2 = np.array([crc32(bytes([a, b])) % TAILS for a in range(256) for b in range(256)])
+
+
+class _Coded(NamedTuple):
+    """The different words of some texts, the number of each text's words one after another, and how many each text has."""
+
+    words: pa.Array
+    ids: np.ndarray
+    lengths: np.ndarray
+
+
+def _coded(texts: list[bytes]) -> _Coded:
+    data = np.frombuffer(b"\n".join(texts).lower(), dtype=np.uint8)
+    inside = np.zeros(len(data) + 2, dtype=bool)
+    inside[1:-1] = IN_WORD[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    offsets = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=offsets[1:])
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside[1:-1]])])
+    found = words.dictionary_encode()
+    bounds = np.cumsum([0, *[len(x) + 1 for x in texts]])
+    return _Coded(found.dictionary, found.indices.to_numpy(), np.diff(np.searchsorted(starts, bounds)))
+
 
+def _listed(words: pa.Array) -> list[bytes]:
+    """As ``to_pylist``, without a scalar for each word on the way."""
+    return words.to_numpy(zero_copy_only=False).tolist()
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()
 
+def _tails(words: pa.Array) -> np.ndarray:
+    """Tail of each word: crc32 of its last two bytes, or its only one."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    offsets = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], dtype=np.uint8)
+    last = offsets[1:] - 1
+    return np.where(np.diff(offsets) > 1, TAILS_OF_2[data[last - 1] * np.int64(256) + data[last]], TAILS_OF_1[data[last]])
 
-def tail_of(word: bytes) -> int:
-    return crc32(word[-2:]) % TAILS
+
+def _tails_of(words: list[bytes]) -> np.ndarray:
+    return _tails(pa.array(words, pa.binary()))
+
+
+def _with_ends(ids: np.ndarray, lengths: np.ndarray, end: int) -> np.ndarray:
+    """The words of texts one after another, an end before the first, between two texts and after the last."""
+    out = np.full(len(ids) + len(lengths) + 1, end, dtype=np.int64)
+    out[np.arange(len(ids)) + np.repeat(np.arange(len(lengths)), lengths) + 1] = ids
+    return out
 
 
 class _Numbers(dict):
     """Number of each word, given when it is first asked for."""
 
-    def __init__(self, words: list[bytes] = ()):
-        super().__init__((w, i) for i, w in enumerate(words))
-        self.words = list(words)
+    def __init__(self):
+        self.words: list[bytes] = []
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.words)
@@ -67,25 +110,45 @@ class _Numbers(dict):
         return n
 
 
+def _runs_of(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The pieces of the texts in runs of about ``SLICE`` bytes."""
+    run, size = [], 0
+    for text in texts:
+        for piece in pieces(text):
+            run.append(piece)
+            size += len(piece)
+            if size >= SLICE:
+                yield run
+                run, size = [], 0
+    if run:
+        yield run
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
+    kinds = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+    held: list[pa.Table] = []
+    size = ends = 0
 
-    def out() -> Iterator[pa.RecordBatch]:
-        items = iter(held.items())
-        while part := list(islice(items, 100_000)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())], names=["word", "n"]
-            )
+    def merged() -> pa.Table:
+        summed = pa.concat_tables([kinds.empty_table(), *held]).group_by("word", use_threads=False).aggregate([("n", "sum")])
+        return pa.table([summed.column("word"), summed.column("n_sum")], schema=kinds)
 
     for batch in batches:
-        for text in raw_texts(batch.column(0)):
-            for piece in pieces(text):
-                held.update(words_of(piece))
-            held[END] += 1
-            if len(held) >= HELD_WORDS:
-                yield from out()
-                held = Counter()
-    yield from out()
+        texts = raw_texts(batch.column(0))
+        ends += len(texts)
+        for run in _runs_of(texts):
+            found = _coded(run)
+            held.append(pa.table([found.words, np.bincount(found.ids, minlength=len(found.words))], schema=kinds))
+            size += len(found.words)
+            if size >= 2 * HELD_WORDS:
+                held = [merged()]
+                size = held[0].num_rows
+                if size >= HELD_WORDS:
+                    yield from held[0].to_batches(100_000)
+                    held, size = [], 0
+    if ends:
+        held.append(pa.table([[END], [ends]], schema=kinds))
+    yield from merged().to_batches(100_000)
 
 
 def word_counts(texts: DataFrame, text: str) -> DataFrame:
@@ -94,15 +157,11 @@ def word_counts(texts: DataFrame, text: str) -> DataFrame:
     return stage(parts.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
 
 
-def _units(text: bytes, own: dict[bytes, int], first_tail: int) -> np.ndarray:
-    """Unit of every token of a text, an end before the first word and after the last."""
-    words = words_of(text)
-    end = first_tail + TAILS
-    out = np.full(len(words) + 2, end, dtype=np.int64)
-    out[1:-1] = np.fromiter(map(own.get, words, repeat(-1)), np.int64, len(words))
-    rarer = np.flatnonzero(out < 0)
-    out[rarer] = [first_tail + crc32(words[i - 1][-2:]) % TAILS for i in rarer.tolist()]
-    return out
+def _units(found: _Coded, own: dict[bytes, int], first_tail: int) -> np.ndarray:
+    """Unit of every token of some texts, an end before the first word, between two texts and after the last word."""
+    of = np.fromiter(map(own.get, _listed(found.words), repeat(-1)), np.int64, len(found.words))
+    of = np.where(of < 0, first_tail + _tails(found.words), of)
+    return _with_ends(of[found.ids], found.lengths, first_tail + TAILS)
 
 
 def _count_pairs(frequent) -> Callable:
@@ -127,8 +186,9 @@ def _count_pairs(frequent) -> Callable:
             )
 
         for batch in batches:
-            for text in raw_texts(batch.column(0)):
-                units = _units(text, own, len(own))
+            texts = raw_texts(batch.column(0))
+            for part in _slices(texts):
+                units = _units(_coded(texts[part]), own, len(own))
                 held.append(units[:-1] * width + units[1:])
                 size += len(units)
                 if size >= HELD_PAIRS // 2:
@@ -296,10 +356,9 @@ def _count_near(frequent, wanted, classes: np.ndarray, count: int) -> Callable:
     """Per rarer word that may reach the floor its neighbours by class: successors, predecessors, and itself once for a pair."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, known = [*frequent.value, END], filter_of(wanted)
-        end, cells = len(first) - 1, 2 * count + 1
-        head, tails = classes[[*range(end), -1]], classes[end : end + TAILS]
-        numbers, of, asked = _Numbers(first), head, np.zeros(len(first), dtype=bool)
+        first, known = {w: i for i, w in enumerate(frequent.value)}, filter_of(wanted)
+        cells, numbers = 2 * count + 1, _Numbers()
+        head, tails = classes[: len(first)], classes[len(first) : len(first) + TAILS]
         held: list[np.ndarray] = []
         size = 0
 
@@ -321,27 +380,27 @@ def _count_near(frequent, wanted, classes: np.ndarray, count: int) -> Callable:
                     names=["word", "cells", "counts"],
                 )
 
-        for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                rows = [np.array([end])]  # one end between two texts, as only neighbours of words are counted
-                for text in raw_texts(whole.slice(start, 1000).column(0)):
-                    found = words_of(text)
-                    rows += [np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)), rows[0]]
-                row = np.concatenate(rows)
-                new = numbers.words[len(of) :]
-                of = np.concatenate([of, tails[np.array([tail_of(w) for w in new], dtype=np.int64)]])
-                asked = np.concatenate([asked, known.has(word_hashes(pa.array(new, pa.binary())))])
-                at = np.flatnonzero(asked[row])
-                word, after, before = row[at], row[at + 1], row[at - 1]
+        for batch in batches:
+            texts = raw_texts(batch.column(0))
+            for part in _slices(texts):
+                found = _coded(texts[part])
+                words = _listed(found.words)
+                own = np.fromiter(map(first.get, words, repeat(-1)), np.int64, len(words))
+                of = np.where(own < 0, tails[_tails(found.words)], head[own] if len(head) else 0)
+                asked = np.flatnonzero((own < 0) & known.has(word_hashes(found.words)))
+                number = np.full(len(words), -1, dtype=np.int64)
+                number[asked] = [numbers[words[i]] for i in asked.tolist()]
+                row, near = (_with_ends(x[found.ids], found.lengths, end) for x, end in ((number, -1), (of, classes[-1])))
+                at = np.flatnonzero(row >= 0)
+                word, same_after, same_before = row[at], row[at + 1] == row[at], row[at - 1] == row[at]
                 base = word * cells
-                held.append(base + np.where(after == word, 2 * count, of[after]))
-                held.append((base + count + of[before])[before != word])
+                held.append(base + np.where(same_after, 2 * count, near[at + 1]))
+                held.append((base + count + near[at - 1])[~same_before])
                 size += 2 * len(at)
-                if size >= HELD_PAIRS or len(numbers) - len(head) >= HELD_NEAR:
+                if size >= HELD_PAIRS or len(numbers) >= HELD_NEAR:
                     keys, counts = merged()
                     yield from out()
-                    numbers, of, asked = _Numbers(first), head, np.zeros(len(first), dtype=bool)
-                    held, size = [], 0
+                    numbers, held, size = _Numbers(), [], 0
         keys, counts = merged()
         yield from out()
 
@@ -364,7 +423,7 @@ def _choose(matrix: np.ndarray, tails: np.ndarray) -> Callable:
             for i in range(0, len(enough), 500):
                 part = enough[i : i + 500]
                 x = near[part]
-                now = tails[np.array([tail_of(words[w]) for w in part], dtype=np.int64)]
+                now = tails[_tails_of([words[w] for w in part])]
                 to[part] = best_classes(matrix, now, x[:, :count], x[:, count:-1], x[:, -1])
             return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n), pa.array(to, pa.int32())], names=["word", "n", "class"])
 
@@ -374,7 +433,7 @@ def _choose(matrix: np.ndarray, tails: np.ndarray) -> Callable:
                 column = batch.column(0)
                 starts = np.concatenate([[True], pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)])
                 run = np.cumsum(starts) - 1
-                words = column.take(pa.array(np.flatnonzero(starts))).to_pylist()
+                words = _listed(column.take(pa.array(np.flatnonzero(starts))))
                 n = np.zeros(len(words), np.int64)
                 np.add.at(n, run, batch.column(1).fill_null(0).to_numpy(zero_copy_only=False))
                 lengths = batch.column(2).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
@@ -440,27 +499,37 @@ class ClassModel:
 
 
 class _Paths:
-    """Class of every token of a text where the task knows it; the other words are numbered and asked for."""
+    """Class of every token of a text where the task knows it; the other words are numbered and asked for.
 
-    def __init__(self, words: list[bytes], classes: np.ndarray):
+    With ``own``, a filter that lets all other words with a class of their own pass, no word that it holds back is asked for:
+    its class is that of its tail. Without it all other words are.
+    """
+
+    def __init__(self, words: list[bytes], classes: np.ndarray, own: Filter | None = None, tails: np.ndarray | None = None):
         self.get = {w: i for i, w in enumerate(words)}.get
-        self.classes = classes
+        self.classes, self.own, self.tails = classes, own, tails
 
-    def of(self, texts: list[list[bytes]]) -> _Nodes:
+    def of(self, texts: list[bytes]) -> _Nodes:
         """The nodes of several texts at once."""
-        lengths = np.array([len(x) for x in texts], dtype=np.int64)
-        at = np.fromiter(map(self.get, chain.from_iterable(texts), repeat(-1)), np.int64, int(lengths.sum()))
-        text = np.repeat(np.arange(len(texts)), lengths)
-        bounds = np.concatenate([[0], np.cumsum(lengths + 2)])
+        found = _coded(texts)
+        number = np.fromiter(map(self.get, _listed(found.words), repeat(-1)), np.int64, len(found.words))
+        node = np.where(number < 0, -1, self.classes[number] if len(self.classes) else 0)
+        if self.own is not None:
+            held = np.flatnonzero((number < 0) & ~self.own.has(word_hashes(found.words)))
+            node[held] = self.tails[_tails(found.words)[held]]
+        at, path = number[found.ids], node[found.ids]
+        text = np.repeat(np.arange(len(texts)), found.lengths)
+        ask = np.flatnonzero(path < 0)
+        different, inverse = np.unique(text[ask] * max(len(found.words), 1) + found.ids[ask], return_inverse=True)
+        of_text, word = np.divmod(different, max(len(found.words), 1))
+        first = np.searchsorted(of_text, np.arange(len(texts) + 1))
+        path[ask] = first[text[ask]] - inverse - 1
+        bounds = np.concatenate([[0], np.cumsum(found.lengths + 2)])
         nodes = np.zeros(bounds[-1], dtype=np.int64)  # ends have class 0
-        place = np.arange(len(at)) + 2 * text + 1
-        nodes[place] = self.classes[at] if len(self.classes) else 0
-        asked: list[_Numbers] = [_Numbers() for _ in texts]
-        first = bounds[:-1].tolist()
-        for p, i in zip(place[at < 0].tolist(), text[at < 0].tolist(), strict=True):
-            nodes[p] = -1 - asked[i][texts[i][p - first[i] - 1]]
+        nodes[np.arange(len(at)) + 2 * text + 1] = path
         known = at >= 0
-        return _Nodes(at[known], text[known], nodes, bounds, [x.words for x in asked])
+        asked = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), found.words.take(pa.array(word)))
+        return _Nodes(at[known], text[known], nodes, bounds, found.lengths, asked)
 
 
 class _Nodes(NamedTuple):
@@ -473,7 +542,8 @@ class _Nodes(NamedTuple):
     text: np.ndarray
     path: np.ndarray
     bounds: np.ndarray
-    asked: list[list[bytes]]
+    lengths: np.ndarray
+    asked: pa.ListArray
 
     def known_steps(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Texts and classes of the steps between known classes."""
@@ -482,8 +552,14 @@ class _Nodes(NamedTuple):
         at = np.flatnonzero(both)
         return np.searchsorted(self.bounds, at, side="right") - 1, self.path[at], self.path[at + 1]
 
-    def runs(self, i: int) -> np.ndarray:
-        return _runs(self.path[self.bounds[i] : self.bounds[i + 1]])
+    def runs(self) -> pa.ListArray:
+        """Nodes to ask for and those beside them, per text. Two classes side by side are no step, or one of ``known_steps``."""
+        ask = self.path < 0  # never an end, so no text has a neighbour in the next
+        near = ask.copy()
+        near[1:] |= ask[:-1]
+        near[:-1] |= ask[1:]
+        at = np.flatnonzero(near)
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(at, self.bounds).astype(np.int32)), pa.array(self.path[at].astype(np.int32)))
 
 
 def _slices(texts: list[bytes]) -> Iterator[slice]:
@@ -498,15 +574,6 @@ def _slices(texts: list[bytes]) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
-def _runs(nodes: np.ndarray) -> np.ndarray:
-    """Nodes to ask for and those beside them. Two classes side by side are no step, or one of ``known_steps``."""
-    ask = nodes < 0
-    near = ask.copy()
-    near[1:] |= ask[:-1]
-    near[:-1] |= ask[1:]
-    return nodes[near].astype(np.int32)
-
-
 def _asked_steps(runs: np.ndarray, told: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Classes of the steps that ``known_steps`` left out; ``told`` has the class of each word asked for."""
     path = np.where(runs >= 0, runs, told[np.where(runs >= 0, 0, -1 - runs)])
@@ -525,34 +592,30 @@ def _answers(local: DataFrame, rarer: DataFrame) -> DataFrame:
 def _told(batch: pa.RecordBatch, i: int, tails: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of each word that row ``i`` asks for: its count, 0 if unknown; whether it has a class of its own; its class; its tail."""
     words = batch.column(batch.schema.get_field_index("lm_words"))[i].as_py() or []
-    tail = np.array([tail_of(w) for w in words], dtype=np.int64)
+    tail = _tails_of(words)
     n, to = np.zeros(len(words), np.int64), np.full(len(words), -1)
     at = _lists(batch, i, "lm_at")
     n[at], to[at] = _lists(batch, i, "lm_counts"), _lists(batch, i, "lm_classes")
     return n, to >= 0, np.where(to >= 0, to, tails[tail]), tail
 
 
-def _first_steps(known, count: int) -> Callable:
-    """Per text what to ask for; at the end of the task a row with the steps that need no answer."""
+def _first_steps(known, own, tails: np.ndarray, count: int) -> Callable:
+    """Per text what to ask for, if anything; at the end of the task a row with the steps that need no answer."""
+    names = ["lm_row", "lm_words", "lm_runs", "lm_steps"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        paths, total = _Paths(*known.value), np.zeros(count * count, np.int64)
+        paths, total = _Paths(*known.value, filter_of(own), tails), np.zeros(count * count, np.int64)
         kinds = [pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
-
-        def rows(*columns: list) -> pa.RecordBatch:
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, names=["lm_row", "lm_words", "lm_runs", "lm_steps"])
-
         for batch in batches:
             texts = raw_texts(batch.column(1))
             for part in _slices(texts):
-                found = paths.of([words_of(x) for x in texts[part]])
+                found = paths.of(texts[part])
                 _, a, b = found.known_steps()
                 total += np.bincount(a * count + b, minlength=count * count)
-                some = [i for i, words in enumerate(found.asked) if words]
-                ids = batch.column(0)[part.start : part.stop].take(pa.array(some, pa.int64())).to_pylist()
-                yield rows(ids, [found.asked[i] for i in some], [found.runs(i) for i in some], [None] * len(ids))
-        yield rows([None], [None], [None], [total])
+                some = pa.array(np.flatnonzero(found.asked.value_lengths().to_numpy()))
+                columns = [batch.column(0)[part.start : part.stop].take(some), found.asked.take(some), found.runs().take(some)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(some), kinds[3])], names=names)
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(1, k) for k in kinds[:3]], pa.array([total], kinds[3])], names=names)
 
     return work
 
@@ -575,10 +638,12 @@ def _all_steps(tails: np.ndarray, count: int) -> Callable:
 
 
 def class_steps(texts: DataFrame, words: list[bytes], classes: np.ndarray, rarer: DataFrame, tails: np.ndarray, count: int) -> np.ndarray:
-    """How often each class follows each, by the classes of all words. ``texts`` has one binary column."""
+    """How often each class follows each, by the classes of all words. ``texts`` has one binary column, ``rarer`` all words
+    with a class that are not among ``words``. What is in neither has the class of its tail."""
     known = texts.sparkSession.sparkContext.broadcast((words, classes))
     rows = texts.select(F.monotonically_increasing_id(), F.col(f"`{texts.columns[0]}`"))
-    local = rows.mapInArrow(_first_steps(known, count), "lm_row long, lm_words array<binary>, lm_runs array<int>, lm_steps array<long>")
+    own = made_filter(rarer.select("word"))
+    local = rows.mapInArrow(_first_steps(known, own, tails, count), "lm_row long, lm_words array<binary>, lm_runs array<int>, lm_steps array<long>")
     cells = _answers(stage(local, "steps"), rarer).mapInArrow(_all_steps(tails, count), "cell int, n long")
     out = np.zeros(count * count, dtype=np.int64)
     for r in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most count * count rows
@@ -634,13 +699,14 @@ def fit(texts: DataFrame, text: str = "text", classes: int = 64, rounds: int = 8
             tail_types[r["tail"]] = r["v"]
         else:
             total[r["class"]] += r["n"]
-    known = rarer.where(F.col("n") >= _lookup_floor(table)).toArrow()  # at most LOOKUP_WORDS rows
+    floor = _lookup_floor(table)
+    known = rarer.where(F.col("n") >= floor).toArrow()  # at most LOOKUP_WORDS rows
     more, to = known.column(0).to_pylist(), known.column(2).to_numpy().astype(np.int64)
-    by_tail = tails[np.array([tail_of(w) for w in more], dtype=np.int64)]
+    by_tail = tails[_tails_of(more)]
     words, counts = words + more, np.concatenate([counts, known.column(1).to_numpy()])
     of_word = np.concatenate([of_unit[:frequent], np.where(to >= 0, to, by_tail)])
     has_own = np.concatenate([np.ones(frequent, bool), to >= 0])
-    matrix = class_steps(raw, words, of_word, rarer, tails, classes)
+    matrix = class_steps(raw, words, of_word, rarer.where(~under & (F.col("n") < floor)), tails, classes)
 
     after = matrix.sum(1, keepdims=True)
     kinds = (matrix > 0).sum(1, keepdims=True)
@@ -664,15 +730,14 @@ def _score(model, constants: dict, text_column: int) -> Callable:
         for whole in batches:
             texts = raw_texts(whole.column(text_column))
             for part in _slices(texts):
-                words_in = [words_of(x) for x in texts[part]]
-                found, count = paths.of(words_in), len(words_in)
+                found, count = paths.of(texts[part]), part.stop - part.start
                 text, a, b = found.known_steps()
                 known = np.bincount(found.text, minlength=count) + (1 if constants["ends"] else 0)
                 base = np.bincount(found.text, weights=base_log[found.hit], minlength=count) + (np.log10(constants["ends"] + 1) - scale)
                 emitted = np.bincount(found.text, weights=word_log[found.hit], minlength=count)
                 score = emitted + np.bincount(text, weights=steps[a, b], minlength=count).astype(np.float64)
-                added = [pa.array([len(x) + 1 for x in words_in], pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(score),
-                         pa.array(found.asked, pa.list_(pa.binary())), pa.array([found.runs(i) for i in range(count)], pa.list_(pa.int32()))]
+                added = [pa.array(found.lengths + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(score), found.asked,
+                         found.runs()]
                 keep = [i for i in range(whole.num_columns) if i != text_column]
                 yield pa.RecordBatch.from_arrays(
                     [*[whole.column(i)[part.start : part.stop] for i in keep], *added],
