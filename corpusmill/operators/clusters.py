@@ -6,7 +6,7 @@
 3. In each iteration a task assigns its rows to the centers of all runs by one matrix product, and sends sums per center.
    Runs whose centers no longer move drop out.
 
-The driver holds the centers only.
+Sparse vectors stay sparse until a task takes a few of them at a time; sums per center are taken over their entries. The driver holds the centers only.
 """
 
 from __future__ import annotations
@@ -15,11 +15,9 @@ from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel, TaskContext
 from pyspark.ml import Model
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -32,6 +30,8 @@ CELLS = 1 << 22  # distances that a task works out at once
 DIRECT = 1 << 20  # bytes of the tasks' sums of a scan that the driver adds up itself; more are added up by Spark first
 WIDTH = 1 << 22  # coordinates of the centers that one scan takes; a wider grid takes several scans
 
+Entries = tuple[np.ndarray, np.ndarray, np.ndarray]  # row, place and value of each entry of sparse vectors
+
 
 class Clusters(Model, DefaultParamsReadable, DefaultParamsWritable):
     """Fitted centers; adds the number of the nearest one as the column ``cluster``."""
@@ -55,16 +55,37 @@ class Clusters(Model, DefaultParamsReadable, DefaultParamsWritable):
         centers = np.array(self.clusterCenters())
         shift = centers.mean(0)
 
-        @F.pandas_udf("int")
-        def nearest(vectors: pd.Series) -> pd.Series:
+        @F.arrow_udf("int")
+        def nearest(vectors: pa.Array) -> pa.Array:
             out = np.zeros(len(vectors), np.int32)
             rows = max(1, CELLS // max(centers.size, 1))
             for start in range(0, len(vectors), rows):
-                x = np.stack(vectors.iloc[start : start + rows].to_list()) - shift
-                out[start : start + rows] = _distances(x, centers - shift).argmin(1)
-            return pd.Series(out)
-
-        return df.withColumn("cluster", nearest(vector_to_array(self.getOrDefault(self.features))))
+                x, _ = _dense(vectors.slice(start, rows), centers.shape[1])
+                out[start : start + rows] = _distances(x - shift, centers - shift).argmin(1)
+            return pa.array(out)
+
+        return df.withColumn("cluster", nearest(self.getOrDefault(self.features)))
+
+
+def _dense(vectors: pa.StructArray, size: int) -> tuple[np.ndarray, Entries | None]:
+    """The vectors as a matrix; if none is a dense one, also the row, place and value of each entry."""
+    indices, values = (vectors.field(name) for name in ("indices", "values"))
+    sparse = vectors.field("type").to_numpy(zero_copy_only=False) == 0
+    lengths = values.value_lengths().fill_null(0).to_numpy()
+    sizes = np.where(sparse, vectors.field("size").fill_null(-1).to_numpy(zero_copy_only=False), lengths)
+    if vectors.null_count or (sizes != size).any():
+        raise ValueError(f"a vector is null or not of size {size}")
+    value = values.flatten().to_numpy(zero_copy_only=False)
+    if not sparse.any():
+        return value.reshape(-1, size), None
+    row, of_sparse = np.repeat(np.arange(len(vectors)), lengths), np.repeat(sparse, lengths)
+    x = np.zeros((len(vectors), size))
+    place = indices.flatten().to_numpy(zero_copy_only=False)
+    x[row[of_sparse], place] = value[of_sparse]
+    if sparse.all():
+        return x, (row, place, value)
+    x[~sparse] = value[~of_sparse].reshape(-1, size)
+    return x, None
 
 
 def _distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -72,15 +93,17 @@ def _distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return (centers * centers).sum(1) - 2 * (x @ centers.T)
 
 
-def _matrix(batch: pa.RecordBatch, size: int, shift: np.ndarray) -> Iterator[np.ndarray]:
-    column = batch.column(0)
+def _matrix(batch: pa.RecordBatch, size: int, shift: np.ndarray) -> Iterator[tuple[np.ndarray, Entries | None]]:
+    """The vectors less ``shift``, some at a time, and the entries of sparse ones."""
+    column = batch.column(0).drop_null()
     rows = max(1, CELLS // max(size, len(shift), 1))
     for start in range(0, len(column), rows):
-        yield column.slice(start, rows).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(shift)) - shift
+        x, entries = _dense(column.slice(start, rows), len(shift))
+        yield x - shift, entries
 
 
 class _Points:
-    """Cached rows of one array column, and sums over them."""
+    """Cached rows of one vector column, and sums over them."""
 
     def __init__(self, rows: DataFrame, size: int, tasks: int):
         self.rows, self.size, self.tasks = rows, size, tasks
@@ -92,8 +115,8 @@ class _Points:
         def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros((count, width))
             for batch in batches:
-                for x in _matrix(batch, count, shift):
-                    total += work(x)
+                for x, entries in _matrix(batch, count, shift):
+                    total += work(x, entries)
             values = pa.ListArray.from_arrays(pa.array(np.arange(count + 1) * width, pa.int32()), pa.array(total.ravel()))
             task = np.full(count, TaskContext.get().partitionId())
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(count)), pa.array(task), values], names=["i", "task", "y"])
@@ -118,7 +141,7 @@ class _Points:
             rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
             keys, kept = np.zeros(0), np.zeros((0, len(shift)))
             for batch in batches:
-                for x in _matrix(batch, max(len(candidates), 1), shift):
+                for x, _ in _matrix(batch, max(len(candidates), 1), shift):
                     weight = np.maximum(_distances(x, candidates).min(1) + (x * x).sum(1), 0) if len(candidates) else np.ones(len(x))
                     key = np.log(1 - rng.random(len(x))) / np.where(weight > 0, weight, 1)
                     key[weight <= 0] = -np.inf
@@ -155,10 +178,10 @@ def added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @contextmanager
 def _points(df: DataFrame, features: str):
-    rows = df.select(vector_to_array(features).alias("x")).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = df.select(F.col(features).alias("x")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         first = rows.first()
-        yield _Points(rows, len(first[0]) if first else 0, rows.rdd.getNumPartitions())
+        yield _Points(rows, first[0].size if first else 0, rows.rdd.getNumPartitions())
     finally:
         rows.unpersist()
 
@@ -174,18 +197,25 @@ def _first_centers(candidates: np.ndarray, weights: np.ndarray, k: int, rng: np.
     return candidates[chosen]
 
 
-def _assign(centers: np.ndarray, bounds: list[int]) -> Callable:
-    """Per center: the sum of its rows, their number and their squared distances from it."""
+def _assign(centers: np.ndarray, bounds: list[int], shift: np.ndarray) -> Callable:
+    """Per center: the sum of its rows less ``shift``, their number and their squared distances from it."""
 
-    def work(x: np.ndarray) -> np.ndarray:
+    def work(x: np.ndarray, entries: Entries | None) -> np.ndarray:
         apart, at = _distances(x, centers), np.arange(len(x))
-        own, hot = (x * x).sum(1), np.zeros((len(x), len(centers)))
-        cost = np.zeros(len(centers))
+        own, size = (x * x).sum(1), x.shape[1]
+        sums, count, cost = np.zeros((len(centers), size)), np.zeros(len(centers)), np.zeros(len(centers))
+        hot = np.zeros((len(x), len(centers))) if entries is None else None
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            best = a + apart[:, a:b].argmin(1)
-            hot[at, best] = 1
-            cost += np.bincount(best, weights=apart[at, best] + own, minlength=len(centers))
-        return np.column_stack([hot.T @ x, hot.sum(0), cost])
+            best = apart[:, a:b].argmin(1)
+            count[a:b] = np.bincount(best, minlength=b - a)
+            cost[a:b] = np.bincount(best, weights=apart[at, a + best] + own, minlength=b - a)
+            if entries is None:
+                hot[at, a + best] = 1
+            else:
+                row, place, value = entries
+                found = np.bincount(best[row] * size + place, weights=value, minlength=(b - a) * size)
+                sums[a:b] = found.reshape(-1, size) - count[a:b, None] * shift
+        return np.column_stack([sums if hot is None else hot.T @ x, count, cost])
 
     return work
 
@@ -205,7 +235,7 @@ def lloyd(points: _Points, starts: list[np.ndarray], max_iter: int) -> list[tupl
                 groups, group, width = [*groups, group], [], 0
         for group in [*groups, group] if group else groups:
             bounds = np.cumsum([0, *[len(runs[r][0]) for r in group]]).tolist()
-            found = points.sums(_assign(np.concatenate([runs[r][0] for r in group]), bounds), bounds[-1], points.size + 2)
+            found = points.sums(_assign(np.concatenate([runs[r][0] for r in group]), bounds, points.shift), bounds[-1], points.size + 2)
             for r, a, b in zip(group, bounds[:-1], bounds[1:], strict=True):
                 before, part = runs[r][0], found[a:b]
                 runs[r] = (before, float(part[:, -1].sum()))  # the cost of these centers
@@ -226,12 +256,12 @@ def fit_grid(
     with _points(df, features) as points:
         if not points.size:
             return {k: Clusters(np.zeros((0, 0)), features) for k in ks}
-        total = points.sums(lambda x: np.append(x.sum(0), len(x))[None], 1, points.size + 1)[0]
+        total = points.sums(lambda x, _: np.append(x.sum(0), len(x))[None], 1, points.size + 1)[0]
         points.shift = total[:-1] / total[-1]
         candidates = points.draw(np.zeros((0, points.size)), 1, seed)
         for turn in range(ROUNDS):
             candidates = np.concatenate([candidates, points.draw(candidates, DRAWN * max(ks), seed + turn + 1)])
-        weights = points.sums(_assign(candidates, [0, len(candidates)]), len(candidates), points.size + 2)[:, -2]
+        weights = points.sums(_assign(candidates, [0, len(candidates)], points.shift), len(candidates), points.size + 2)[:, -2]
         runs = [(k, start) for k in ks for start in range(n_init)]
         firsts = [_first_centers(candidates, weights, k, np.random.default_rng([seed, start, k])) for k, start in runs]
         best: dict[int, Clusters] = {}

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
@@ -439,3 +441,47 @@ def test_grid_values_of_cross_validation_are_forests_of_their_own_folds(blobs):
     assert [(r["numTrees"], r["maxDepth"]) for r in models.cv_results(fitted)] == [(5, 2), (3, 2)]
     assert fitted.best.trees == max(models.cv_results(fitted), key=lambda r: r["accuracy"])["numTrees"]
     assert fitted.best.predict(blobs).where("label = prediction").count() > 180
+
+
+def _both_kinds(spark, rows=60, size=12):
+    """Rows of three groups as sparse vectors, as dense ones, and as one and the other in turn."""
+    rng = np.random.default_rng(4)
+    table = []
+    for i in range(rows):
+        places = size // 3 * (i % 3) + np.array([0, rng.integers(1, size // 3)])
+        table.append(Vectors.sparse(size, places, [3.0 + rng.random(), rng.random()]))
+    kinds = {"sparse": table, "dense": [Vectors.dense(x.toArray()) for x in table]}
+    kinds["mixed"] = [kinds["dense" if i % 2 else "sparse"][i] for i in range(rows)]
+    return {k: spark.createDataFrame([(i, x) for i, x in enumerate(xs)], ["i", "features"]).repartition(2, "i") for k, xs in kinds.items()}
+
+
+def test_sparse_dense_and_mixed_vectors_give_the_same_clusters(spark):
+    """Up to the numbers of the clusters, as the last digits of the cost choose among equal starts."""
+    found, groups = {}, {}
+    for kind, df in _both_kinds(spark).items():
+        found[kind] = clusters.fit_grid(df, [3], n_init=5)[3]
+        rows = found[kind].transform(df).collect()
+        groups[kind] = {frozenset(r["i"] for r in rows if r["cluster"] == c) for c in range(3)}
+    for kind in found:
+        assert groups[kind] == {frozenset(range(g, 60, 3)) for g in range(3)}
+        centers, want = (np.array(sorted(found[k].clusterCenters(), key=np.argmax)) for k in (kind, "dense"))
+        assert np.allclose(centers, want) and found[kind].trainingCost == pytest.approx(found["dense"].trainingCost)
+
+
+def test_scans_of_sparse_vectors_read_their_entries_only(spark):
+    df = spark.createDataFrame([(Vectors.sparse(50_000, [i, i + 7, 40_000], [1.0, 2.0, 3.0]),) for i in range(100)], ["features"])
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    with clusters._points(df, "features") as points:
+        total = sum(r["n"] for r in points.rows.mapInArrow(sizes, "n long").collect())
+        assert points.size == 50_000 and total < 100 * 1000  # 400,000 bytes a row as dense arrays
+
+
+def test_a_vector_of_another_size_fails(spark):
+    for other in (Vectors.sparse(4, [0], [1.0]), Vectors.dense([1.0, 2.0])):
+        df = spark.createDataFrame([(Vectors.dense([1.0, 2.0, 3.0]),), (other,)], ["features"]).coalesce(1)
+        with pytest.raises(Exception, match="not of size 3"):
+            clusters.fit_grid(df, [2])
