@@ -7,10 +7,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.operators import clean, clusters, features
+from corpusmill.operators import clean, clusters, features, parts
 from corpusmill.operators import wordvectors as wv
 from corpusmill.operators.aggregates import vector_mean
 from corpusmill.operators.wordvectors import WordVectors
@@ -65,6 +66,66 @@ def test_the_model_is_a_table(spark, partitions, iterations):
     assert {r["word"]: r["vector"] for r in again} == {w: v.tolist() for w, v in found.items()}
 
 
+def test_blocks_are_trained_as_their_pairs_one_by_one(monkeypatch):
+    """All pairs of a block see the vectors before it; a small slab changes nothing."""
+    monkeypatch.setattr(wv, "SLAB", 50)
+    rng = np.random.default_rng(5)
+    counts = [2, 2, 3, 5, 8, 20, 40]
+    tree = wv.huffman(sorted(set(counts)), [2, 1, 1, 1, 1, 1])
+    up, side = wv.tree_paths(tree, np.arange(7))
+    inner_nodes = np.unique(up[up >= 0])
+    above, sides = np.where(up >= 0, np.searchsorted(inner_nodes, up), len(inner_nodes)), np.where(up >= 0, side, 0.5)
+    words = rng.choice(7, 300, p=np.array(counts) / sum(counts))
+    sentence = np.arange(300) // 70
+    vectors, inner = rng.normal(size=(7, 6)).astype(np.float32), rng.normal(size=(len(inner_nodes) + 1, 6)).astype(np.float32)
+    inner[-1] = 0
+    vectors[0] *= 20  # some answers are certain
+    want_x, want_y, seen = vectors.astype(float), inner.astype(float), np.zeros(7, bool)
+    reach = 3 - np.random.default_rng(9).integers(0, 3, 300)
+    start = 0
+    for end in wv._block_ends(words):
+        x, y = want_x.copy(), want_y.copy()
+        for i in range(start, end):
+            for j in range(max(0, i - reach[i]), min(300, i + reach[i] + 1)):
+                if i == j or sentence[i] != sentence[j]:
+                    continue
+                seen[words[j]] = True
+                for node, s in zip(above[words[i]], sides[words[i]]):
+                    told = x[words[j]] @ y[node]
+                    if node < len(inner_nodes) and abs(told) < wv.STEEP:
+                        change = 0.05 * (1 - s - 1 / (1 + np.exp(-told)))
+                        want_x[words[j]] += change * y[node]
+                        want_y[node] += change * x[words[j]]
+        start = end
+    trained = wv.skip_gram(words, sentence, above, sides, vectors, inner, 3, lambda d: 0.05, np.random.default_rng(9))
+    assert trained.tolist() == seen.tolist()
+    assert np.abs(vectors - want_x).max() < 1e-4 and np.abs(inner - want_y).max() < 1e-4
+
+
+def test_every_part_has_a_partition_of_its_own(spark):
+    for n in (1, 8, 40):
+        texts = parts.dealt(spark.range(400).select(F.col("id").alias("unique_id"), F.array(F.lit("a")).alias("tokens")), "tokens", n, "unique_id")
+        found = texts.repartition(n, parts.PART).select(parts.PART, F.spark_partition_id().alias("at")).distinct().collect()
+        assert len(found) == n == len({r["at"] for r in found})  # before, two of 8 parts were one task
+
+
+def test_parts_grow_before_there_are_more(spark):
+    """The rare words of a corpus are in nearly as many parts as they have places, and a part sends the vectors of all its words."""
+    df = spark.range(100).select(F.array_repeat(F.lit("a"), 10).alias("tokens"))
+    assert [parts.parts_for(df, "tokens", least, most) for least, most in ((10, 10), (10, 500), (10, 50), (400, 500), (5000, 9000))] == [100, 8, 20, 3, 1]
+    assert features.MOST_WORDS_PER_PART >= 10 * features.WORDS_PER_PART  # before, 200,000 words for any corpus
+
+
+def test_packs_give_all_texts_back(spark):
+    rows = [(1, ["a", "b c", None]), (2, []), (3, None), (None, ["é", "a", "a"])]
+    texts = parts.dealt(spark.createDataFrame(rows, "unique_id long, tokens array<string>"), "tokens", 2, "unique_id")
+    packs = parts.packed(texts, "unique_id", "tokens").toArrow()
+    found = [pair for batch in parts.unpacked(packs.column("_pack")) for pair in zip(*(c.to_pylist() for c in batch.columns))]
+    assert sorted(found, key=str) == sorted(rows, key=str)
+    known = {k: n for batch in parts.unpacked(packs.column("_pack")) for k, n in zip(batch.column(0).to_pylist(), parts.places(batch.column(1), pa.array(["a", "x"]))[1])}
+    assert known == {1: 1, 2: 0, 3: 0, None: 2}
+
+
 def test_vector_mean_of_repeated_and_missing_keys(spark, monkeypatch):
     monkeypatch.setattr("corpusmill.operators.aggregates.WORDS_PER_PART", 3)
     df = spark.createDataFrame(
